@@ -1,0 +1,4 @@
+"""Deliberately empty: every analysis here is a bounded query, so there is no streaming operator.
+
+The event table carries a stored ``session_id``; nothing computes sessions, windows or state.
+"""
