@@ -84,7 +84,7 @@ def _histogram_replicates(values: DataFrame, keys: Sequence[str], metric: Metric
         return result[names]
 
     names = [*keys, "replicate", "diff"]
-    schema = T.StructType([values.schema[k] for k in keys]).add("replicate", "bigint").add("diff", "double")
+    schema = T.StructType([values.schema[k] for k in keys]).add("replicate", T.LongType()).add("diff", T.DoubleType())
     hist = values.groupBy(*keys, "arm", "value").agg(F.count("*").alias("n"))
     split = hist.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     return split.groupBy(*keys, "chunk").applyInPandas(draw, schema)
@@ -142,10 +142,10 @@ def _order_statistic_replicates(values: DataFrame, keys: Sequence[str], q: float
     chunks = min(chunks, b)
     edges = [b * i // chunks for i in range(chunks + 1)]
     names = [*keys, "arm", "replicate", "low", "high", "frac"]
-    schema = (
-        T.StructType([values.schema[k] for k in keys])
-        .add("arm", "string").add("replicate", "bigint").add("low", "bigint").add("high", "bigint").add("frac", "double")
-    )
+    schema = T.StructType([values.schema[k] for k in keys]).add("arm", T.StringType())
+    for name in ("replicate", "low", "high"):
+        schema = schema.add(name, T.LongType())
+    schema = schema.add("frac", T.DoubleType())
 
     def draw(batches):
         for pdf in batches:

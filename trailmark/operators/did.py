@@ -13,6 +13,7 @@ from trailmark.functions.dates import boundaries_between, period_start
 from trailmark.functions.normal import two_sided_p, z_quantile
 from trailmark.functions.numeric import flag, ratio
 from trailmark.functions.student import t_two_sided_p
+from trailmark.plans.lineage import cut
 
 # The panel's outcome columns and the events they count.
 PANEL_COUNTS = {"threats_resolved": "threat_resolved", "scans_completed": "scan_completed"}
@@ -236,46 +237,59 @@ def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> tu
 def linear_model(df: DataFrame, y: str, terms: Mapping[str, Column], cluster: str | None = None) -> dict[str, tuple[float, float]]:
     """Least squares by normal equations: term -> (estimate, HC1 or clustered error).
 
-    Spark sums the p x p products in one aggregate and the score products in a second; only those two
-    single rows reach the driver, where a p x p system is solved.
+    Spark sums the p x p products; one row of them reaches the driver, where a p x p system is solved.
+    With clusters the products are summed per cluster once, and a cluster's score follows from them as
+    X'y - X'X b, so the panel is read once. Without, the design is written once and read twice.
     """
     names = list(terms)
     p = len(names)
-    x = [f"x{i}" for i in range(p)]
+    x = [F.col(f"x{i}") for i in range(p)]
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
     design = df.select(
-        *[c.cast("double").alias(x[i]) for i, c in enumerate(terms.values())],
+        *[c.cast("double").alias(f"x{i}") for i, c in enumerate(terms.values())],
         F.col(y).cast("double").alias("y"),
         *([F.col(cluster).alias("g")] if cluster else []),
     )
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    row = design.agg(
+    products = [
         F.count("*").alias("n"),
-        *[F.sum(F.col(x[i]) * F.col(x[j])).alias(f"g{i}_{j}") for i, j in pairs],
-        *[F.sum(F.col(x[i]) * F.col("y")).alias(f"b{i}") for i in range(p)],
-    ).first()
-    gram = np.zeros((p, p))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
+        *[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i, j in pairs],
+        *[F.sum(x[i] * F.col("y")).alias(f"b{i}") for i in range(p)],
+    ]
+    if cluster:
+        parts = cut(design.groupBy("g").agg(*products))
+        row = parts.agg(*[F.sum(c).alias(c) for c in parts.columns if c != "g"]).first()
+    else:
+        design = cut(design)
+        row = design.agg(*products).first()
+
+    def symmetric(source, prefix: str) -> np.ndarray:
+        out = np.zeros((p, p))
+        for i, j in pairs:
+            out[i, j] = out[j, i] = source[f"{prefix}{i}_{j}"] or 0.0
+        return out
+
+    gram = symmetric(row, "g")
     inverse = np.linalg.pinv(gram, hermitian=True)
-    beta = inverse @ np.array([row[f"b{i}"] or 0.0 for i in range(p)])
+    beta = [float(b) for b in inverse @ np.array([row[f"b{i}"] or 0.0 for i in range(p)])]
+
+    def total(cells: Sequence[Column]) -> Column:
+        return reduce(lambda a, b: a + b, cells)
 
-    fitted = reduce(lambda a, b: a + b, [F.lit(float(beta[i])) * F.col(x[i]) for i in range(p)])
-    scores = design.withColumn("e", F.col("y") - fitted)
-    scores = scores.select(*[(F.col(x[i]) * F.col("e")).alias(f"s{i}") for i in range(p)], *(["g"] if cluster else []))
     if cluster:
-        scores = scores.groupBy("g").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(p)])
+        fitted = [total([F.col(f"g{min(i, j)}_{max(i, j)}") * F.lit(beta[j]) for j in range(p)]) for i in range(p)]
+        scores = parts.select(*[(F.col(f"b{i}") - fitted[i]).alias(f"s{i}") for i in range(p)])
+    else:
+        residual = F.col("y") - total([F.lit(beta[i]) * x[i] for i in range(p)])
+        scores = design.select(*[(x[i] * residual).alias(f"s{i}") for i in range(p)])
     sums = scores.agg(
         F.count("*").alias("groups"), *[F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"m{i}_{j}") for i, j in pairs]
     ).first()
-    meat = np.zeros((p, p))
-    for i, j in pairs:
-        meat[i, j] = meat[j, i] = sums[f"m{i}_{j}"] or 0.0
     n, k = row["n"], int(np.linalg.matrix_rank(gram))
     factor = n / (n - k)
     if cluster:
         factor = sums["groups"] / (sums["groups"] - 1) * (n - 1) / (n - k)
-    errors = np.sqrt(np.clip(np.diag(inverse @ meat @ inverse) * factor, 0, None))
-    return {name: (float(beta[i]), float(errors[i])) for i, name in enumerate(names)}
+    errors = np.sqrt(np.clip(np.diag(inverse @ symmetric(sums, "m") @ inverse) * factor, 0, None))
+    return {name: (beta[i], float(errors[i])) for i, name in enumerate(names)}
 
 
 def estimate_did_with_covariates(

@@ -60,8 +60,10 @@ def arm_outcomes(data: DataFrame, treatment: str, outcome: str) -> DataFrame:
 def propensity_scores(data: DataFrame, treatment: str, covariates: Sequence[str], id_column: str = "user_id") -> DataFrame:
     """Add ``propensity`` and its ``logit`` from an unpenalised logistic regression on scaled covariates.
 
-    The logit is rounded to 9 digits so users with equal covariates have equal scores.
+    The logit is rounded to 9 digits so users with equal covariates have equal scores. The data are
+    written once first: fitting reads them many times, and so does matching afterwards.
     """
+    data = cut(data)
     assembled = VectorAssembler(inputCols=list(covariates), outputCol="__raw").transform(data)
     scaler = StandardScaler(inputCol="__raw", outputCol="__x", withMean=True, withStd=True).fit(assembled)
     scaled = scaler.transform(assembled)
@@ -151,6 +153,8 @@ def match_cells(cells: DataFrame, width: float, cells_per_task: int = 50_000) ->
     """
     same = F.least("n_t", "n_c")
     parts = [cells.where(same > 0).select(F.col("score").alias("score_t"), F.col("score").alias("score_c"), same.alias("n"))]
+    if width <= 0:
+        return parts[0]
     rest = F.col("n_t") - F.col("n_c")
     schema = "is_flow boolean, a double, b double, n bigint"
     open_cells = cut(
@@ -160,7 +164,7 @@ def match_cells(cells: DataFrame, width: float, cells_per_task: int = 50_000) ->
     )
     left = open_cells.count()
     slices = max(1, -(-left // cells_per_task))
-    while left and width > 0:
+    while left:
         whole = slices == 1
 
         def run(batches: Iterator[pd.DataFrame], whole: bool = whole) -> Iterator[pd.DataFrame]:
@@ -213,9 +217,11 @@ def match_pairs(
 
     Equal scores are told apart by the md5 of the id. Columns: treated_id, control_id, distance.
     """
-    units = scored.select(
-        F.col(id_column).alias("id"), F.col(score).cast("double").alias("score"), F.col(treatment).cast("int").alias("arm")
-    ).where(F.col("score").isNotNull() & F.col("arm").isNotNull())
+    units = cut(
+        scored.select(
+            F.col(id_column).alias("id"), F.col(score).cast("double").alias("score"), F.col(treatment).cast("int").alias("arm")
+        ).where(F.col("score").isNotNull() & F.col("arm").isNotNull())
+    )
     cells = units.groupBy("score").agg(
         F.count_if(F.col("arm") == 1).alias("n_t"), F.count_if(F.col("arm") == 0).alias("n_c")
     )

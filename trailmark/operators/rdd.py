@@ -50,7 +50,7 @@ def rdd_estimate(data: DataFrame, bandwidth: int = 3, alpha: float = 0.05) -> Da
     )
     n, mx, my = F.sum("n"), F.sum(F.col("n") * F.col("x")) / F.sum("n"), F.sum("s") / F.sum("n")
     lines = points.groupBy("side").agg(  # two rows
-        n.alias("N"),
+        n.alias("side_n"),
         mx.alias("mx"),
         my.alias("my"),
         (F.sum(F.col("n") * F.col("x") * F.col("x")) - F.sum("n") * mx * mx).alias("sxx"),
@@ -61,11 +61,11 @@ def rdd_estimate(data: DataFrame, bandwidth: int = 3, alpha: float = 0.05) -> Da
     )
     joined = points.join(F.broadcast(lines), "side")
     fit = F.col("intercept") + F.col("slope") * F.col("x")
-    weight = 1 / F.col("N") - F.try_divide(F.col("mx") * (F.col("x") - F.col("mx")), F.col("sxx"))
+    weight = 1 / F.col("side_n") - F.try_divide(F.col("mx") * (F.col("x") - F.col("mx")), F.col("sxx"))
     square = F.col("q") - 2 * fit * F.col("s") + F.col("n") * fit * fit
-    per_side = joined.groupBy("side", "N", "intercept", "slope").agg(F.sum(weight * weight * square).alias("v"))
+    per_side = joined.groupBy("side", "side_n", "intercept", "slope").agg(F.sum(weight * weight * square).alias("v"))
     wide = per_side.agg(
-        F.sum("N").alias("n"),
+        F.sum("side_n").alias("n"),
         F.sum("v").alias("v"),
         *[F.max(F.when(F.col("side") == s, F.col("intercept"))).alias(f"a{s}") for s in (0, 1)],
         *[F.max(F.when(F.col("side") == s, F.col("slope"))).alias(f"b{s}") for s in (0, 1)],

@@ -23,6 +23,12 @@ def price_of(plan: str, prices: Mapping[str, str] = PLAN_PRICES, unknown: str |
     return out
 
 
+def money(c: str | Column) -> Column:
+    """Rounded to cents through decimals, so half cents round up whatever their binary form."""
+    value = F.col(c) if isinstance(c, str) else c
+    return F.round(value.cast("decimal(24,6)"), 2).cast("double")
+
+
 def subscription_revenue(
     subscriptions: DataFrame,
     as_of: str,
@@ -85,10 +91,10 @@ def calculate_ltv_by_cohort(
             "t.cohort_period",
             "cohort_size",
             "paying_users",
-            F.round(ratio("total_revenue", "cohort_size"), 2).alias("avg_ltv"),
-            F.round("median_all", 2).alias("median_ltv_all"),
-            F.round("median_paying", 2).alias("median_ltv_paying"),
-            F.round("total_revenue", 2).alias("total_revenue"),
+            money(ratio("total_revenue", "cohort_size")).alias("avg_ltv"),
+            money("median_all").alias("median_ltv_all"),
+            money("median_paying").alias("median_ltv_paying"),
+            money("total_revenue").alias("total_revenue"),
         )
     )
 
@@ -105,8 +111,8 @@ def calculate_ltv_by_channel(
     return totals.select(
         "acquisition_channel",
         "total_users",
-        F.round(ratio("total_revenue", "total_users"), 2).alias("avg_ltv"),
-        F.round("total_revenue", 2).alias("total_revenue"),
+        money(ratio("total_revenue", "total_users")).alias("avg_ltv"),
+        money("total_revenue").alias("total_revenue"),
     )
 
 
@@ -137,8 +143,8 @@ def simple_ltv(
         "cohort_period",
         "cohort_size",
         "users_with_subs",
-        F.round("active_mrr", 2).alias("active_mrr"),
-        F.round(ratio("value", "subs"), 2).alias("avg_sub_value"),
+        money("active_mrr").alias("active_mrr"),
+        money(ratio("value", "subs")).alias("avg_sub_value"),
     )
 
 
@@ -192,8 +198,8 @@ def mrr_by_plan(subscriptions: DataFrame, status: str = "active") -> DataFrame:
     return both.where(F.col("count").isNotNull()).select(
         F.when(F.col("is_total") == 1, F.lit("All")).otherwise(F.col("plan")).alias("plan"),
         "count",
-        F.round("sum", 2).alias("sum"),
-        F.round(ratio("sum", "count"), 2).alias("mean"),
+        money("sum").alias("sum"),
+        money(ratio("sum", "count")).alias("mean"),
     )
 
 

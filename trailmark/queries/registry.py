@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from trailmark.queries import cohort, engagement, funnel, profile, revenue
+from trailmark.queries import causal, cohort, engagement, experiment, funnel, profile, revenue
 from trailmark.queries.base import Query
 
-AREAS = (funnel, cohort, revenue, engagement, profile)
+AREAS = (funnel, cohort, revenue, engagement, profile, experiment, causal)
 
 
 def all_queries() -> dict[str, Query]:
