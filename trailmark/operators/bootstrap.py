@@ -19,10 +19,12 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.operators.profile import histogram
+from trailmark.plans.lineage import cut
 from trailmark.plans.quantiles import values_at_positions
 
 Metric = str | float | Callable[[np.ndarray], float]
@@ -65,8 +67,8 @@ def _histogram_replicates(values: DataFrame, keys: Sequence[str], metric: Metric
         for arm in ARMS:
             part = pdf[pdf["arm"] == arm].sort_values("value")
             v, c = part["value"].to_numpy(float), part["n"].to_numpy(np.int64)
-            if len(v) == 0:
-                return pd.DataFrame({n: [] for n in names})
+            if len(v) == 0:  # one arm alone has no difference
+                return pd.DataFrame([(*group, first, np.nan)], columns=names)
             observed[arm] = _weighted(metric, v, c[None, :])[0]
             step = max(1, 2_000_000 // len(v))
             out = []
@@ -87,7 +89,8 @@ def _histogram_replicates(values: DataFrame, keys: Sequence[str], metric: Metric
     schema = T.StructType([values.schema[k] for k in keys]).add("replicate", T.LongType()).add("diff", T.DoubleType())
     hist = values.groupBy(*keys, "arm", "value").agg(F.count("*").alias("n"))
     split = hist.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    return split.groupBy(*keys, "chunk").applyInPandas(draw, schema)
+    drawn = split.groupBy(*keys, "chunk").applyInPandas(draw, schema)
+    return drawn.where(F.col("diff").isNotNull() & ~F.isnan("diff"))
 
 
 def poisson_thresholds(limit: int = 12) -> list[float]:
@@ -138,11 +141,10 @@ def _poisson_replicates(values: DataFrame, keys: Sequence[str], b: int, seed: in
     )
 
 
-def _order_statistic_replicates(values: DataFrame, keys: Sequence[str], q: float, b: int, seed: int, chunks: int) -> DataFrame:
-    chunks = min(chunks, b)
-    edges = [b * i // chunks for i in range(chunks + 1)]
-    names = [*keys, "arm", "replicate", "low", "high", "frac"]
-    schema = T.StructType([values.schema[k] for k in keys]).add("arm", T.StringType())
+def _order_statistic_replicates(values: DataFrame, keys: Sequence[str], q: float, b: int, seed: int) -> DataFrame:
+    group = [*keys, "arm"]
+    names = [*group, "replicate", "low", "high", "frac"]
+    schema = T.StructType([values.schema[k] for k in group])
     for name in ("replicate", "low", "high"):
         schema = schema.add(name, T.LongType())
     schema = schema.add("frac", T.DoubleType())
@@ -150,43 +152,34 @@ def _order_statistic_replicates(values: DataFrame, keys: Sequence[str], q: float
     def draw(batches):
         for pdf in batches:
             for row in pdf.to_dict("records"):
-                n, chunk = int(row["n"]), int(row["chunk"])
-                label = repr([row[k] for k in keys] + [row["arm"]]).encode()
-                rng = np.random.default_rng([seed, zlib.crc32(label), chunk])
+                n = int(row["n"])
+                rng = np.random.default_rng([seed, zlib.crc32(repr([row[k] for k in group]).encode())])
                 at = q * (n - 1)
                 low = int(math.floor(at))
-                size = edges[chunk + 1] - edges[chunk]
-                u = rng.beta(low + 1, n - low, size=size)
-                v = u + (1 - u) * rng.beta(1, n - low - 1, size=size) if low + 1 < n else u
-                out = pd.DataFrame({"replicate": np.arange(edges[chunk], edges[chunk + 1])})
+                # Order statistics low and low + 1 of n uniforms, scaled to positions in the sample.
+                u = rng.beta(low + 1, n - low, size=b)
+                v = u + (1 - u) * rng.beta(1, n - low - 1, size=b) if at > low else u
+                out = pd.DataFrame({"replicate": np.arange(b)})
                 out["low"] = np.minimum((n * u).astype(np.int64), n - 1)
-                out["high"] = np.minimum((n * v).astype(np.int64), n - 1) if at > low else out["low"]
-                if chunk == 0:
-                    out.loc[len(out)] = [OBSERVED, low, int(math.ceil(at))]
+                out["high"] = np.minimum((n * v).astype(np.int64), n - 1)
+                out.loc[len(out)] = [OBSERVED, low, int(math.ceil(at))]
                 out["frac"] = at - low
-                for k in [*keys, "arm"]:
+                for k in group:
                     out[k] = row[k]
                 yield out[names]
 
-    sizes = values.groupBy(*keys, "arm").agg(F.count("*").alias("n"))
-    split = sizes.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    drawn = split.repartition(chunks, *keys, "arm", "chunk").mapInPandas(draw, schema)
-    group = [*keys, "arm"]
-    points = drawn.select(*group, F.explode(F.array("low", "high")).alias("position"))
-    found = values_at_positions(values, group, "value", points)
-    low = found.withColumnsRenamed({"position": "low", "value_at": "v_low"})
-    high = found.withColumnsRenamed({"position": "high", "value_at": "v_high"})
-    stat = F.col("v_low") + (F.col("v_high") - F.col("v_low")) * F.col("frac")
-    per_arm = drawn.join(low, [*group, "low"]).join(high, [*group, "high"]).withColumn("stat", stat)
+    hist = cut(values.groupBy(*group, F.col("value").cast("double").alias("v")).agg(F.count("*").alias("cnt")))
+    drawn = hist.groupBy(*group).agg(F.sum("cnt").alias("n")).mapInPandas(draw, schema)
+    ends = drawn.select(*group, "replicate", "frac", F.posexplode(F.array("low", "high")).alias("end", "position"))
+    found = values_at_positions(hist, group, ends.select(*group, "position"))
+    share = F.when(F.col("end") == 0, 1 - F.col("frac")).otherwise(F.col("frac"))
+    sign = F.when(F.col("arm") == "treatment", 1.0).otherwise(-1.0)
     return (
-        per_arm.groupBy(*keys, "replicate")
-        .agg(
-            (
-                F.max(F.when(F.col("arm") == "treatment", F.col("stat")))
-                - F.max(F.when(F.col("arm") == "control", F.col("stat")))
-            ).alias("diff")
-        )
-        .where(F.col("diff").isNotNull())
+        ends.join(found, [*group, "position"])
+        .groupBy(*keys, "replicate")
+        .agg(F.sum(sign * share * F.col("value_at")).alias("diff"), F.count("*").alias("parts"))
+        .where(F.col("parts") == 4)  # two ends of two arms; one arm alone has no difference
+        .drop("parts")
     )
 
 
@@ -214,7 +207,7 @@ def bootstrap_replicates(
     keys: Sequence[str] = ("experiment_id",),
     method: str = "auto",
     id_column: str = "user_id",
-    chunks: int = 64,
+    chunks: int = 16,
 ) -> DataFrame:
     """(keys, replicate, diff): treatment minus control per replicate; replicate -1 is the sample itself."""
     if method == "auto":
@@ -229,7 +222,7 @@ def bootstrap_replicates(
         q = _quantile_of(metric)
         if q is None:
             raise ValueError("order statistics need 'median' or a quantile")
-        return _order_statistic_replicates(values, keys, q, n_bootstrap, seed, chunks)
+        return _order_statistic_replicates(values, keys, q, n_bootstrap, seed)
     raise ValueError(f"Unknown method: {method}")
 
 
@@ -241,8 +234,9 @@ def bootstrap_summary(replicates: DataFrame, alpha: float = 0.05, keys: Sequence
     difference instead and is the one to read.
     """
     drawn = F.col("replicate") != OBSERVED
-    observed = replicates.where(~drawn).select(*keys, F.col("diff").alias("observed"))
-    both = replicates.where(drawn).join(F.broadcast(observed), list(keys))
+    # The window holds one experiment's replicates: n_bootstrap + 1 rows.
+    observed = F.max(F.when(~drawn, F.col("diff"))).over(W.partitionBy(*keys))
+    both = replicates.withColumn("observed", observed).where(drawn)
     d, o = F.col("diff"), F.col("observed")
     ends = F.percentile(d, F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
     sums = both.groupBy(*keys).agg(
@@ -276,5 +270,5 @@ def bootstrap_ci(values: DataFrame, alpha: float = 0.05, keys: Sequence[str] = (
 
 
 def bootstrap_distribution(replicates: DataFrame, bins: int = 50, keys: Sequence[str] = ("experiment_id",)) -> DataFrame:
-    """Histogram of the replicate differences of each experiment."""
-    return histogram(replicates.where(F.col("replicate") != OBSERVED), "diff", bins, keys)
+    """Histogram of the replicate differences of each experiment; they are drawn once and written."""
+    return histogram(cut(replicates).where(F.col("replicate") != OBSERVED), "diff", bins, keys)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -220,47 +219,46 @@ def parallel_trends_test(
 def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> tuple[DataFrame, list[str]]:
     """0/1 columns per level in sorted order, the first level left out; returns the new names too.
 
-    Levels become columns, so they are read to the driver; a column with more than ``max_levels`` of
-    them is not categorical and is refused.
+    Levels become columns, so they are read to the driver; columns with more than ``max_levels`` of
+    them in all are not categorical and are refused.
     """
+    seen = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    found = df.select(F.explode(seen).alias("s")).select("s.*").where("v IS NOT NULL").distinct()
+    levels = found.limit(max_levels + 1).collect()
+    if len(levels) > max_levels:
+        raise ValueError(f"{list(columns)} have more than {max_levels} levels")
     names, cells = [], []
     for column in columns:
-        found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(max_levels + 1).collect()
-        if len(found) > max_levels:
-            raise ValueError(f"{column} has more than {max_levels} levels")
-        for level in sorted(r[0] for r in found)[1:]:
+        for level in sorted(r["v"] for r in levels if r["c"] == column)[1:]:
             names.append(f"{column}_{level}")
-            cells.append(flag(F.col(column) == level).alias(names[-1]))
+            cells.append(flag(F.col(column).cast("string") == level).alias(names[-1]))
     return df.select("*", *cells), names
 
 
 def linear_model(df: DataFrame, y: str, terms: Mapping[str, Column], cluster: str | None = None) -> dict[str, tuple[float, float]]:
     """Least squares by normal equations: term -> (estimate, HC1 or clustered error).
 
-    Spark sums the p x p products; one row of them reaches the driver, where a p x p system is solved.
-    With clusters the products are summed per cluster once, and a cluster's score follows from them as
-    X'y - X'X b, so the panel is read once. Without, the design is written once and read twice.
+    Rows with the same terms (and cluster) are first folded into a count, a sum and a sum of squares of
+    y, which is all the fit and its robust error need (Wong and others 2021). Spark sums the p x p
+    products over the folded rows; single rows of them reach the driver, where a p x p system is solved.
     """
     names = list(terms)
     p = len(names)
-    x = [F.col(f"x{i}") for i in range(p)]
+    x = [f"x{i}" for i in range(p)]
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
     design = df.select(
-        *[c.cast("double").alias(f"x{i}") for i, c in enumerate(terms.values())],
+        *[c.cast("double").alias(x[i]) for i, c in enumerate(terms.values())],
         F.col(y).cast("double").alias("y"),
-        *([F.col(cluster).alias("g")] if cluster else []),
+        (F.col(cluster) if cluster else F.lit("all")).alias("g"),
     )
-    products = [
-        F.count("*").alias("n"),
-        *[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i, j in pairs],
-        *[F.sum(x[i] * F.col("y")).alias(f"b{i}") for i in range(p)],
-    ]
-    if cluster:
-        parts = cut(design.groupBy("g").agg(*products))
-        row = parts.agg(*[F.sum(c).alias(c) for c in parts.columns if c != "g"]).first()
-    else:
-        design = cut(design)
-        row = design.agg(*products).first()
+    folded = cut(
+        design.groupBy("g", *x).agg(F.count("y").alias("n"), F.sum("y").alias("s"), F.sum(F.expr("y * y")).alias("q"))
+    )
+    row = folded.selectExpr(
+        "sum(n) AS n",
+        *[f"sum(n * x{i} * x{j}) AS g{i}_{j}" for i, j in pairs],
+        *[f"sum(x{i} * s) AS b{i}" for i in range(p)],
+    ).first()
 
     def symmetric(source, prefix: str) -> np.ndarray:
         out = np.zeros((p, p))
@@ -271,23 +269,17 @@ def linear_model(df: DataFrame, y: str, terms: Mapping[str, Column], cluster: st
     gram = symmetric(row, "g")
     inverse = np.linalg.pinv(gram, hermitian=True)
     beta = [float(b) for b in inverse @ np.array([row[f"b{i}"] or 0.0 for i in range(p)])]
-
-    def total(cells: Sequence[Column]) -> Column:
-        return reduce(lambda a, b: a + b, cells)
-
-    if cluster:
-        fitted = [total([F.col(f"g{min(i, j)}_{max(i, j)}") * F.lit(beta[j]) for j in range(p)]) for i in range(p)]
-        scores = parts.select(*[(F.col(f"b{i}") - fitted[i]).alias(f"s{i}") for i in range(p)])
-    else:
-        residual = F.col("y") - total([F.lit(beta[i]) * x[i] for i in range(p)])
-        scores = design.select(*[(x[i] * residual).alias(f"s{i}") for i in range(p)])
-    sums = scores.agg(
-        F.count("*").alias("groups"), *[F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"m{i}_{j}") for i, j in pairs]
-    ).first()
+    fit = " + ".join(f"CAST({beta[i]!r} AS DOUBLE) * x{i}" for i in range(p))
+    fitted = folded.withColumn("fit", F.expr(fit))
     n, k = row["n"], int(np.linalg.matrix_rank(gram))
-    factor = n / (n - k)
     if cluster:
+        scores = fitted.groupBy("g").agg(*[F.expr(f"sum(x{i} * (s - n * fit))").alias(f"s{i}") for i in range(p)])
+        sums = scores.selectExpr("count(*) AS groups", *[f"sum(s{i} * s{j}) AS m{i}_{j}" for i, j in pairs]).first()
         factor = sums["groups"] / (sums["groups"] - 1) * (n - 1) / (n - k)
+    else:
+        squares = fitted.withColumn("e2", F.expr("q - 2 * fit * s + n * fit * fit"))
+        sums = squares.selectExpr(*[f"sum(x{i} * x{j} * e2) AS m{i}_{j}" for i, j in pairs]).first()
+        factor = n / (n - k)
     errors = np.sqrt(np.clip(np.diag(inverse @ symmetric(sums, "m") @ inverse) * factor, 0, None))
     return {name: (beta[i], float(errors[i])) for i, name in enumerate(names)}
 

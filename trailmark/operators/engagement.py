@@ -165,14 +165,13 @@ def unresolved_counter(
 
     With s the running sum of +-1 and m its running minimum, the counter is s - least(0, m). Both are
     taken inside (user, time chunk) first and shifted by the totals of the user's earlier chunks, so
-    no task sorts more than one user's chunk.
+    no task sorts more than one user's chunk. Both steps read the same columns, so they share a shuffle.
     """
     delta = F.when(F.col("event_type") == opens, 1).when(F.col("event_type") == closes, -1).otherwise(0)
     rows = events.where(F.col("user_id").isNotNull()).select(
         "user_id",
         "event_id",
         "timestamp",
-        "event_type",
         delta.cast("bigint").alias("delta"),
         F.date_trunc(chunk, "timestamp").alias("chunk"),
     )
@@ -188,7 +187,7 @@ def unresolved_counter(
     level = F.col("s0") + F.col("s")
     lowest = F.least(F.lit(0), F.col("m0"), F.col("s0") + F.col("m"))
     return local.join(carried, ["user_id", "chunk"]).select(
-        "user_id", "event_id", "timestamp", "event_type", (level - lowest).alias(out)
+        "user_id", "event_id", "timestamp", (level - lowest).alias(out)
     )
 
 

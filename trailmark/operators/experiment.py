@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.normal import chi2_1df_p, two_sided_p, z_quantile
 from trailmark.functions.numeric import flag, percent, ratio
+from trailmark.functions.ranksum import MAX_STATES, SMALL, exact_u_p
 from trailmark.functions.student import t_critical, t_two_sided_p
 from trailmark.operators.power import compute_sample_size
 from trailmark.plans.local import local_table
@@ -276,7 +277,10 @@ def means_test(
 
 
 def rank_sum(values: DataFrame, keys: Sequence[str] = ("experiment_id",), buckets: int = 64) -> DataFrame:
-    """Mann-Whitney U of the treatment arm, with tie and continuity corrected normal p-value.
+    """Mann-Whitney U of the treatment arm and its two-sided p-value.
+
+    The p-value is normal with tie and continuity correction, or exact when an arm is small and no
+    values tie.
 
     Values are collapsed to a histogram and cut in ordered buckets. A treatment value beats the control
     values of all lower buckets and the lower ones of its own, so windows stay inside a bucket.
@@ -316,8 +320,13 @@ def rank_sum(values: DataFrame, keys: Sequence[str] = ("experiment_id",), bucket
     z = F.try_divide(u_max - F.col("n_c") * F.col("n_t") / 2 - 0.5, F.sqrt(var))
     checked = F.when(F.col("overlap"), F.raise_error(F.lit("bucket cuts changed mid-query")).cast("double"))
     out = sums.where((F.col("n_c") > 0) & (F.col("n_t") > 0)).withColumn("z", F.greatest(z, F.lit(0.0)))
+    small = (F.least("n_c", "n_t") <= SMALL) & (F.col("n_c") * F.col("n_t") < MAX_STATES) & (F.col("ties") == 0)
+    exact = exact_u_p(F.when(small, F.col("u")), F.col("n_c"), F.col("n_t"))
     return out.select(
-        *keys, checked.otherwise(F.col("u")).alias("u_statistic"), "z", F.least(two_sided_p("z"), F.lit(1.0)).alias("p_value")
+        *keys,
+        checked.otherwise(F.col("u")).alias("u_statistic"),
+        "z",
+        F.coalesce(exact, F.least(two_sided_p("z"), F.lit(1.0))).alias("p_value"),
     )
 
 

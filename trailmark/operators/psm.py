@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -58,20 +58,18 @@ def arm_outcomes(data: DataFrame, treatment: str, outcome: str) -> DataFrame:
 
 
 def propensity_scores(data: DataFrame, treatment: str, covariates: Sequence[str], id_column: str = "user_id") -> DataFrame:
-    """Add ``propensity`` and its ``logit`` from an unpenalised logistic regression on scaled covariates.
+    """Add ``propensity`` and its ``logit`` from an unpenalised logistic regression.
 
     The logit is rounded to 9 digits so users with equal covariates have equal scores. The data are
     written once first: fitting reads them many times, and so does matching afterwards.
     """
     data = cut(data)
-    assembled = VectorAssembler(inputCols=list(covariates), outputCol="__raw").transform(data)
-    scaler = StandardScaler(inputCol="__raw", outputCol="__x", withMean=True, withStd=True).fit(assembled)
-    scaled = scaler.transform(assembled)
+    features = VectorAssembler(inputCols=list(covariates), outputCol="__x").transform(data)
     model = LogisticRegression(
-        featuresCol="__x", labelCol=treatment, regParam=0.0, standardization=False, maxIter=200, tol=1e-9,
+        featuresCol="__x", labelCol=treatment, regParam=0.0, standardization=True, maxIter=200, tol=1e-9,
         rawPredictionCol="__margin", probabilityCol="__p", predictionCol="__class",
-    ).fit(scaled)
-    out = model.transform(scaled)
+    ).fit(features)
+    out = model.transform(features)
     return out.select(
         *data.columns,
         vector_to_array("__p")[1].alias("propensity"),

@@ -109,15 +109,13 @@ def ordered_buckets(
     return placed.withColumn(out, below).drop("__cuts")
 
 
-def values_at_positions(
-    df: DataFrame, keys: Sequence[str], value: str, points: DataFrame, buckets: int = 64
-) -> DataFrame:
+def values_at_positions(hist: DataFrame, keys: Sequence[str], points: DataFrame, buckets: int = 64) -> DataFrame:
     """Look up order statistics: ``points`` (keys, position from 0) gain the value at that position.
 
-    Distinct values are cut in ordered buckets whose sizes give each bucket's first position. Only the
-    buckets holding a point are ranked, each in its own window, with points sorted in among values.
+    ``hist`` has the distinct values (keys, v, cnt). They are cut in ordered buckets whose sizes give
+    each bucket's first position. Only the buckets holding a point are ranked, each in its own window,
+    with points sorted in among values.
     """
-    hist = df.groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("cnt"))
     hist = ordered_buckets(hist, keys, "v", buckets)
     in_order = W.partitionBy(*keys).orderBy("bucket")
     sizes = hist.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("size"), F.min("v").alias("low"), F.max("v").alias("high"))

@@ -107,7 +107,7 @@ def _(v):
     """WITH d AS (SELECT *, CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN -1 ELSE 0 END AS delta FROM events_e),
     s AS (SELECT *, sum(delta) OVER w AS s FROM d WINDOW w AS (PARTITION BY user_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING)),
     m AS (SELECT *, min(s) OVER (PARTITION BY user_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS m FROM s)
-    SELECT user_id, event_id, event_type, CAST(s - least(0, m) AS BIGINT) AS unresolved FROM m""",
+    SELECT user_id, event_id, CAST(s - least(0, m) AS BIGINT) AS unresolved FROM m""",
 )
 def _(v):
     return en.unresolved_counter(v.events_e, "error", "click").drop("timestamp")
