@@ -101,6 +101,8 @@ def ordered_buckets(
 
     Equal values share a bucket. Any boundaries give the same final ranks, they only balance the work.
     """
+    if buckets < 2:
+        return df.withColumn(out, F.lit(0))
     cuts = df.groupBy(*keys).agg(
         F.percentile_approx(value, [i / buckets for i in range(1, buckets)], ACCURACY).alias("__cuts")
     )
