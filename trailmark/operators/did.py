@@ -13,6 +13,7 @@ from trailmark.functions.normal import two_sided_p, z_quantile
 from trailmark.functions.numeric import flag, ratio
 from trailmark.functions.student import t_two_sided_p
 from trailmark.plans.lineage import cut
+from trailmark.plans.local import side_by_side
 
 # The panel's outcome columns and the events they count.
 PANEL_COUNTS = {"threats_resolved": "threat_resolved", "scans_completed": "scan_completed"}
@@ -34,14 +35,14 @@ def rollout_groups(rollout: DataFrame, by: str = "country", majority: float = 0.
     counts = rollout.groupBy(by).agg(
         F.count("*").alias("users"), F.sum("treated").alias("treated"), F.min("assigned_at").alias("first")
     )
-    start = counts.agg(F.min("first").alias("treatment_start"))  # one row
+    start = counts.agg(F.min("first")).scalar()
     share = ratio("treated", "users")
-    return counts.join(F.broadcast(start), F.lit(True)).select(
+    return counts.select(
         by,
         "users",
         F.round(share, 6).alias("treatment_rate"),
         (share > majority).alias("is_treatment"),
-        "treatment_start",
+        start.alias("treatment_start"),
     )
 
 
@@ -61,10 +62,10 @@ def user_week_panel(
 
 def densify_panel(panel: DataFrame, outcomes: Sequence[str], keep: Sequence[str] = ("treated", "country")) -> DataFrame:
     """Add the weeks without events, with 0, between the panel's first and last week."""
-    span = panel.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))  # one row
-    weeks = F.explode(F.sequence(F.col("lo"), F.col("hi"), F.expr("interval 7 days")))
-    grid = panel.groupBy("user_id").agg(*[F.first(k).alias(k) for k in keep]).join(F.broadcast(span), F.lit(True))
-    grid = grid.select("user_id", *keep, weeks.alias("week"))
+    first, last = panel.agg(F.min("week")).scalar(), panel.agg(F.max("week")).scalar()
+    weeks = F.explode(F.sequence("lo", "hi", F.expr("interval 7 days")))
+    grid = panel.groupBy("user_id").agg(*[F.first(k).alias(k) for k in keep])
+    grid = grid.select("user_id", *keep, first.alias("lo"), last.alias("hi")).select("user_id", *keep, weeks.alias("week"))
     counted = panel.select("user_id", "week", *outcomes)
     return grid.join(counted, ["user_id", "week"], "left").fillna(0, subset=list(outcomes))
 
@@ -75,7 +76,7 @@ def panel_summary(panel: DataFrame) -> DataFrame:
     per_week = panel.groupBy("week").agg(F.count("*").alias("n"))
     a = per_user.agg(F.sum("n").alias("panel_rows"), F.count("*").alias("users"))
     b = per_week.agg(F.count("*").alias("weeks"), F.min("week").alias("first_week"), F.max("week").alias("last_week"))
-    return a.join(b, F.lit(True))
+    return side_by_side(a, b)
 
 
 def _post(time_col: str, treatment_time: str) -> Column:
@@ -205,7 +206,7 @@ def parallel_trends_test(
     out = out.withColumn("std_error", F.sqrt(F.try_divide("rss", "df") * F.col("inv")))
     out = out.withColumn("t_stat", F.try_divide("slope_difference", "std_error"))
     out = out.withColumn("interaction_pvalue", t_two_sided_p("t_stat", "df"))
-    return out.join(corr, F.lit(True)).select(
+    return side_by_side(out, corr).select(
         "slope_difference",
         "std_error",
         "t_stat",
@@ -309,8 +310,8 @@ def estimate_did_with_covariates(
 
 def compare_estimates(base: DataFrame, other: DataFrame, tolerance_pct: float = 20.0) -> DataFrame:
     """Change of the estimate when covariates are added (percent), and whether it stays small."""
-    joined = base.select(F.col("did_estimate").alias("base")).join(
-        other.select(F.col("did_estimate").alias("adjusted")), F.lit(True)
+    joined = side_by_side(
+        base.select(F.col("did_estimate").alias("base")), other.select(F.col("did_estimate").alias("adjusted"))
     )
     change = F.try_divide(F.col("adjusted") - F.col("base"), F.abs("base")) * 100
     return joined.select("base", "adjusted", change.alias("change_pct"), (F.abs(change) < tolerance_pct).alias("stable"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.dates import days_between, in_date_range
 from trailmark.functions.numeric import percent
+from trailmark.plans.local import side_by_side
 from trailmark.plans.quantiles import exact_percentiles
 from trailmark.plans.skew import hot_keys, join_salting_hot_keys
 
@@ -194,7 +195,7 @@ def calculate_time_to_convert(
     spread = exact_percentiles(times, keys, "days_to_convert", CONVERT_PERCENTILES)
     rounded = [F.round(name, 2).alias(name) for name in CONVERT_PERCENTILES]
     if not keys:
-        return counts.join(spread, F.lit(True)).select("converted_users", *rounded)
+        return side_by_side(counts, spread).select("converted_users", *rounded)
     on = F.col(f"c.{segment_by}").eqNullSafe(F.col(f"s.{segment_by}"))
     return (
         counts.alias("c").join(spread.alias("s"), on).select(f"c.{segment_by}", "converted_users", *rounded)

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trailmark.functions.numeric import percent, ratio
+from trailmark.plans.local import side_by_side
 from trailmark.plans.quantiles import exact_percentiles
 
 
@@ -107,7 +108,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, keys: Sequence[str] =
     if keys:
         joined = counts.join(bounds, list(keys))
     else:
-        joined = counts.join(bounds, F.lit(True))
+        joined = counts.select("*", *[bounds.select(c).scalar().alias(c) for c in ("lo", "hi")])
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     place = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(0))
     binned = joined.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
@@ -159,7 +160,7 @@ def event_stats(events: DataFrame) -> DataFrame:
         F.max("n").alias("max_events"),
     )
     median = exact_percentiles(per_user, [], "n", {"median_events": 0.5})
-    return totals.join(median, F.lit(True)).select(
+    return side_by_side(totals, median).select(
         "total_events",
         "unique_users",
         F.round(ratio("total_events", "unique_users"), 1).alias("avg_events_per_user"),

@@ -6,9 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from trailmark.functions.normal import two_sided_p, upper_tail_p, z_quantile
 from trailmark.functions.numeric import flag
 from trailmark.operators.engagement import engagement_features
 from trailmark.plans.lineage import cut
+from trailmark.plans.local import side_by_side
 from trailmark.plans.skew import rank_in_groups
 
 # The confounders matched on.
@@ -57,24 +57,20 @@ def arm_outcomes(data: DataFrame, treatment: str, outcome: str) -> DataFrame:
     return data.groupBy(treatment).agg(F.count("*").alias("users"), F.round(F.avg(outcome), 6).alias("outcome_rate"))
 
 
-def propensity_scores(data: DataFrame, treatment: str, covariates: Sequence[str], id_column: str = "user_id") -> DataFrame:
+def propensity_scores(data: DataFrame, treatment: str, covariates: Sequence[str]) -> DataFrame:
     """Add ``propensity`` and its ``logit`` from an unpenalised logistic regression.
 
+    With few covariates, reweighted least squares needs a handful of passes, one p x p system each.
     The logit is rounded to 9 digits so users with equal covariates have equal scores. The data are
     written once first: fitting reads them many times, and so does matching afterwards.
     """
     data = cut(data)
     features = VectorAssembler(inputCols=list(covariates), outputCol="__x").transform(data)
-    model = LogisticRegression(
-        featuresCol="__x", labelCol=treatment, regParam=0.0, standardization=True, maxIter=200, tol=1e-9,
-        rawPredictionCol="__margin", probabilityCol="__p", predictionCol="__class",
+    model = GeneralizedLinearRegression(
+        family="binomial", link="logit", featuresCol="__x", labelCol=treatment, maxIter=50, tol=1e-9,
+        predictionCol="propensity", linkPredictionCol="logit",
     ).fit(features)
-    out = model.transform(features)
-    return out.select(
-        *data.columns,
-        vector_to_array("__p")[1].alias("propensity"),
-        F.round(vector_to_array("__margin")[1], 9).alias("logit"),
-    )
+    return model.transform(features).select(*data.columns, "propensity", F.round("logit", 9).alias("logit"))
 
 
 def score_summary(scored: DataFrame, treatment: str) -> DataFrame:
@@ -252,7 +248,7 @@ def estimate_effect(
         (F.avg(F.when(F.col(treatment) == 1, y)) - F.avg(F.when(F.col(treatment) == 0, y))).alias("naive_difference"),
         F.count_if(F.col(treatment) == 1).alias("n_treated"),
     )
-    out = matched.join(arms, F.lit(True)).withColumn(
+    out = side_by_side(matched, arms).withColumn(
         "std_error", F.try_divide(F.col("sd"), F.sqrt(F.col("n_matched_pairs").cast("double")))
     )
     out = out.withColumn("t_stat", F.try_divide("att", "std_error"))

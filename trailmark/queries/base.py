@@ -37,6 +37,16 @@ def pct(num: str, den: str, digits: int = 2) -> str:
     return rnd(f"100.0 * CAST({num} AS DOUBLE) / nullif({den}, 0)", digits)
 
 
+def t_two_sided_sql(t: str, df: str, steps: int = 2000) -> str:
+    """SQL for a two-sided t p-value by Simpson's rule on the density, as an independent check."""
+    weight = f"CASE WHEN k = 0 OR k = {steps} THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+    density = (
+        f"exp(lgamma(({df} + 1) / 2e0) - lgamma({df} / 2e0)) / sqrt({df} * pi()) "
+        f"* power(1 + power(abs({t}) * k / {steps}e0, 2) / {df}, -({df} + 1) / 2e0)"
+    )
+    return f"(SELECT 1 - 2 * abs({t}) / {steps}e0 / 3 * sum(({weight}) * {density}) FROM range({steps + 1}) simpson(k))"
+
+
 class Registry:
     """Collects queries and the SQL text that checks each."""
 

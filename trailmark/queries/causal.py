@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.normal import two_sided_p_sql, upper_tail_p_sql, z_quantile
 from trailmark.operators import did, psm, rdd
-from trailmark.queries.base import Registry, rnd
+from trailmark.queries.base import Registry, rnd, t_two_sided_sql
 from trailmark.queries.engagement import ENGAGEMENT
 
 registry = Registry()
@@ -125,14 +125,11 @@ TREND_START = "2024-01-29"
     l AS (SELECT arm, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx FROM pre GROUP BY arm),
     r AS (SELECT sum((y - a - b * x) * (y - a - b * x)) AS rss, count(*) AS n FROM pre JOIN l ON pre.arm = l.arm),
     s AS (SELECT (SELECT b FROM l WHERE arm = 1) - (SELECT b FROM l WHERE arm = 0) AS d, sqrt(rss / (n - 4) * (SELECT sum(1 / sxx) FROM l)) AS se, n - 4 AS df FROM r),
-    c AS (SELECT corr(y0, y1) AS c FROM (SELECT x, avg(y) FILTER (WHERE arm = 0) AS y0, avg(y) FILTER (WHERE arm = 1) AS y1 FROM pre GROUP BY x))
-    SELECT {rnd('d')} AS slope_difference, {rnd('se')} AS std_error, {rnd('d / se')} AS t_stat, CAST(df AS DOUBLE) AS df, {rnd('c')} AS pre_trend_correlation FROM s, c""",
+    c AS (SELECT corr(y0, y1) AS c FROM (SELECT x, avg(y) FILTER (WHERE arm = 0) AS y0, avg(y) FILTER (WHERE arm = 1) AS y1 FROM pre GROUP BY x)),
+    tp AS (SELECT s.*, c.c, d / se AS t, {t_two_sided_sql('(s.d / s.se)', 's.df')} AS p FROM s, c)
+    SELECT {rnd('d')} AS slope_difference, {rnd('se')} AS std_error, {rnd('t')} AS t_stat, CAST(df AS DOUBLE) AS df, {rnd('p')} AS interaction_pvalue,
+        p > 0.05 AS parallel_trends_holds, {rnd('c')} AS pre_trend_correlation FROM tp""",
 )
-def _(v):
-    return did.parallel_trends_test(panel(v), "purchases", TREND_START).drop("interaction_pvalue", "parallel_trends_holds")
-
-
-@registry.add("parallel_trends_inference")
 def _(v):
     return did.parallel_trends_test(panel(v), "purchases", TREND_START)
 

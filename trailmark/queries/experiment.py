@@ -8,7 +8,7 @@ from trailmark.functions.normal import chi2_1df_p_sql, two_sided_p_sql, z_quanti
 from trailmark.operators import bootstrap as bs
 from trailmark.operators import experiment as ex
 from trailmark.operators import power as pw
-from trailmark.queries.base import Registry, pct, rnd
+from trailmark.queries.base import Registry, pct, rnd, t_two_sided_sql
 
 registry = Registry()
 
@@ -143,22 +143,25 @@ MEANS = f"""experiment_id, {rnd('mean_c')} AS control_mean, {rnd('mean_t')} AS t
 
 @registry.add(
     "means_welch",
-    f"""WITH {vals(CONTINUOUS)}, {totals()}, w AS (SELECT *, var_c / n_c AS a, var_t / n_t AS b FROM tot)
-    SELECT {MEANS}, {rnd('(mean_t - mean_c) / sqrt(a + b)', 4)} AS statistic,
-        {rnd('(a + b) * (a + b) / (a * a / (n_c - 1) + b * b / (n_t - 1))')} AS df FROM w""",
+    f"""WITH {vals(CONTINUOUS)}, {totals()}, v AS (SELECT *, var_c / n_c AS a, var_t / n_t AS b FROM tot),
+    w AS (SELECT *, (mean_t - mean_c) / sqrt(a + b) AS t, (a + b) * (a + b) / (a * a / (n_c - 1) + b * b / (n_t - 1)) AS df FROM v),
+    x AS (SELECT *, {t_two_sided_sql('w.t', 'w.df')} AS p FROM w)
+    SELECT {MEANS}, {rnd('t', 4)} AS statistic, {rnd('df')} AS df, {rnd('p')} AS p_value, p < 0.05 AS significant FROM x""",
 )
 def _(v):
-    return ex.means_test(values(v, CONTINUOUS)).drop("p_value", "significant", "ci_lower", "ci_upper", "alpha", "test_type")
+    return ex.means_test(values(v, CONTINUOUS)).drop("ci_lower", "ci_upper", "alpha", "test_type")
 
 
 @registry.add(
     "means_student",
-    f"""WITH {vals(CONTINUOUS)}, {totals()}, w AS (SELECT *, ((n_c - 1) * var_c + (n_t - 1) * var_t) / (n_c + n_t - 2) AS s2 FROM tot)
-    SELECT {MEANS}, {rnd('(mean_t - mean_c) / sqrt(s2 * (1e0 / n_c + 1e0 / n_t))', 4)} AS statistic, CAST(n_c + n_t - 2 AS DOUBLE) AS df FROM w""",
+    f"""WITH {vals(CONTINUOUS)}, {totals()}, v AS (SELECT *, ((n_c - 1) * var_c + (n_t - 1) * var_t) / (n_c + n_t - 2) AS s2 FROM tot),
+    w AS (SELECT *, (mean_t - mean_c) / sqrt(s2 * (1e0 / n_c + 1e0 / n_t)) AS t, CAST(n_c + n_t - 2 AS DOUBLE) AS df FROM v),
+    x AS (SELECT *, {t_two_sided_sql('w.t', 'w.df')} AS p FROM w)
+    SELECT {MEANS}, {rnd('t', 4)} AS statistic, df, {rnd('p')} AS p_value, p < 0.05 AS significant FROM x""",
 )
 def _(v):
     out = ex.means_test(values(v, CONTINUOUS), test_type="student")
-    return out.drop("p_value", "significant", "ci_lower", "ci_upper", "alpha", "test_type")
+    return out.drop("ci_lower", "ci_upper", "alpha", "test_type")
 
 
 @registry.add("means_welch_inference")
