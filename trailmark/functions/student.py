@@ -56,16 +56,16 @@ def t_two_sided(t: float, df: float) -> float:
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
-def t_quantile(p: float, df: float) -> float:
-    """Upper quantile for p > 1/2, by bisection on the tail."""
+def t_quantile(alpha: float, df: float) -> float:
+    """The t whose two-sided p-value is ``alpha``, by bisection on the tail."""
     if not (math.isfinite(df) and df > 0):
         return math.nan
-    target, lo, hi = 2.0 * (1.0 - p), 0.0, 1.0
-    while t_two_sided(hi, df) > target and hi < 1e12:
+    lo, hi = 0.0, 1.0
+    while t_two_sided(hi, df) > alpha and hi < 1e12:
         hi *= 2.0
     for _ in range(200):
         mid = 0.5 * (lo + hi)
-        if t_two_sided(mid, df) > target:
+        if t_two_sided(mid, df) > alpha:
             lo = mid
         else:
             hi = mid
@@ -88,5 +88,5 @@ def t_two_sided_p(t: pd.Series, df: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(DoubleType())
-def t_critical(p: pd.Series, df: pd.Series) -> pd.Series:
-    return _rowwise(t_quantile, p, df)
+def t_critical(alpha: pd.Series, df: pd.Series) -> pd.Series:
+    return _rowwise(t_quantile, alpha, df)

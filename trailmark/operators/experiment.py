@@ -260,7 +260,7 @@ def means_test(
         base = base.withColumn("se", F.sqrt(shared * (1 / n_c + 1 / n_t))).withColumn("df", n_c + n_t - 2)
     base = base.withColumn("t", F.try_divide(F.col("mean_t") - F.col("mean_c"), F.col("se")))
     base = base.withColumn("p_value", t_two_sided_p("t", "df")).withColumn(
-        "half", t_critical(F.lit(1 - alpha / 2), "welch_df") * F.col("welch_se")
+        "half", t_critical(F.lit(alpha), "welch_df") * F.col("welch_se")
     )
     lift = F.col("mean_t") - F.col("mean_c")
     return base.select(
