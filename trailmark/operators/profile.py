@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trailmark.functions.numeric import percent, ratio
 from trailmark.plans.local import side_by_side
 from trailmark.plans.quantiles import exact_percentiles
+from trailmark.plans.skew import attach_group_values
 
 
 def check_data_quality(df: DataFrame, name: str) -> DataFrame:
@@ -71,8 +72,8 @@ def orphan_count(left: DataFrame, right: DataFrame, key: str = "user_id") -> Dat
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their share (percent)."""
     counts = df.groupBy(column).agg(F.count("*").alias("count"))
-    whole = W.partitionBy(F.lit(1))  # over the distinct values only
-    return counts.select(column, "count", percent("count", F.sum("count").over(whole), 4).alias("pct"))
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.select(column, "count", percent("count", total, 4).alias("pct"))
 
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
@@ -106,7 +107,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, keys: Sequence[str] =
     )
     bounds = counts.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     if keys:
-        joined = counts.join(bounds, list(keys))
+        joined = attach_group_values(counts, bounds, keys, ["v"])
     else:
         joined = counts.select("*", *[bounds.select(c).scalar().alias(c) for c in ("lo", "hi")])
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))

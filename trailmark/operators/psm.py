@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trailmark.functions.normal import two_sided_p, upper_tail_p, z_quantile
@@ -17,7 +16,7 @@ from trailmark.functions.numeric import flag
 from trailmark.operators.engagement import engagement_features
 from trailmark.plans.lineage import cut
 from trailmark.plans.local import side_by_side
-from trailmark.plans.skew import rank_in_groups
+from trailmark.plans.skew import offsets_in_groups, rank_in_groups
 
 # The confounders matched on.
 MATCH_COVARIATES = ("plan_premium", "n_features", "total_events", "total_scans", "total_opens", "active_days")
@@ -186,13 +185,11 @@ def match_cells(cells: DataFrame, width: float, cells_per_task: int = 50_000) ->
 
 
 def _allocate(units: DataFrame, flows: DataFrame, score: str, other: str) -> DataFrame:
-    """Give the ranked users of each cell to the cell's flows, nearest flow first: (score_t, score_c, k, id).
+    """Give the ranked users of each cell to the cell's flows in turn: (score_t, score_c, k, id).
 
     Flows become blocks of ranks and users join on their block, so a large cell is many small joins.
     """
-    order = W.partitionBy(score).orderBy(F.abs(F.col("score_t") - F.col("score_c")), other)
-    upto = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0))
-    spans = flows.withColumn("hi", upto).withColumn("lo", F.col("hi") - F.col("n"))
+    spans = offsets_in_groups(flows, [score], other, F.col("n"), "lo").withColumn("hi", F.col("lo") + F.col("n"))
     blocks = spans.withColumn(
         "block", F.explode(F.sequence(F.floor((F.col("lo") + 1) / RANK_BLOCK), F.floor(F.col("hi") / RANK_BLOCK)))
     )

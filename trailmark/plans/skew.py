@@ -22,8 +22,8 @@ def attach_group_values(
 ) -> DataFrame:
     """Give every row the values of its group (inner, NULL keys match NULL).
 
-    ``groups`` has one row per key. It is copied once per salt and the rows are spread over the
-    salts, so a group holding a third of all rows still goes to ``salts`` tasks.
+    ``groups`` has one row per key, far fewer than there are rows. It is copied once per salt and the
+    rows are spread over the salts, so a group holding a third of all rows still goes to ``salts`` tasks.
     """
     values = [c for c in groups.columns if c not in keys]
     copies = groups.select(
@@ -71,22 +71,30 @@ def join_salting_hot_keys(
     return left.drop("__hot").join(right.drop("__hot"), [*keys, SALT], "inner").drop(SALT)
 
 
-def rank_in_groups(df: DataFrame, keys: Sequence[str], id_column: str, out: str = "rank") -> DataFrame:
-    """Row number 1..n inside each group in md5(id) order, without sorting a group in one task.
+def offsets_in_groups(
+    df: DataFrame, keys: Sequence[str], id_column: str, weight: Column, out: str = "offset"
+) -> DataFrame:
+    """Add the sum of ``weight`` over the rows before this one in its group, in md5(id) order.
 
-    The first two hex digits of the md5 split every group evenly in 256 ordered slices: a row's rank
-    is the size of the earlier slices plus its place in its own.
+    The first two hex digits of the md5 split every group evenly in 256 ordered slices: a row's offset
+    is the total of the earlier slices plus its offset in its own, so no task sorts a whole group.
     """
     digest = F.md5(F.col(id_column).cast("string"))
     sliced = df.withColumn("__digest", digest).withColumn("__slice", F.substring("__digest", 1, 2))
-    sizes = sliced.groupBy(*keys, "__slice").count()
+    sliced = sliced.withColumn("__weight", weight.cast("bigint"))
+    sizes = sliced.groupBy(*keys, "__slice").agg(F.sum("__weight").alias("__size"))
     earlier = W.partitionBy(*keys).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__offset", F.coalesce(F.sum("count").over(earlier), F.lit(0))).drop("count")
-    inside = W.partitionBy(*keys, "__slice").orderBy("__digest", id_column)
+    starts = sizes.withColumn("__start", F.coalesce(F.sum("__size").over(earlier), F.lit(0))).drop("__size")
+    inside = W.partitionBy(*keys, "__slice").orderBy("__digest", id_column).rowsBetween(W.unboundedPreceding, -1)
+    placed = sliced.withColumn("__before", F.coalesce(F.sum("__weight").over(inside), F.lit(0)))
     on = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*keys, "__slice"]])
-    placed = sliced.withColumn("__place", F.row_number().over(inside))
     return (
         placed.alias("l")
-        .join(offsets.alias("o"), on)
-        .select(*[F.col(f"l.{c}") for c in df.columns], (F.col("o.__offset") + F.col("l.__place")).alias(out))
+        .join(starts.alias("o"), on)
+        .select(*[F.col(f"l.{c}") for c in df.columns], (F.col("o.__start") + F.col("l.__before")).alias(out))
     )
+
+
+def rank_in_groups(df: DataFrame, keys: Sequence[str], id_column: str, out: str = "rank") -> DataFrame:
+    """Row number 1..n inside each group in md5(id) order; see ``offsets_in_groups``."""
+    return offsets_in_groups(df, keys, id_column, F.lit(1), out).withColumn(out, F.col(out) + 1)
