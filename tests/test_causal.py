@@ -207,6 +207,21 @@ def test_propensity_matches_newton(spark):
     assert psm.caliper_width(scored) == pytest.approx(0.2 * np.std(got, ddof=1))
 
 
+def test_separated_scores_are_bounded_and_repeatable(spark):
+    rng = np.random.default_rng(8)
+    x, rare = rng.normal(0, 1, 600), np.arange(600) % 50 == 0
+    t = ((rng.random(600) < 1 / (1 + np.exp(-x))) | rare).astype(int)  # the rare group is always treated
+    df = spark.createDataFrame([(i, int(t[i]), float(x[i]), float(rare[i])) for i in range(600)], "user_id int, t int, a double, b double")
+    runs = []
+    for k in (1, 3, 7):
+        scored = psm.propensity_scores(df.repartition(k), "t", ["a", "b"])
+        runs.append([(r["user_id"], r["logit"]) for r in scored.orderBy("user_id").collect()])
+    assert runs[0] == runs[1] == runs[2]
+    assert {round(v, 3) for i, v in runs[0] if rare[i]} == {13.816}
+    pairs = [psm.match_pairs(psm.propensity_scores(df.repartition(k), "t", ["a", "b"]), "t", 0.2) for k in (2, 5)]
+    assert pairs[0].exceptAll(pairs[1]).count() == 0 and pairs[0].count() == pairs[1].count() > 0
+
+
 def test_effect_balance_and_bounds(spark):
     rows = [(f"t{i}", 1, float(i < 6), float(i)) for i in range(20)] + [(f"c{i}", 0, float(i < 14), float(i) + 1) for i in range(20)]
     df = spark.createDataFrame(rows, "user_id string, t int, y double, x double")

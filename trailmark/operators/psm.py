@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,6 +22,7 @@ from trailmark.plans.skew import offsets_in_groups, rank_in_groups
 # The confounders matched on.
 MATCH_COVARIATES = ("plan_premium", "n_features", "total_events", "total_scans", "total_opens", "active_days")
 RANK_BLOCK = 256
+SCORE_FLOOR = 1e-6
 
 
 def psm_dataset(
@@ -60,16 +62,22 @@ def propensity_scores(data: DataFrame, treatment: str, covariates: Sequence[str]
     """Add ``propensity`` and its ``logit`` from an unpenalised logistic regression.
 
     With few covariates, reweighted least squares needs a handful of passes, one p x p system each.
-    The logit is rounded to 9 digits so users with equal covariates have equal scores. The data are
-    written once first: fitting reads them many times, and so does matching afterwards.
+    Where covariates separate the arms the fitted logit grows without limit, so scores are held inside
+    [SCORE_FLOOR, 1 - SCORE_FLOOR]. The logit is rounded to 6 digits, past the noise of the order in
+    which partitions are summed, so the same data always give the same matches. The data are written
+    once first: fitting reads them several times, and so does matching afterwards.
     """
     data = cut(data)
     features = VectorAssembler(inputCols=list(covariates), outputCol="__x").transform(data)
     model = GeneralizedLinearRegression(
         family="binomial", link="logit", featuresCol="__x", labelCol=treatment, maxIter=50, tol=1e-9,
-        predictionCol="propensity", linkPredictionCol="logit",
+        predictionCol="__p", linkPredictionCol="__margin",
     ).fit(features)
-    return model.transform(features).select(*data.columns, "propensity", F.round("logit", 9).alias("logit"))
+    edge = math.log((1 - SCORE_FLOOR) / SCORE_FLOOR)
+    logit = F.round(F.greatest(F.least("__margin", F.lit(edge)), F.lit(-edge)), 6)
+    return model.transform(features).select(
+        *data.columns, (1 / (1 + F.exp(-logit))).alias("propensity"), logit.alias("logit")
+    )
 
 
 def score_summary(scored: DataFrame, treatment: str) -> DataFrame:
