@@ -118,6 +118,11 @@ def arm_totals(values: DataFrame, keys: Sequence[str] = ("experiment_id",)) -> D
     return per_arm.groupBy(*keys).agg(*cells)
 
 
+SRM_COLUMNS = (
+    "n_control", "n_treatment", "observed_ratio", "expected_ratio", "chi2_statistic", "srm_p_value", "srm_detected"
+)
+
+
 def check_srm(
     counts: DataFrame,
     n_control: str = "n_control",
@@ -379,6 +384,11 @@ def decide(srm: Column, significant: Column, lift: Column, direction: Column | N
     )
 
 
+def _nest(df: DataFrame, keep: Sequence[str], name: str, only: Sequence[str] | None = None) -> DataFrame:
+    """Fold the columns not kept (or ``only`` some of them) into one struct."""
+    return df.select(*keep, F.struct(*(only or [c for c in df.columns if c not in keep])).alias(name))
+
+
 def analyze_experiments(
     assignments: DataFrame,
     metrics: DataFrame,
@@ -398,27 +408,20 @@ def analyze_experiments(
     if validate:
         require_known_metrics(metrics, config)
     values = arm_values(assignments, metrics, config)
-    totals = arm_totals(values)
-    srm = check_srm(totals.select("experiment_id", F.col("n_c").alias("n_control"), F.col("n_t").alias("n_treatment")))
-
-    def nested(df: DataFrame, name: str) -> DataFrame:
-        return df.select("experiment_id", F.struct(*[c for c in df.columns if c != "experiment_id"]).alias(name))
-
+    # Every test is arithmetic on the experiment's one row of totals, so results are added side by side.
     if metric_type == "proportion":
-        primary = nested(proportion_test(totals, alpha), "primary_test")
-        second = nested(proportion_test(totals, alpha, "chi_square"), "chi_square_test")
+        rows = arm_totals(values)
+        rows = _nest(proportion_test(rows, alpha, keys=rows.columns), rows.columns, "primary_test")
+        rows = _nest(proportion_test(rows, alpha, "chi_square", rows.columns), rows.columns, "chi_square_test")
+        rows = rows.withColumnsRenamed({"n_c": "n_control", "n_t": "n_treatment"})
     else:
-        primary = nested(means_test(values, alpha), "primary_test")
-        second = None
-    out = (
-        config.select("experiment_id", "primary_metric", "desired_direction")
-        .join(nested(srm, "srm_check"), "experiment_id")
-        .join(primary, "experiment_id", "left")
-    )
-    if second is not None:
-        out = out.join(second, "experiment_id", "left")
+        rows = _nest(means_test(values, alpha), ["experiment_id"], "primary_test")
+        rows = rows.select("*", "primary_test.n_control", "primary_test.n_treatment")
+    tests = [c for c in rows.columns if c.endswith("_test")]
+    rows = _nest(check_srm(rows), ["experiment_id", *tests], "srm_check", only=SRM_COLUMNS)
+    out = config.select("experiment_id", "primary_metric", "desired_direction").join(rows, "experiment_id")
     if bootstrap is not None:
-        out = out.join(nested(bootstrap, "bootstrap"), "experiment_id", "left")
+        out = out.join(_nest(bootstrap, ["experiment_id"], "bootstrap"), "experiment_id", "left")
     args = (F.col("srm_check.srm_detected"), F.col("primary_test.significant"), F.col("primary_test.relative_lift"))
     return out.select(
         "*",
@@ -436,15 +439,12 @@ def summarize_all_experiments(
     if validate:
         require_known_metrics(metrics, tested)
     totals = arm_totals(arm_values(assignments, metrics, tested))
-    test = proportion_test(totals, alpha)
-    srm = check_srm(test.select("experiment_id", "n_control", "n_treatment")).select("experiment_id", "srm_detected")
+    test = check_srm(proportion_test(totals, alpha))
     skipped = F.col("analysis_method") == DID
     decision = decide(F.col("srm_detected"), F.col("significant"), F.col("relative_lift"))
     business = decide(F.col("srm_detected"), F.col("significant"), F.col("relative_lift"), F.col("desired_direction"))
     return (
-        config.join(test, "experiment_id", "left")
-        .join(srm, "experiment_id", "left")
-        .select(
+        config.join(test, "experiment_id", "left").select(
             "experiment_id",
             "name",
             "primary_metric",

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.dates import days_between, in_date_range
 from trailmark.functions.numeric import percent
-from trailmark.plans.local import side_by_side
 from trailmark.plans.quantiles import exact_percentiles
 from trailmark.plans.skew import hot_keys, join_salting_hot_keys
 
@@ -191,15 +190,8 @@ def calculate_time_to_convert(
     """Converted users and the median, 25th, 75th and 90th percentile of days to convert."""
     keys = [segment_by] if segment_by else []
     times = _with_segment(conversion_times(events, start_event, end_event), users, segment_by)
-    counts = times.groupBy(*keys).agg(F.count("*").alias("converted_users"))
-    spread = exact_percentiles(times, keys, "days_to_convert", CONVERT_PERCENTILES)
-    rounded = [F.round(name, 2).alias(name) for name in CONVERT_PERCENTILES]
-    if not keys:
-        return side_by_side(counts, spread).select("converted_users", *rounded)
-    on = F.col(f"c.{segment_by}").eqNullSafe(F.col(f"s.{segment_by}"))
-    return (
-        counts.alias("c").join(spread.alias("s"), on).select(f"c.{segment_by}", "converted_users", *rounded)
-    )
+    spread = exact_percentiles(times, keys, "days_to_convert", CONVERT_PERCENTILES, count="converted_users")
+    return spread.select(*keys, "converted_users", *[F.round(name, 2).alias(name) for name in CONVERT_PERCENTILES])
 
 
 def drop_off_counts(

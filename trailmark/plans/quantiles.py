@@ -19,11 +19,12 @@ ACCURACY = 10_000
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float], count: str | None = None
 ) -> DataFrame:
     """Linearly interpolated percentiles per group: ``keys``, then one column per name, NULLs ignored.
 
-    Without keys the result is one row, with NULLs when there is no value.
+    ``count`` names an extra column with the number of values. Without keys the result is one row, with
+    NULLs when there is no value.
     """
     names = list(probabilities)
     ps = [float(probabilities[n]) for n in names]
@@ -75,6 +76,7 @@ def exact_percentiles(
         F.max(F.when(holds(F.floor("at")), F.col("rep"))).alias("lo"),
         F.max(F.when(holds(F.ceil("at")), F.col("rep"))).alias("hi"),
         (F.max("at") - F.floor(F.max("at"))).alias("frac"),
+        F.max("n").alias("n"),
         F.bool_or(misplaced(F.floor("at")) | misplaced(F.ceil("at"))).alias("off"),
         F.max(F.when(F.col("side") < 0, F.col("top"))).alias("below"),
         F.min("inside").alias("first_in"),
@@ -90,7 +92,8 @@ def exact_percentiles(
     )
     result = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")
     return picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("p") == i, result)).alias(n) for i, n in enumerate(names)]
+        *([F.coalesce(F.max("n"), F.lit(0)).alias(count)] if count else []),
+        *[F.max(F.when(F.col("p") == i, result)).alias(n) for i, n in enumerate(names)],
     )
 
 
