@@ -87,7 +87,10 @@ def test_written_events_are_dated_and_read_back(spark, root, tmp_path):
     assert back.columns == source.load_table("events").columns
     assert back.exceptAll(source.load_table("events")).count() == 0 and back.count() == 4
     assert (tmp_path / "out" / "events.parquet" / "event_date=2024-03-31").is_dir()
-    assert target.query_events(date_range=("2024-03-31", "2024-04-01")).count() == 2
+    ranged = target.query_events(date_range=("2024-03-31", "2024-04-01"))
+    assert ranged.count() == 2
+    scan = [line for line in ranged._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line][0]
+    assert "event_date" in scan.split("PartitionFilters")[1].split("]")[0]
     assert {r["table"]: r["rows"] for r in target.get_table_info().collect()} == {"users": 2, "events": 4}
 
 

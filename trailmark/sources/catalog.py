@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from trailmark.functions.dates import in_date_range
+from trailmark.functions.dates import in_date_range, timestamp_literal
 from trailmark.plans.local import local_table
 from trailmark.sources.schemas import DDL, REQUIRED, schema
 
@@ -115,8 +115,11 @@ class Catalog:
         date_range: tuple | None = None,
         limit: int | None = None,
     ) -> DataFrame:
-        """Filtered event scan; see ``filter_events``."""
+        """Filtered event scan; see ``filter_events``. A range also prunes the date folders of the sink."""
         raw = self.spark.read.parquet(self.path("events"))
+        if date_range and "event_date" in raw.columns:
+            days = [F.to_date(timestamp_literal(d)) for d in date_range]
+            raw = raw.where(F.col("event_date").between(*days))
         if date_range and isinstance(raw.schema["timestamp"].dataType, T.StringType):
             # A cast hides the stored text from the Parquet filter. ISO text sorts like time, so this
             # wider text test can be pushed down; the typed test still decides.
