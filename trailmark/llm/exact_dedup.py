@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import WHITE
+from trailmark.llm.common import WHITE, cut
 
 PREFIX = 64  # characters of the text without white characters
 BITS = 32768  # positions of one bitmap of bitmap_construct_agg: a fixed value of that function
@@ -61,7 +61,7 @@ def exact_duplicates(
     crowded = by_length.where("n > 1").withColumns(marked)
     maps = crowded.groupBy("__map").agg(F.bitmap_construct_agg("__at").alias("__bits"))
 
-    hashed = (
+    hashed = cut(
         rows.withColumns(marked)
         .join(F.broadcast(maps), "__map", "left")
         .withColumn("open", F.coalesce(_bit("__bits", "__at"), F.lit(False)))
