@@ -10,8 +10,8 @@ from __future__ import annotations
 import base64
 import heapq
 import pickle
+from array import array
 from collections.abc import Iterable, Mapping
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from trailmark.llm.common import by_batch
 
 VOCABULARY_LIMIT = 5_000_000  # entries: a vocabulary is broadcast, a longer one is refused
-MEMO = 300_000  # chunks and pre-tokens a task remembers; past that it forgets them and goes on
+MEMO = 400_000  # pre-tokens and short chunks of each of the two generations that a worker remembers
 
 
 class PerfectHash:
@@ -72,7 +72,7 @@ class PerfectHash:
         return self.ranks[slot] if self.keys[slot] == key else None
 
 
-POSITION = 40  # bits of a heap entry that hold the position; the rank stands above them
+POSITION = 32  # bits of a heap entry that hold the position; the rank stands above them
 
 
 def pair_ranks(ranks: Mapping[bytes, int]) -> dict[int, int]:
@@ -94,34 +94,30 @@ def merge_bytes(piece: list[int], pairs: Mapping[int, int]) -> list[int]:
     """
     parts, n = piece[:], len(piece)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    joint, heap, known = [-1] * n, [], pairs.get
-    for i in range(n - 1):
-        rank = known(parts[i] << 20 | parts[i + 1])
-        if rank is not None:
-            joint[i] = rank
-            heap.append(rank << POSITION | i)
+    known, pop, push = pairs.get, heapq.heappop, heapq.heappush
+    joint = [known(a << 20 | b, -1) for a, b in zip(piece, piece[1:])]
+    heap = [rank << POSITION | i for i, rank in enumerate(joint) if rank >= 0]
+    joint.append(-1)
     heapq.heapify(heap)
-    place = (1 << POSITION) - 1
     while heap:
-        entry = heapq.heappop(heap)
-        i, rank = entry & place, entry >> POSITION
+        entry = pop(heap)
+        rank = entry >> POSITION
+        i = entry - (rank << POSITION)
         if joint[i] != rank:
             continue  # one of the two has joined another meanwhile
         gone = after[i]
+        parts[i], joint[gone], after[i], joint[i] = rank, -1, after[gone], -1
         end = after[gone]
-        parts[i], joint[gone], after[i], joint[i] = rank, -1, end, -1
         if end < n:
             before[end] = i
-            new = known(rank << 20 | parts[end])
-            if new is not None:
-                joint[i] = new
-                heapq.heappush(heap, new << POSITION | i)
+            joint[i] = new = known(rank << 20 | parts[end], -1)
+            if new >= 0:
+                push(heap, new << POSITION | i)
         left = before[i]
         if left >= 0:
-            new = known(parts[left] << 20 | rank)
-            joint[left] = -1 if new is None else new
-            if new is not None:
-                heapq.heappush(heap, new << POSITION | left)
+            joint[left] = new = known(parts[left] << 20 | rank, -1)
+            if new >= 0:
+                push(heap, new << POSITION | left)
     ids, at = [], 0
     while at < n:
         ids.append(parts[at])
@@ -146,11 +142,12 @@ class Codec:
 
     def _start(self) -> None:
         self.split, self.chunks = regex.compile(self.pattern).findall, regex.compile(self.CHUNK).findall
-        self.memo: dict[str, list[int]] = {}  # chunks met before
-        self.pieces: dict[str, list[int]] = {}  # pre-tokens met before
+        # What has been met before, as int32 bytes: unlike lists they cost the garbage collector nothing.
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("split", "chunks", "memo", "pieces")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("split", "chunks", "memo", "older")}
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
@@ -167,30 +164,37 @@ class Codec:
             raise ValueError(f"the vocabulary lacks a byte of {token!r}")
         return merge_bytes(parts, self.pairs)
 
-    @staticmethod
-    def _keep(memo: dict[str, list[int]], key: str, ids: list[int]) -> None:
+    def _keep(self, key: str, ids: bytes) -> bytes:
         if len(key) <= 64:
-            if len(memo) >= MEMO:
-                memo.clear()
-            memo[key] = ids
-
-    def _chunk(self, chunk: str) -> list[int]:
-        out = []
-        for token in self.split(chunk):
-            ids = self.pieces.get(token)
-            if ids is None:
-                ids = self.piece(token)
-                self._keep(self.pieces, token, ids)
-            out += ids
-        self._keep(self.memo, chunk, out)
-        return out
+            if len(self.memo) >= MEMO:
+                self.older, self.memo = self.memo, {}
+            self.memo[key] = ids
+        return ids
 
-    def encode(self, text: str | None) -> list[int]:
-        known, ids = self.memo.get, []
-        for chunk in self.chunks(text or ""):
-            ids += known(chunk) or self._chunk(chunk)
+    def _token(self, token: str) -> bytes:
+        ids = self.memo.get(token)
+        if ids is None:
+            ids = self.older.get(token)
+            ids = self._keep(token, array("i", self.piece(token)).tobytes() if ids is None else ids)
         return ids
 
+    def _chunk(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            # Letters after at most one space are one pre-token by any such pattern.
+            if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
+                return self._token(chunk)
+            ids = b"".join([self._token(token) for token in self.split(chunk)])
+        return self._keep(chunk, ids)
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as int32 bytes."""
+        known, make = self.memo.get, self._chunk
+        return b"".join([known(chunk) or make(chunk) for chunk in self.chunks(text or "")])
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.packed(text), dtype=np.int32).tolist()
+
     def decode(self, ids: Iterable[int] | None) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids]) if ids is not None else b""
 
@@ -243,11 +247,11 @@ def encode(df: DataFrame, codec, text_column: str = "text", out: str = "ids") ->
         coder = _unpacked(codec)
 
         def build(texts: pa.Array) -> pa.Array:
-            lists = [coder.encode(t) for t in texts.to_pylist()]
-            offsets = np.zeros(len(lists) + 1, dtype=np.int32)
-            np.cumsum([len(x) for x in lists], out=offsets[1:])
-            flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(offsets[-1]))
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            packed = [coder.packed(t) for t in texts.to_pylist()]
+            offsets = np.zeros(len(packed) + 1, dtype=np.int32)
+            np.cumsum([len(x) // 4 for x in packed], out=offsets[1:])
+            flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(packed))])
+            return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
         return build
 
@@ -261,8 +265,9 @@ def decode(df: DataFrame, codec, ids_column: str = "ids", out: str = "decoded")
         coder = _unpacked(codec)
 
         def build(lists: pa.Array) -> pa.Array:
-            offsets, flat = lists.offsets.to_pylist(), lists.values.to_pylist()
-            return pa.array([coder.decode(flat[a:b]) for a, b in zip(offsets, offsets[1:])], pa.binary())
+            # The batch may be a slice: its offsets count from the start of the values of the whole.
+            offsets, flat = lists.offsets.to_pylist(), lists.values.to_numpy(zero_copy_only=False)
+            return pa.array([coder.decode(flat[x:y].tolist()) for x, y in zip(offsets, offsets[1:])], pa.binary())
 
         return build
 
