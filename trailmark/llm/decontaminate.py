@@ -16,7 +16,7 @@ NUMBER, NAME, UNIT = "#number", "#name", "#unit"
 
 #: Words counted as units, and as numbers.
 UNITS = (
-    "mm cm km metre metres meter meters mile miles inch inches foot feet yard yards mg kg gram grams kilogram "
+    "mm cm km kilometre kilometres kilometer kilometers metre metres meter meters mile miles inch inches foot feet yard yards mg kg gram grams kilogram "
     "kilograms pound pounds ounce ounces ton tons litre litres liter liters ml gallon gallons second seconds "
     "minute minutes hour hours day days week weeks month months year years dollar dollars euro euros cent cents "
     "rupee rupees yen percent degree degrees watt watts volt volts byte bytes kb mb gb"

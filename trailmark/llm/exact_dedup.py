@@ -49,8 +49,8 @@ def exact_duplicates(
 
     Texts are equal when they agree after ``without_white``. The row with most code points in its original text
     stays, ties go to the smallest id, NULL ids last. ``level`` is the step that settled the row: 'prefix' (no
-    other row has its length and prefix hash) or 'full'; ``full_hash`` (SHA-256) is NULL for rows never read
-    again. Rows equal in id, text and size are told apart by ``copy`` = 1, 2, ...; only copy 1 can stay. NULL
+    other row has its length and prefix hash) or 'full'; ``full_hash`` (SHA-256) is NULL for rows never hashed
+    whole. Rows equal in id, text and size are told apart by ``copy`` = 1, 2, ...; only copy 1 can stay. NULL
     and white texts are equal to the empty one. An empty table gives no rows. The broadcast is ``bitmaps`` x 4 KiB.
     """
     rows = with_sketch(docs, id_column, text_column, prefix)
@@ -79,13 +79,12 @@ def exact_duplicates(
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
     )
     stays = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("most")) & (F.col("copy") == 1)
-    settled = F.when(F.col("group_size") > 1, "full").otherwise("prefix")
     out = ["id", "keep_id", "group_size", "kept", "level", "chars", *key, "copy"]
     alone = hashed.where("full_hash is null").select(
         "*", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"),
         F.lit("prefix").alias("level"), F.lit(1).alias("copy"),
     )
-    return told.withColumn("kept", stays).withColumn("level", settled).select(out).unionByName(alone.select(out))
+    return told.withColumn("kept", stays).withColumn("level", F.lit("full")).select(out).unionByName(alone.select(out))
 
 
 def text_hash(text: Column) -> Column:
