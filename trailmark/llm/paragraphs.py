@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import by_batch, cut
+from trailmark.llm.common import by_batch, cut, stored
 from trailmark.llm.components import components
 
 SHINGLE = 5
@@ -140,7 +140,7 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     what is joined back are the repeated ones.
     """
     length = 2 * REACH + SHINGLE
-    found = _passages(docs, id_column, text_column).where("id is not null")
+    found = stored(_passages(docs, id_column, text_column).where("id is not null"))
     held = found.groupBy("key").agg(F.min("id").alias("source"), F.max("id").alias("last")).where("source != last")
     rows = found.join(held.select("key", "source"), "key")
     order = W.partitionBy("id").orderBy("start", "source")
