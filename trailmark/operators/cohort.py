@@ -51,7 +51,7 @@ def _retention(cohorts: DataFrame, activity: DataFrame, extra: Sequence[str], pe
 def _cohorts(users: DataFrame, period: str, *extra: str | Column) -> DataFrame:
     return users.where(F.col("user_id").isNotNull()).select(
         "user_id", period_start("signup_date", period).alias("cohort_period"), *extra
-    )
+    ).distinct()  # a user counts once in a cohort, however often listed
 
 
 def calculate_retention_cohorts(

@@ -42,7 +42,8 @@ def _with_segment(per_user: DataFrame, users: DataFrame | None, segment_by: str
         return per_user
     if users is None:
         raise ValueError("segment_by needs the users table")
-    return per_user.join(users.select("user_id", segment_by), "user_id", "left")
+    # A user listed twice with one value is one user; with two values, one in each segment.
+    return per_user.join(users.select("user_id", segment_by).distinct(), "user_id", "left")
 
 
 def _count_steps(reached: DataFrame, n: int, keys: list[str]) -> DataFrame:

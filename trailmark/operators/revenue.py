@@ -50,7 +50,7 @@ def subscription_revenue(
 def _with_revenue(users: DataFrame, revenue: DataFrame, key: Column) -> DataFrame:
     """One row per user: key, revenue with 0 for users who have none."""
     zero = F.lit(0).cast("decimal(24,2)")
-    return users.select("user_id", key).join(revenue, "user_id", "left").withColumn(
+    return users.select("user_id", key).distinct().join(revenue, "user_id", "left").withColumn(
         "revenue", F.coalesce("total_revenue", zero)
     )
 
@@ -129,7 +129,7 @@ def simple_ltv(
         F.sum(value).alias("value"),
         F.sum(F.when(F.col("end_date").isNull(), value)).alias("open_value"),
     )
-    joined = users.select("user_id", period_start("signup_date", cohort_period).alias("cohort_period")).join(
+    joined = users.select("user_id", period_start("signup_date", cohort_period).alias("cohort_period")).distinct().join(
         per_user, "user_id", "left"
     )
     out = joined.groupBy("cohort_period").agg(

@@ -1,4 +1,4 @@
-"""Funnel queries over one day of events (over all days every user has done everything)."""
+"""Funnel queries over all events; ``*_one_day`` show the date range."""
 
 from __future__ import annotations
 
@@ -12,9 +12,9 @@ IN_DAY = "timestamp BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-
 
 # The check follows the textbook shape: one distinct user set per step, joined to the first.
 STEP_SETS = ", ".join(
-    f"s{i} AS (SELECT DISTINCT user_id FROM events_e WHERE event_type = '{event}' AND {IN_DAY})"
-    for i, (_, event) in enumerate(STEPS)
+    f"s{i} AS (SELECT DISTINCT user_id FROM events_e WHERE event_type = '{event}')" for i, (_, event) in enumerate(STEPS)
 )
+DAY_SETS = STEP_SETS.replace("')", f"' AND {IN_DAY})")
 RATES = f"""step_0_users, step_1_users, step_2_users,
     {pct('step_1_users', 'step_0_users')} AS step_0_to_1_rate, {pct('step_1_users', 'step_0_users')} AS step_0_to_1_incremental,
     {pct('step_2_users', 'step_0_users')} AS step_0_to_2_rate, {pct('step_2_users', 'step_1_users')} AS step_1_to_2_incremental"""
@@ -29,23 +29,31 @@ def by_segment(segment: str) -> str:
         SELECT u.{segment}, {COUNTS} {JOINS} LEFT JOIN users_e u ON s0.user_id = u.user_id GROUP BY u.{segment})"""
 
 
-def day_funnel(v, segment=None, **how):
-    return fn.calculate_funnel(v.events_e, STEPS, v.users_e if segment else None, segment, DAY, **how)[0]
+def funnel(v, segment=None, days=None):
+    return fn.calculate_funnel(v.events_e, STEPS, v.users_e if segment else None, segment, days)[0]
 
 
 @registry.add("funnel_overall", f"{OVERALL} SELECT {RATES} FROM f")
 def _(v):
-    return day_funnel(v)
+    return funnel(v)
 
 
 @registry.add("funnel_by_segment", f"{by_segment('acquisition_channel')} SELECT acquisition_channel, {RATES} FROM f")
 def _(v):
-    return day_funnel(v, "acquisition_channel")
+    return funnel(v, "acquisition_channel")
+
+
+@registry.add(
+    "funnel_by_segment_one_day",
+    f"{by_segment('acquisition_channel')} SELECT acquisition_channel, {RATES} FROM f".replace(STEP_SETS, DAY_SETS),
+)
+def _(v):
+    return funnel(v, "acquisition_channel", DAY)
 
 
 @registry.add(
     "funnel_by_segment_all_days",
-    f"{by_segment('country')} SELECT country, {RATES} FROM f".replace(f" AND {IN_DAY}", ""),
+    f"{by_segment('country')} SELECT country, {RATES} FROM f",
 )
 def _(v):
     return fn.calculate_funnel(v.events_e, STEPS, v.users_e, "country")[0]
@@ -57,7 +65,7 @@ def _(v):
         {pct('step_2_users', 'step_0_users')} AS step_0_to_2_rate FROM f ORDER BY step_0_users DESC, country LIMIT 6""",
 )
 def _(v):
-    return fn.top_segments(day_funnel(v, "country"), "country", 6)
+    return fn.top_segments(funnel(v, "country"), "country", 6)
 
 
 @registry.add(
@@ -69,7 +77,7 @@ def _(v):
     UNION ALL SELECT 2, 'Purchased', step_2_users, {pct('step_2_users', 'step_0_users')}, NULL, NULL FROM f""",
 )
 def _(v):
-    return fn.funnel_long(day_funnel(v), STEPS)
+    return fn.funnel_long(funnel(v), STEPS)
 
 
 @registry.add(
@@ -81,7 +89,7 @@ def _(v):
         coalesce({pct('step_2_users', 'step_1_users')} <= 100, true), {pct('step_2_users', 'step_1_users')} FROM f""",
 )
 def _(v):
-    return fn.funnel_validity(day_funnel(v, "acquisition_channel"), STEPS, ["acquisition_channel"])
+    return fn.funnel_validity(funnel(v, "acquisition_channel"), STEPS, ["acquisition_channel"])
 
 
 ORDERED = """WITH t0 AS (SELECT user_id, session_id, min(timestamp) AS t FROM events_e WHERE event_type = 'view' GROUP BY ALL),
@@ -130,14 +138,19 @@ def stage_sql(i: int) -> str:
         GROUP BY u.country, u.acquisition_channel"""
 
 
-@registry.add(
-    "drop_off_reasons",
-    f"""WITH {STEP_SETS}, c AS ({stage_sql(0)} UNION ALL {stage_sql(1)}),
+DROP_OFF = f"""c AS ({stage_sql(0)} UNION ALL {stage_sql(1)}),
     r AS (SELECT *, row_number() OVER (PARTITION BY stage_no ORDER BY dropped_users DESC, country NULLS FIRST,
           acquisition_channel NULLS FIRST) AS rn FROM c WHERE dropped_users > 0)
     SELECT dropped_at_stage, dropped_users, country, acquisition_channel, users_in_segment,
-        {pct('dropped_users', 'users_in_segment')} AS drop_off_rate FROM r WHERE rn <= 10""",
-)
+        {pct('dropped_users', 'users_in_segment')} AS drop_off_rate FROM r WHERE rn <= 10"""
+
+
+@registry.add("drop_off_reasons", f"WITH {STEP_SETS}, {DROP_OFF}")
+def _(v):
+    return fn.calculate_drop_off_reasons(v.events_e, v.users_e, STEPS)
+
+
+@registry.add("drop_off_reasons_one_day", f"WITH {DAY_SETS}, {DROP_OFF}")
 def _(v):
     return fn.calculate_drop_off_reasons(v.events_e, v.users_e, STEPS, date_range=DAY)
 
@@ -145,12 +158,12 @@ def _(v):
 STAGES = [("views", "view"), ("clicks", "click"), ("purchases", "purchase"), ("errors", "error")]
 EXPERIMENT = f"""x AS (SELECT user_id, variant FROM assignments WHERE experiment_id = 'exp_001'),
     f AS (SELECT variant, {', '.join(f"count(DISTINCT CASE WHEN event_type = '{e}' THEN user_id END) AS {n}" for n, e in STAGES)}
-          FROM (SELECT e.user_id, x.variant, e.event_type FROM events_e e JOIN x ON e.user_id = x.user_id WHERE {IN_DAY})
+          FROM (SELECT e.user_id, x.variant, e.event_type FROM events_e e JOIN x ON e.user_id = x.user_id)
           GROUP BY variant)"""
 
 
 def experiment(v):
-    return fn.experiment_funnel(v.events_e, v.assignments, "exp_001", STAGES, DAY)
+    return fn.experiment_funnel(v.events_e, v.assignments, "exp_001", STAGES)
 
 
 @registry.add(

@@ -123,8 +123,9 @@ class Catalog:
         if date_range and isinstance(raw.schema["timestamp"].dataType, T.StringType):
             # A cast hides the stored text from the Parquet filter. ISO text sorts like time, so this
             # wider text test can be pushed down; the typed test still decides.
-            lo, hi = str(date_range[0])[:10], str(date_range[1])[:10]
-            raw = raw.where((F.col("timestamp") >= lo) & (F.col("timestamp") < hi + "~"))
+            # The bounds are the days of the typed range, written as stored text has them.
+            lo, hi = (F.date_format(timestamp_literal(d), "yyyy-MM-dd") for d in date_range)
+            raw = raw.where((F.col("timestamp") >= lo) & (F.col("timestamp") < F.concat(hi, F.lit("~"))))
         return filter_events(typed(raw, "events"), event_types, user_ids, date_range, limit)
 
     def get_table_info(self) -> DataFrame:
