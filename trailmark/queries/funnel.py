@@ -43,6 +43,11 @@ def _(v):
     return funnel(v, "acquisition_channel")
 
 
+@registry.add("funnel_one_day", f"{OVERALL} SELECT {RATES} FROM f".replace(STEP_SETS, DAY_SETS))
+def _(v):
+    return funnel(v, None, DAY)
+
+
 @registry.add(
     "funnel_by_segment_one_day",
     f"{by_segment('acquisition_channel')} SELECT acquisition_channel, {RATES} FROM f".replace(STEP_SETS, DAY_SETS),
