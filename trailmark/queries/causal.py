@@ -26,10 +26,10 @@ def panel(v):
 
 ROLLOUT = """ro AS (SELECT a.user_id, CASE WHEN a.variant = 'rollout_group' THEN 1 ELSE 0 END AS treated, u.country, a.assigned_at
     FROM assignments a LEFT JOIN users_e u ON a.user_id = u.user_id WHERE a.experiment_id = 'exp_004')"""
-PANEL = f"""{ROLLOUT}, pa AS (SELECT w.*, ro.treated, ro.country FROM (
-    SELECT user_id, CAST(date_trunc('week', timestamp) AS DATE) AS week, count(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchases,
-        count(CASE WHEN event_type = 'click' THEN 1 END) AS clicks, count(*) AS total_events
-    FROM events_e WHERE user_id IN (SELECT user_id FROM ro) GROUP BY 1, 2) w JOIN ro ON w.user_id = ro.user_id)"""
+PANEL = f"""{ROLLOUT}, dated AS (SELECT *, CAST(timestamp AS DATE) - CAST(isodow(timestamp) - 1 AS INTEGER) AS week FROM events_e),
+    pa AS (SELECT ro.user_id, dated.week, ro.treated, ro.country, count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+        count(*) FILTER (WHERE event_type = 'click') AS clicks, count(*) AS total_events
+        FROM ro JOIN dated USING (user_id) GROUP BY ALL)"""
 
 
 @registry.add(

@@ -9,32 +9,32 @@ registry = Registry()
 FEATURE = "feature_1"
 
 
-def boundaries(period: str) -> str:
-    return f"date_diff('{period}', ca.cohort_period, ca.activity_period)"
-
-
-def retention_sql(users: str, events: str, event: str, period: str, most: int, extra: str = "", join: str = "") -> str:
-    """CTE ``ret`` in the shape cohorts -> distinct activity -> counts -> sizes."""
-    key = f"{extra}, " if extra else ""
-    same = f" AND ca.{extra} = cs.{extra}" if extra else ""
-    source = {"acquisition_channel": "u.acquisition_channel, ", "": ""}.get(
-        extra, f"CASE WHEN fa.user_id IS NOT NULL THEN 'Adopted' ELSE 'Not Adopted' END AS {extra}, "
-    )
-    return f"""uc AS (SELECT u.user_id, {source}CAST(date_trunc('{period}', u.signup_date) AS DATE) AS cohort_period FROM {users} u {join}),
-    ua AS (SELECT DISTINCT user_id, CAST(date_trunc('{period}', timestamp) AS DATE) AS activity_period FROM {events} WHERE event_type = '{event}'),
-    ca AS (SELECT {key}cohort_period, activity_period, count(DISTINCT ua.user_id) AS active_users
-           FROM uc JOIN ua ON uc.user_id = ua.user_id GROUP BY {key}cohort_period, activity_period),
-    cs AS (SELECT {key}cohort_period, count(DISTINCT user_id) AS cohort_size FROM uc GROUP BY {key}cohort_period),
-    ret AS (SELECT {f'ca.{extra}, ' if extra else ''}ca.cohort_period, cs.cohort_size, ca.activity_period, {boundaries(period)} AS periods_out,
-            ca.active_users, {pct('ca.active_users', 'cs.cohort_size')} AS retention_pct
-            FROM ca JOIN cs ON ca.cohort_period = cs.cohort_period{same} WHERE {boundaries(period)} <= {most})"""
+def retention_sql(users: str, events: str, event: str, period: str, most: int, group: str = "", label: str = "") -> str:
+    """CTE ``ret`` from a presence grid: each member beside each period that occurs, marked where the member was there.
+
+    ``label`` is the expression behind the further key ``group``.
+    """
+    key = f"{group}, " if group else ""
+    named = f"{label} AS {group}, " if group else ""
+    return f"""presence AS (
+        SELECT member.*, span.activity_period, EXISTS (
+            SELECT 1 FROM {events} e WHERE e.event_type = '{event}' AND e.user_id = member.user_id
+            AND CAST(date_trunc('{period}', e.timestamp) AS DATE) = span.activity_period) AS there
+        FROM (SELECT DISTINCT {named}user_id, CAST(date_trunc('{period}', signup_date) AS DATE) AS cohort_period FROM {users}) member
+        CROSS JOIN (SELECT DISTINCT CAST(date_trunc('{period}', timestamp) AS DATE) AS activity_period FROM {events}) span),
+    grid AS (SELECT {key}cohort_period, activity_period, date_diff('{period}', cohort_period, activity_period) AS periods_out,
+        count(*) AS cohort_size, count(*) FILTER (WHERE there) AS active_users
+        FROM presence GROUP BY {key}cohort_period, activity_period),
+    ret AS (SELECT *, {pct('active_users', 'cohort_size')} AS retention_pct FROM grid WHERE active_users > 0 AND periods_out <= {most})"""
 
 
 WEEKLY = retention_sql("users_e", "events_e", "purchase", "week", 8)
 MONTHLY = retention_sql("users_o", "events_o", "F", "month", 12)
-ADOPT = f"LEFT JOIN (SELECT DISTINCT user_id FROM feature_usage_o WHERE feature_name = '{FEATURE}') fa ON u.user_id = fa.user_id"
-BY_FEATURE = retention_sql("users_o", "events_o", "F", "month", 12, "adoption_status", ADOPT)
-BY_CHANNEL = retention_sql("users_e", "events_e", "purchase", "week", 8, "acquisition_channel")
+ADOPTERS = f"SELECT user_id FROM feature_usage_o WHERE feature_name = '{FEATURE}'"
+BY_FEATURE = retention_sql(
+    "users_o", "events_o", "F", "month", 12, "adoption_status", f"if(user_id IN ({ADOPTERS}), 'Adopted', 'Not Adopted')"
+)
+BY_CHANNEL = retention_sql("users_e", "events_e", "purchase", "week", 8, "acquisition_channel", "acquisition_channel")
 COLUMNS = """CAST(cohort_period AS VARCHAR) AS cohort_period, cohort_size, CAST(activity_period AS VARCHAR) AS activity_period,
     periods_out, active_users, retention_pct"""
 

@@ -86,15 +86,13 @@ def _(v):
     return en.churn_by_quarter(outcomes(v))
 
 
-ENGAGEMENT = """fc AS (SELECT user_id, count(DISTINCT feature_name) AS n_features, CAST(sum(usage_count) AS BIGINT) AS total_usage
-        FROM feature_usage_o GROUP BY user_id),
-    eg AS (SELECT user_id, count(*) AS total_events, count(CASE WHEN event_type = 'F' THEN 1 END) AS total_scans,
-        count(CASE WHEN event_type = 'O' THEN 1 END) AS total_opens, count(DISTINCT date_trunc('day', timestamp)) AS active_days
-        FROM events_o GROUP BY user_id),
-    eng AS (SELECT u.user_id, u.plan_type, coalesce(n_features, 0) AS n_features, coalesce(total_usage, 0) AS total_usage,
-        coalesce(total_events, 0) AS total_events, coalesce(total_scans, 0) AS total_scans, coalesce(total_opens, 0) AS total_opens,
-        coalesce(active_days, 0) AS active_days
-        FROM users_o u LEFT JOIN fc ON u.user_id = fc.user_id LEFT JOIN eg ON u.user_id = eg.user_id)"""
+# Usage and events in one long list of facts, counted per user by kind.
+ENGAGEMENT = """fact AS (SELECT user_id, feature_name AS feature, usage_count AS uses, NULL AS event_id, NULL AS kind, NULL AS day FROM feature_usage_o
+        UNION ALL SELECT user_id, NULL, NULL, event_id, event_type, CAST(timestamp AS DATE) FROM events_o),
+    eng AS (SELECT u.user_id, u.plan_type, count(DISTINCT feature) AS n_features, CAST(coalesce(sum(uses), 0) AS BIGINT) AS total_usage,
+        count(event_id) AS total_events, count(*) FILTER (WHERE kind = 'F') AS total_scans, count(*) FILTER (WHERE kind = 'O') AS total_opens,
+        count(DISTINCT day) AS active_days
+        FROM users_o u LEFT JOIN fact USING (user_id) GROUP BY u.user_id, u.plan_type)"""
 
 
 @registry.add("engagement_features", f"WITH {ENGAGEMENT} SELECT * FROM eng")

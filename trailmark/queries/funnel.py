@@ -115,10 +115,13 @@ def _(v):
     )[0]
 
 
-DIFFS = """a AS (SELECT user_id, min(timestamp) AS t FROM events_e WHERE event_type = 'view' GROUP BY user_id),
-    b AS (SELECT user_id, min(timestamp) AS t FROM events_e WHERE event_type = 'purchase' GROUP BY user_id),
-    d AS (SELECT u.acquisition_channel, epoch_us(b.t - a.t) / 86400e6 AS days FROM a JOIN b ON a.user_id = b.user_id
-          LEFT JOIN users_e u ON a.user_id = u.user_id WHERE b.t > a.t)"""
+# Of each user's opening events of the two kinds, the one that follows the other.
+DIFFS = """opening AS (SELECT user_id, event_type, timestamp FROM events_e WHERE event_type IN ('view', 'purchase')
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY timestamp) = 1),
+    follow AS (SELECT *, lead(timestamp) OVER (PARTITION BY user_id ORDER BY timestamp) AS later FROM opening),
+    d AS (SELECT acquisition_channel, epoch_us(later - timestamp) / 86400e6 AS days
+        FROM follow LEFT JOIN (SELECT DISTINCT user_id, acquisition_channel FROM users_e) USING (user_id)
+        WHERE event_type = 'view' AND later > timestamp)"""
 SPREAD = f"""count(*) AS converted_users, {rnd('quantile_cont(days, 0.5)', 2)} AS median_days,
     {rnd('quantile_cont(days, 0.25)', 2)} AS p25_days, {rnd('quantile_cont(days, 0.75)', 2)} AS p75_days,
     {rnd('quantile_cont(days, 0.9)', 2)} AS p90_days"""

@@ -7,22 +7,33 @@ from trailmark.queries.base import Registry, pct, rnd
 
 registry = Registry()
 AS_OF = "2001-12-31"
-PRICE = "CASE plan WHEN 'free' THEN 0.00 WHEN 'premium_monthly' THEN 9.99 WHEN 'premium_annual' THEN 99.99{other} END"
 MONTHS = f"date_diff('month', start_date, coalesce(end_date, DATE '{AS_OF}'))"
-COHORT = "CAST(date_trunc('month', u.signup_date) AS DATE)"
-REVENUE = f"""sr AS (SELECT user_id, CAST(coalesce(sum(({PRICE.format(other=' ELSE 0.00')}) * greatest({MONTHS}, 1)), 0) AS DOUBLE) AS revenue
-    FROM subscriptions_o GROUP BY user_id)"""
+COHORT = "CAST(date_trunc('month', signup_date) AS DATE)"
+PRICES = "price(plan, monthly) AS (VALUES ('free', 0.00), ('premium_monthly', 9.99), ('premium_annual', 99.99))"
 
 
+def worth_sql(months: str, key: str) -> str:
+    """CTE ``worth`` (k, user_id, revenue): a user's first subscription carries the sum over all of the user's."""
+    return f"""{PRICES}, paid AS (
+        SELECT user_id, sum(coalesce(monthly, 0) * {months}) OVER one AS revenue,
+            row_number() OVER (one ORDER BY subscription_id) AS nth
+        FROM subscriptions_o LEFT JOIN price USING (plan) WINDOW one AS (PARTITION BY user_id)),
+    worth AS (SELECT k, m.user_id, CAST(coalesce(revenue, 0) AS DOUBLE) AS revenue
+        FROM (SELECT DISTINCT {key} AS k, user_id FROM users_o) m LEFT JOIN paid ON paid.user_id = m.user_id AND nth = 1)"""
+
+
+# Payers stand at the end of a cohort's order, so both medians are read off by rank.
 @registry.add(
     "ltv_by_cohort",
-    f"""WITH {REVENUE} SELECT CAST({COHORT} AS VARCHAR) AS cohort_period, count(DISTINCT u.user_id) AS cohort_size,
-        count(DISTINCT CASE WHEN sr.revenue > 0 THEN sr.user_id END) AS paying_users,
-        {rnd('avg(coalesce(sr.revenue, 0))', 2)} AS avg_ltv,
-        {rnd('quantile_cont(coalesce(sr.revenue, 0), 0.5)', 2)} AS median_ltv_all,
-        {rnd('quantile_cont(sr.revenue, 0.5) FILTER (WHERE sr.revenue > 0)', 2)} AS median_ltv_paying,
-        {rnd('sum(coalesce(sr.revenue, 0))', 2)} AS total_revenue
-    FROM users_o u LEFT JOIN sr ON u.user_id = sr.user_id GROUP BY {COHORT}""",
+    f"""WITH {worth_sql(f'greatest({MONTHS}, 1)', COHORT)}, line AS (
+        SELECT *, row_number() OVER (PARTITION BY k ORDER BY revenue) AS r, count(*) OVER (PARTITION BY k) AS n,
+            sum(CASE WHEN revenue > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY k) AS payers FROM worth),
+    mark AS (SELECT *, r IN ((n + 1) // 2, (n + 2) // 2) AS mid,
+        revenue > 0 AND r - (n - payers) IN ((payers + 1) // 2, (payers + 2) // 2) AS mid_paying FROM line)
+    SELECT CAST(k AS VARCHAR) AS cohort_period, count(*) AS cohort_size, count(*) FILTER (WHERE revenue > 0) AS paying_users,
+        {rnd('sum(revenue) / count(*)', 2)} AS avg_ltv, {rnd('avg(revenue) FILTER (WHERE mid)', 2)} AS median_ltv_all,
+        {rnd('avg(revenue) FILTER (WHERE mid_paying)', 2)} AS median_ltv_paying, {rnd('sum(revenue)', 2)} AS total_revenue
+    FROM mark GROUP BY k""",
 )
 def _(v):
     return rv.calculate_ltv_by_cohort(v.users_o, v.subscriptions_o, AS_OF)
@@ -30,11 +41,9 @@ def _(v):
 
 @registry.add(
     "ltv_by_channel",
-    f"""WITH sr AS (SELECT user_id, CAST(coalesce(sum(({PRICE.format(other='')}) * {MONTHS}), 0) AS DOUBLE) AS revenue
-        FROM subscriptions_o GROUP BY user_id)
-    SELECT u.acquisition_channel, count(DISTINCT u.user_id) AS total_users, {rnd('avg(coalesce(sr.revenue, 0))', 2)} AS avg_ltv,
-        {rnd('sum(coalesce(sr.revenue, 0))', 2)} AS total_revenue
-    FROM users_o u LEFT JOIN sr ON u.user_id = sr.user_id GROUP BY u.acquisition_channel""",
+    f"""WITH {worth_sql(MONTHS, 'acquisition_channel')}
+    SELECT k AS acquisition_channel, count(*) AS total_users, {rnd('sum(revenue) / count(*)', 2)} AS avg_ltv,
+        {rnd('sum(revenue)', 2)} AS total_revenue FROM worth GROUP BY k""",
 )
 def _(v):
     return rv.calculate_ltv_by_channel(v.users_o, v.subscriptions_o, AS_OF)
@@ -42,10 +51,12 @@ def _(v):
 
 @registry.add(
     "ltv_simple",
-    f"""WITH p AS (SELECT user_id, {PRICE.format(other=' ELSE 0.00')} AS monthly_value, end_date IS NULL AS is_open FROM subscriptions_o)
-    SELECT CAST({COHORT} AS VARCHAR) AS cohort_period, count(DISTINCT u.user_id) AS cohort_size, count(DISTINCT p.user_id) AS users_with_subs,
-        {rnd('sum(CASE WHEN p.is_open THEN p.monthly_value ELSE 0 END)', 2)} AS active_mrr, {rnd('avg(p.monthly_value)', 2)} AS avg_sub_value
-    FROM users_o u LEFT JOIN p ON u.user_id = p.user_id GROUP BY {COHORT}""",
+    f"""WITH {PRICES}, per_plan AS (SELECT user_id, coalesce(monthly, 0) AS each, count(*) AS held, count(*) - count(end_date) AS still_open
+        FROM subscriptions_o LEFT JOIN price USING (plan) GROUP BY ALL),
+    holder AS (SELECT user_id, sum(held) AS held, sum(each * held) AS value, sum(each * still_open) AS open_value FROM per_plan GROUP BY user_id)
+    SELECT CAST(k AS VARCHAR) AS cohort_period, count(*) AS cohort_size, count(held) AS users_with_subs,
+        {rnd('CAST(coalesce(sum(open_value), 0) AS DOUBLE)', 2)} AS active_mrr, {rnd('CAST(sum(value) AS DOUBLE) / sum(held)', 2)} AS avg_sub_value
+    FROM (SELECT DISTINCT {COHORT} AS k, user_id FROM users_o) m LEFT JOIN holder USING (user_id) GROUP BY k""",
 )
 def _(v):
     return rv.simple_ltv(v.users_o, v.subscriptions_o)
