@@ -155,8 +155,8 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     )
 
 
-def _paragraphs(docs: DataFrame, id_column: str, text_column: str, least: int) -> DataFrame:
-    """(id, start, words, key, bands) of every line of at least ``least`` words."""
+def _paragraphs(docs: DataFrame, id_column: str, text_column: str, least: int, banded: bool) -> DataFrame:
+    """(id, start, words, key, bands) of every line of at least ``least`` words; ``bands`` is NULL unless ``banded``."""
 
     def make():
         hasher = Hasher()
@@ -168,7 +168,8 @@ def _paragraphs(docs: DataFrame, id_column: str, text_column: str, least: int) -
                 for words in split_paragraphs(text):
                     if len(words) >= least:
                         hashes = hasher.words(words)
-                        row = (id_, at, len(words), span_key(hashes), hasher.bands(hasher.runs(hashes, SHINGLE)))
+                        bands = hasher.bands(hasher.runs(hashes, SHINGLE)) if banded else None
+                        row = (id_, at, len(words), span_key(hashes), bands)
                         for column, value in zip(out, row):
                             column.append(value)
                     at += len(words)
@@ -262,7 +263,7 @@ def paragraph_classes(
     shingle sets have Jaccard similarity of at least ``similarity``. Buckets of up to ``bucket`` distinct
     paragraphs are compared by a join; fuller ones block against block (``_links_in_blocks``), also exactly.
     """
-    every = _paragraphs(docs, id_column, text_column, least).where("id is not null")
+    every = _paragraphs(docs, id_column, text_column, least, banded=True).where("id is not null")
     nodes = every.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
     nodes = cut(nodes)
     banded = nodes.select("key", "first", F.explode("bands").alias("band"))
@@ -289,7 +290,9 @@ def paragraph_classes(
     owned = nodes.join(roots, "key", "left").select("key", "first", "n", F.coalesce("root", "key").alias("root"))
     classes = owned.groupBy("root").agg(F.min("first").alias("source"), F.sum("n").alias("size")).where("size > 1")
     named = owned.join(classes, "root").select("key", "source")
-    return every.select("id", "start", "words", "key").join(named, "key").select("id", "start", "words", "source")
+    # The places of all paragraphs are read from the texts again, which costs no signatures and no disk.
+    places = _paragraphs(docs, id_column, text_column, least, banded=False).where("id is not null")
+    return places.select("id", "start", "words", "key").join(named, "key").select("id", "start", "words", "source")
 
 
 def repeated_spans(
