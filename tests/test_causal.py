@@ -65,7 +65,7 @@ def test_did_with_covariates_equals_regression(panel, cluster):
     b, se = ols(x, y, g if cluster else None)
     r = did.estimate_did_with_covariates(df, "y", START, ["z"], cluster=cluster).first()
     assert r["did_estimate"] == pytest.approx(b[3]) and r["std_error"] == pytest.approx(se[3])
-    change = did.compare_estimates(did.simple_did(df, "y", START), did.estimate_did_with_covariates(df, "y", START, ["z"])).first()
+    change = did.compare_estimates(did.estimate_did(df, "y", START), did.estimate_did_with_covariates(df, "y", START, ["z"])).first()
     assert change["stable"]
 
 
@@ -89,8 +89,21 @@ def test_one_hot_drops_the_first_level(spark):
     coded, names = did.one_hot(df, ["os", "k"])
     assert names == ["os_b", "os_c", "k_2", "k_3"]
     assert sorted(tuple(r) for r in coded.select("os_b", "os_c").collect()) == [(0, 0), (0, 0), (0, 1), (1, 0)]
-    with pytest.raises(ValueError):
-        did.one_hot(df, ["os", "k"], max_levels=2)
+    given, names = did.one_hot(df, ["os"], {"os": ["b", "a", "z"]})
+    assert names == ["os_b", "os_z"] and given.agg(F.sum("os_b"), F.sum("os_z")).first()[:] == (1, 0)
+
+
+def test_errors_survive_a_far_outcome_and_few_clusters(panel):
+    df, rows = panel
+    x, y, g = design(rows)
+    _, se = ols(x, y)
+    far = df.withColumn("y", F.col("y") + 1e9)
+    assert did.estimate_did(far, "y", START).first()["std_error"] == pytest.approx(se[3], rel=1e-5)
+    one = df.withColumn("k", F.lit(1))
+    lone = did.estimate_did_with_covariates(one, "y", START, ["z"], cluster="k").first()
+    assert lone["did_estimate"] is not None and lone["std_error"] is None and lone["p_value"] is None
+    both = did.did_with_trends(df, "y", START).first()
+    assert both["parallel_trends_pvalue"] == did.parallel_trends_test(df, "y", START).first()["interaction_pvalue"]
 
 
 def test_dense_panel_fills_quiet_weeks(spark):

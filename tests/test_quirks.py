@@ -239,6 +239,14 @@ def test_histogram_last_bin_is_closed_and_constant_column(spark):
     assert [tuple(r) for r in pf.histogram(same, "x", 5).collect()] == [(0, 3.0, 3.0, 2)]
 
 
+def test_tables_of_counts_add_up(spark):
+    df = spark.createDataFrame([("r", "p"), ("r", "q"), ("r", None), ("s", "p")], "a string, b string")
+    wide = {r["a"]: (r["p"], r["Other"]) for r in pf.pivot_counts(df, "a", "b", ["p"]).collect()}
+    assert wide == {"r": (1, 2), "s": (1, 0)}
+    cross = {r["a"]: (r["p"], r["Other"], r["All"]) for r in pf.crosstab(df, "a", "b", ["p"]).collect()}
+    assert cross == {"r": (1, 1, 2), "s": (1, 0, 1), "All": (2, 1, 3)}
+
+
 def test_profile_counts_nulls_and_duplicates(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 2)], "k string, v int")
     got = {r["column"]: (r["dtype"], r["non_null"], r["null_count"], r["null_pct"], r["unique"]) for r in pf.check_data_quality(df, "t").collect()}

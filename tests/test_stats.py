@@ -40,6 +40,29 @@ def test_t_tail_known_values():
     assert student.t_two_sided(1.96, 1e7) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), rel=1e-5)
 
 
+@pytest.mark.parametrize("df", [1e4, 1e7, 1e11, 1e13, 1e15])
+@pytest.mark.parametrize("t", [0.0, 0.5, 1.96, 6.0])
+def test_t_tail_keeps_its_digits_at_many_degrees_of_freedom(t, df):
+    # Fisher's expansion around the normal tail, to the second order in 1 / df.
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    first, second = t * (t**2 + 1) / 4, t * (3 * t**6 - 7 * t**4 - 5 * t**2 - 3) / 96
+    want = math.erfc(t / math.sqrt(2)) + 2 * density * (first / df + second / df**2)
+    assert student.t_two_sided(t, df) == pytest.approx(want, rel=1e-6 if t > 5 else 1e-9)
+    assert student.t_two_sided(t, 9_999.0) == pytest.approx(student.t_two_sided(t, 10_000.0), rel=1e-3)
+
+
+def test_u_distribution_equals_enumeration_and_keeps_large_tails():
+    import itertools
+
+    for m, n in ((1, 4), (3, 5), (4, 4)):
+        us = [sum(b - i for i, b in enumerate(c)) for c in itertools.combinations(range(m + n), m)]
+        want = np.bincount(us, minlength=m * n + 1) / len(us)
+        assert ranksum.u_distribution(m, n).tolist() == pytest.approx(want.tolist())
+    assert ranksum.exact_two_sided(0, 8, 20_000) == pytest.approx(2 / math.comb(20_008, 8))
+    assert ranksum.exact_two_sided(80_000, 8, 20_000) == 1.0  # the middle of the range
+    assert ranksum.u_distribution(8, 500).sum() == pytest.approx(1.0, abs=1e-9)
+
+
 def arms(spark, control, treatment, experiment="e"):
     rows = [(experiment, f"c{i}", "control", float(x)) for i, x in enumerate(control)]
     rows += [(experiment, f"t{i}", "treatment", float(x)) for i, x in enumerate(treatment)]
@@ -102,6 +125,20 @@ def test_means_tests_against_numpy(spark):
         ex.means_test(df, test_type="sign")
 
 
+@pytest.mark.parametrize("kind", ["welch", "student", "mann_whitney"])
+def test_means_tests_keep_experiments_with_small_arms(spark, kind):
+    df = arms(spark, [1.0, 2.0, 4.0], [2.0, 5.0]).unionByName(arms(spark, [1.0, 2.0], [], "empty"))
+    rows = {r["experiment_id"]: r for r in ex.means_test(df, test_type=kind).collect()}
+    assert rows["e"]["p_value"] is not None and rows["empty"]["n_treatment"] == 0
+    assert rows["empty"]["p_value"] is None and rows["empty"]["significant"] is None and rows["empty"]["df"] is None
+
+
+def test_metrics_are_not_averaged_together(spark):
+    a = spark.createDataFrame([("e", "u", "control")], ASSIGN)
+    m = spark.createDataFrame([("e", "u", "x", 1.0), ("e", "u", "y", 100.0)], METRIC)
+    assert {r["metric_name"]: r["rate"] for r in ex.metric_rates(a, m).collect()} == {"x": 1.0, "y": 100.0}
+
+
 def brute_u(control, treatment):
     return sum((t > c) + 0.5 * (t == c) for t in treatment for c in control)
 
@@ -181,10 +218,15 @@ def test_labels_missing_data_and_unknown_metric(spark):
     values = ex.arm_values(a, m, config).where("experiment_id = 'exp_003' and user_id = 'u1'").collect()
     assert len(values) == 1 and values[0]["value"] == 2.0  # two metric rows are summed, not joined twice
     wrong = ex.experiment_config(spark, {"exp_001": {**ex.EXPERIMENTS["exp_001"], "primary_metric": "help_viewed"}})
-    with pytest.raises(ValueError, match="help_viewed"):
-        ex.summarize_all_experiments(a, m, wrong)
+    for query in (ex.summarize_all_experiments, ex.power_audit, ex.analyze_experiments, ex.arm_values):
+        with pytest.raises(Exception, match="help_viewed"):
+            query(a, m, wrong).collect()
+    assert ex.arm_values(a, m, wrong, validate=False).count() == 40
     unlabelled = ex.experiment_config(spark, {"exp_003": {**ex.EXPERIMENTS["exp_003"], "control_label": "control", "treatment_label": "treatment"}})
     assert ex.summarize_all_experiments(a, m, unlabelled).first()["decision"] == "NO DATA"
+    for kind in ("proportion", "continuous"):
+        lone = ex.analyze_experiments(a.where("variant != 'treatment'"), m, config.where("experiment_id = 'exp_001'"), kind).collect()
+        assert [r["decision"] for r in lone] == ["NO DATA"]
 
 
 def test_direction_override(spark):
@@ -210,9 +252,9 @@ def test_analysis_carries_nested_results(spark):
 
 def test_histogram_bootstrap_is_seeded_and_right(spark):
     df = arms(spark, [1] * 400 + [0] * 600, [1] * 500 + [0] * 500)
-    first = bs.bootstrap_ci(df, n_bootstrap=4000).first()
-    assert first == bs.bootstrap_ci(df.repartition(7), n_bootstrap=4000).first()
-    assert first != bs.bootstrap_ci(df, n_bootstrap=4000, seed=7).first()
+    first = bs.bootstrap_ci(df, n_bootstrap=4000, method="histogram").first()
+    assert first == bs.bootstrap_ci(df.repartition(7), n_bootstrap=4000, method="histogram", chunks=3).first()
+    assert first != bs.bootstrap_ci(df, n_bootstrap=4000, method="histogram", seed=7).first()
     sd = math.sqrt(0.24 / 1000 + 0.25 / 1000)
     assert first["observed_diff"] == 0.1 and first["n_bootstrap"] == 4000
     assert first["bootstrap_std"] == pytest.approx(sd, rel=0.05) and first["significant"]
@@ -242,9 +284,10 @@ def test_order_statistic_bootstrap_matches_resampling(spark, sizes):
 
 def test_bootstrap_metrics_and_choice(spark):
     df = arms(spark, [1, 2, 3, 4], [2, 3, 5, 9])
-    assert bs.choose_method(df, ["experiment_id"], "mean") == "histogram"
-    assert bs.choose_method(df, ["experiment_id"], "mean", max_values=2) == "poisson"
-    assert bs.choose_method(df, ["experiment_id"], 0.9, max_values=2) == "order_statistic"
+    assert [bs.default_method(m) for m in ("mean", "median", 0.9, np.max)] == ["poisson", "order_statistic", "order_statistic", "histogram"]
+    two = df.unionByName(arms(spark, [1, 2, 3, 4], [2, 3, 5, 9], "other"))
+    draws = bs.bootstrap_replicates(two, n_bootstrap=20).groupBy("replicate").agg(F.countDistinct("diff").alias("n")).collect()
+    assert max(r["n"] for r in draws) == 2  # experiments draw their own weights
     callable_diff = bs.bootstrap_ci(df, metric=lambda x: float(np.max(x)), n_bootstrap=50).first()
     assert callable_diff["observed_diff"] == 5.0
     median = bs.bootstrap_ci(df, metric="median", n_bootstrap=50).first()

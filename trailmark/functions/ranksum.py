@@ -2,36 +2,38 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 SMALL = 8  # fixed value: an arm of at most this size, without ties, is tested exactly
-MAX_STATES = 20_000  # beyond this many values of U the normal approximation is already exact enough
 
 
-def u_distribution(m: int, n: int) -> np.ndarray:
-    """P(U = u), u = 0 .. mn, when all orderings of m and n distinct values are equally likely."""
-    size = m * n + 1
-    # ways[j] counts orderings of j of the first arm among the values of the second arm seen so far.
-    ways = [np.zeros(size) for _ in range(m + 1)]
-    for j in range(m + 1):
-        ways[j][0] = 1.0
-    for k in range(1, n + 1):
-        for j in range(1, m + 1):
-            shifted = np.zeros(size)
-            shifted[k:] = ways[j - 1][: size - k]
-            # The largest value belongs to the first arm (beats all k) or to the second.
-            ways[j] = shifted + ways[j]
-    return ways[m] / ways[m].sum()
+def u_distribution(m: int, n: int, last: int | None = None) -> np.ndarray:
+    """P(U = u), u = 0 .. last, when all orderings of m and n distinct values are equally likely.
+
+    The counts are the coefficients of the Gaussian binomial, a product of (1 - q^(n+i)) / (1 - q^i):
+    each factor is a shifted difference and a running sum with stride i.
+    """
+    m, n = min(m, n), max(m, n)
+    last = m * n if last is None else last
+    ways = np.zeros(last + 1)
+    ways[0] = 1.0
+    for i in range(1, m + 1):
+        if n + i <= last:
+            ways[n + i :] -= ways[: last + 1 - n - i].copy()
+        for start in range(i):
+            ways[start::i] = np.cumsum(ways[start::i])
+        ways[i * n + 1 :] = 0.0  # past the degree of the product so far
+    return ways / math.comb(m + n, m)
 
 
 def exact_two_sided(u: float, m: int, n: int) -> float:
-    """Twice the tail beyond the larger of U and mn - U, at most 1."""
-    m, n = min(m, n), max(m, n)
-    top = int(max(u, m * n - u))
-    return float(min(1.0, 2.0 * u_distribution(m, n)[top:].sum()))
+    """Twice the tail up to the smaller of U and mn - U, at most 1."""
+    return float(min(1.0, 2.0 * u_distribution(m, n, int(min(u, m * n - u))).sum()))
 
 
 @F.pandas_udf(DoubleType())

@@ -2,11 +2,12 @@
 
 The sample is never copied once per replicate. Three ways to draw, each spread over tasks:
 
-* histogram: few distinct values (binary and count metrics). Resampling n values is one multinomial
-  draw over the value counts, so a replicate costs the number of distinct values.
-* poisson: the mean of a continuous metric. Each user gets a Poisson(1) weight per replicate from a
-  hash of (seed, user, replicate); sums combine map-side, and the draw does not depend on partitioning.
-* order_statistic: a quantile of a continuous metric. The resample's order statistics are drawn
+* histogram: for few distinct values (binary and count metrics), and the way for Python callables.
+  Resampling n values is one multinomial draw over the value counts, so a replicate costs the number of
+  distinct values, which one task holds.
+* poisson: the default for the mean. Each user gets a Poisson(1) weight per replicate from a hash of
+  (seed, experiment, user, replicate); sums combine map-side, and the draw does not depend on partitioning.
+* order_statistic: the default for a quantile. The resample's order statistics are drawn
   directly as beta variates and looked up by position (Schultzberg and Ankargren 2022).
 """
 
@@ -62,7 +63,9 @@ def _histogram_replicates(values: DataFrame, keys: Sequence[str], metric: Metric
     def draw(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         *group, chunk = key
         first, last = edges[chunk], edges[chunk + 1]
-        rng = np.random.default_rng([seed, zlib.crc32(repr(group).encode()), int(chunk)])
+        name = zlib.crc32(repr(group).encode())
+        # A generator per replicate, so the draws do not depend on how replicates are dealt to tasks.
+        streams = [np.random.default_rng([seed, name, r]) for r in range(first, last)]
         sides, observed = {}, {}
         for arm in ARMS:
             part = pdf[pdf["arm"] == arm].sort_values("value")
@@ -72,9 +75,9 @@ def _histogram_replicates(values: DataFrame, keys: Sequence[str], metric: Metric
             observed[arm] = _weighted(metric, v, c[None, :])[0]
             step = max(1, 2_000_000 // len(v))
             out = []
-            for start in range(first, last, step):
-                size = min(step, last - start)
-                out.append(_weighted(metric, v, rng.multinomial(c.sum(), c / c.sum(), size=size)))
+            for start in range(0, len(streams), step):
+                counts = [rng.multinomial(c.sum(), c / c.sum()) for rng in streams[start : start + step]]
+                out.append(_weighted(metric, v, np.stack(counts)))
             sides[arm] = np.concatenate(out)
         numbers, diffs = np.arange(first, last), sides["treatment"] - sides["control"]
         if chunk == 0:
@@ -101,7 +104,8 @@ def poisson_thresholds(limit: int = 12) -> list[float]:
 
 def _poisson_replicates(values: DataFrame, keys: Sequence[str], b: int, seed: int, id_column: str) -> DataFrame:
     # One md5 has 128 bits: four uniform 32-bit draws, so four replicates per digest.
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_column).cast("string"), F.col("block").cast("string")))
+    parts = [F.col(c).cast("string") for c in (*keys, id_column, "block")]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     draws = F.array(
         *[
             F.struct(
@@ -183,20 +187,11 @@ def _order_statistic_replicates(values: DataFrame, keys: Sequence[str], q: float
     )
 
 
-def choose_method(values: DataFrame, keys: Sequence[str], metric: Metric, max_values: int = 10_000) -> str:
-    """Histogram while an experiment has at most ``max_values`` distinct values; one small job decides.
-
-    A Python callable always draws from the histogram; that is the slow path.
-    """
-    q = _quantile_of(metric)
-    if metric != "mean" and q is None:
-        return "histogram"
-    widest = (
-        values.select(*keys, "arm", "value").distinct().groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    )
-    if widest <= max_values:
-        return "histogram"
-    return "poisson" if q is None else "order_statistic"
+def default_method(metric: Metric) -> str:
+    """The way to draw for a metric, whatever the data; a Python callable takes the histogram, the slow path."""
+    if metric == "mean":
+        return "poisson"
+    return "histogram" if _quantile_of(metric) is None else "order_statistic"
 
 
 def bootstrap_replicates(
@@ -205,13 +200,16 @@ def bootstrap_replicates(
     n_bootstrap: int = 10_000,
     seed: int = 42,
     keys: Sequence[str] = ("experiment_id",),
-    method: str = "auto",
+    method: str | None = None,
     id_column: str = "user_id",
     chunks: int = 16,
 ) -> DataFrame:
-    """(keys, replicate, diff): treatment minus control per replicate; replicate -1 is the sample itself."""
-    if method == "auto":
-        method = choose_method(values, keys, metric)
+    """(keys, replicate, diff): treatment minus control per replicate; replicate -1 is the sample itself.
+
+    ``method`` is one of the three above, by default the one for the metric. ``chunks`` is the number of
+    tasks an experiment's histogram replicates are dealt to.
+    """
+    method = method or default_method(metric)
     if method == "histogram":
         return _histogram_replicates(values, keys, metric, n_bootstrap, seed, chunks)
     if method == "poisson":

@@ -65,10 +65,12 @@ def calculate_retention_cohorts(
     """Share of each signup cohort active in each later period.
 
     Activity before signup gives negative ``periods_out``; it is kept unless ``min_periods`` is set.
+    Sorted by cohort and period.
     """
     cohorts = _cohorts(users, cohort_period)
     activity = user_activity(events, activity_event, cohort_period)
-    return _retention(cohorts, activity, [], cohort_period, max_periods, min_periods)
+    out = _retention(cohorts, activity, [], cohort_period, max_periods, min_periods)
+    return out.orderBy("cohort_period", "periods_out")
 
 
 def pivot_retention_table(retention: DataFrame, first: int = 0, last: int = 12, label: str = "week") -> DataFrame:
@@ -110,12 +112,12 @@ def compare_feature_adoption_retention(
     activity_event: str = "scan_completed",
     min_periods: int | None = None,
 ) -> DataFrame:
-    """Retention split by whether the user ever used the feature."""
+    """Retention split by whether the user ever used the feature, sorted by cohort, status and period."""
     status = F.when(F.col("adopted"), F.lit("Adopted")).otherwise(F.lit("Not Adopted")).alias("adoption_status")
     cohorts = _cohorts(with_adoption(users, feature_usage, feature_name), cohort_period, status)
     activity = user_activity(events, activity_event, cohort_period)
     out = _retention(cohorts, activity, ["adoption_status"], cohort_period, max_periods, min_periods)
-    return out.drop("activity_period")
+    return out.drop("activity_period").orderBy("cohort_period", "adoption_status", "periods_out")
 
 
 def compare_channel_cohorts(
@@ -126,11 +128,12 @@ def compare_channel_cohorts(
     activity_event: str = "scan_completed",
     min_periods: int | None = None,
 ) -> DataFrame:
-    """Retention split by acquisition channel."""
+    """Retention split by acquisition channel, sorted by channel, cohort and period."""
     cohorts = _cohorts(users, cohort_period, "acquisition_channel")
     activity = user_activity(events, activity_event, cohort_period)
     out = _retention(cohorts, activity, ["acquisition_channel"], cohort_period, max_periods, min_periods)
-    return out.withColumnRenamed("periods_out", f"{cohort_period}s_out").drop("activity_period")
+    out = out.withColumnRenamed("periods_out", f"{cohort_period}s_out").drop("activity_period")
+    return out.orderBy("acquisition_channel", "cohort_period", f"{cohort_period}s_out")
 
 
 def mean_curve(retention: DataFrame, by: Sequence[str], period: str = "periods_out") -> DataFrame:

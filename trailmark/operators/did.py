@@ -100,18 +100,18 @@ def estimate_did(
     """(T1 - T0) - (C1 - C0) from the four cell means, one row, normal inference.
 
     The error is HC1, or clustered. A row moves its cell mean by (y - mean) / n, so both need only
-    counts, sums and squares per (cluster, cell): one pass over the panel.
+    counts, sums and spreads per (cluster, cell): one pass over the panel.
     """
     y = F.col(outcome).cast("double")
     group = F.col(cluster) if cluster else F.lit("all")
     parts = panel.groupBy(group.alias("g"), F.col(treated).cast("int").alias("t"), _post(time_col, treatment_time).alias("p")).agg(
-        F.count("*").alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")
+        F.count("*").alias("n"), F.sum(y).alias("s"), (F.var_pop(y) * F.count(y)).alias("q")  # squares about the mean
     )
     cells = parts.groupBy("t", "p").agg(F.sum("n").alias("cell_n"), F.sum("s").alias("cell_s"))  # at most 4 rows
     joined = parts.join(F.broadcast(cells), ["t", "p"]).withColumn("mean", F.col("cell_s") / F.col("cell_n"))
     sign = F.when(F.col("t") == F.col("p"), 1.0).otherwise(-1.0)
     joined = joined.withColumn("moved", sign * (F.col("s") - F.col("n") * F.col("mean")) / F.col("cell_n")).withColumn(
-        "moved2", (F.col("q") - 2 * F.col("mean") * F.col("s") + F.col("n") * F.col("mean") * F.col("mean")) / (F.col("cell_n") * F.col("cell_n"))
+        "moved2", (F.col("q") + F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("mean"), 2)) / (F.col("cell_n") * F.col("cell_n"))
     )
     per_cluster = joined.groupBy("g").agg(
         F.sum("moved").alias("moved"),
@@ -156,9 +156,11 @@ def estimate_did(
     )
 
 
-def simple_did(panel: DataFrame, outcome: str, treatment_time: str) -> DataFrame:
-    """``estimate_did`` without options."""
-    return estimate_did(panel, outcome, treatment_time)
+def did_with_trends(panel: DataFrame, outcome: str, treatment_time: str, **how) -> DataFrame:
+    """``estimate_did`` with ``parallel_trends_pvalue``, the pre-period test, beside it; one row."""
+    trends = parallel_trends_test(panel, outcome, treatment_time)
+    pvalue = trends.select(F.col("interaction_pvalue").alias("parallel_trends_pvalue"))
+    return side_by_side(estimate_did(panel, outcome, treatment_time, **how), pvalue)
 
 
 def parallel_trends_series(
@@ -217,31 +219,33 @@ def parallel_trends_test(
     )
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> tuple[DataFrame, list[str]]:
+def one_hot(
+    df: DataFrame, columns: Sequence[str], levels: Mapping[str, Sequence[str]] | None = None
+) -> tuple[DataFrame, list[str]]:
     """0/1 columns per level in sorted order, the first level left out; returns the new names too.
 
-    Levels become columns, so they are read to the driver; columns with more than ``max_levels`` of
-    them in all are not categorical and are refused.
+    Each level is a column of the plan, so the driver must know them: from ``levels`` (column -> its
+    values as text), or read as the distinct values of the data.
     """
-    seen = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
-    found = df.select(F.explode(seen).alias("s")).select("s.*").where("v IS NOT NULL").distinct()
-    levels = found.limit(max_levels + 1).collect()
-    if len(levels) > max_levels:
-        raise ValueError(f"{list(columns)} have more than {max_levels} levels")
+    if levels is None:
+        seen = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+        found = df.select(F.explode(seen).alias("s")).select("s.*").where("v IS NOT NULL").distinct().collect()
+        levels = {c: [r["v"] for r in found if r["c"] == c] for c in columns}
     names, cells = [], []
     for column in columns:
-        for level in sorted(r["v"] for r in levels if r["c"] == column)[1:]:
+        for level in sorted(levels[column])[1:]:
             names.append(f"{column}_{level}")
             cells.append(flag(F.col(column).cast("string") == level).alias(names[-1]))
     return df.select("*", *cells), names
 
 
-def linear_model(df: DataFrame, y: str, terms: Mapping[str, Column], cluster: str | None = None) -> dict[str, tuple[float, float]]:
+def linear_model(df: DataFrame, y: str, terms: Mapping[str, Column], cluster: str | None = None) -> dict[str, tuple[float, float | None]]:
     """Least squares by normal equations: term -> (estimate, HC1 or clustered error).
 
-    Rows with the same terms (and cluster) are first folded into a count, a sum and a sum of squares of
-    y, which is all the fit and its robust error need (Wong and others 2021). Spark sums the p x p
+    Rows with the same terms (and cluster) are first folded into a count, a sum and a spread (squares about
+    the mean) of y, which is all the fit and its robust error need (Wong and others 2021). Spark sums the p x p
     products over the folded rows; single rows of them reach the driver, where a p x p system is solved.
+    The error is None with one cluster, or with no more rows than terms.
     """
     names = list(terms)
     p = len(names)
@@ -253,7 +257,7 @@ def linear_model(df: DataFrame, y: str, terms: Mapping[str, Column], cluster: st
         (F.col(cluster) if cluster else F.lit("all")).alias("g"),
     )
     folded = cut(
-        design.groupBy("g", *x).agg(F.count("y").alias("n"), F.sum("y").alias("s"), F.sum(F.expr("y * y")).alias("q"))
+        design.groupBy("g", *x).agg(F.count("y").alias("n"), F.sum("y").alias("s"), F.expr("var_pop(y) * count(y)").alias("q"))
     )
     row = folded.selectExpr(
         "sum(n) AS n",
@@ -276,12 +280,14 @@ def linear_model(df: DataFrame, y: str, terms: Mapping[str, Column], cluster: st
     if cluster:
         scores = fitted.groupBy("g").agg(*[F.expr(f"sum(x{i} * (s - n * fit))").alias(f"s{i}") for i in range(p)])
         sums = scores.selectExpr("count(*) AS groups", *[f"sum(s{i} * s{j}) AS m{i}_{j}" for i, j in pairs]).first()
-        factor = sums["groups"] / (sums["groups"] - 1) * (n - 1) / (n - k)
+        above, below = sums["groups"] * (n - 1), (sums["groups"] - 1) * (n - k)
     else:
-        squares = fitted.withColumn("e2", F.expr("q - 2 * fit * s + n * fit * fit"))
+        squares = fitted.withColumn("e2", F.expr("q + n * pow(try_divide(s, n) - fit, 2)"))
         sums = squares.selectExpr(*[f"sum(x{i} * x{j} * e2) AS m{i}_{j}" for i, j in pairs]).first()
-        factor = n / (n - k)
-    errors = np.sqrt(np.clip(np.diag(inverse @ symmetric(sums, "m") @ inverse) * factor, 0, None))
+        above, below = n, n - k
+    if below <= 0:
+        return {name: (beta[i], None) for i, name in enumerate(names)}
+    errors = np.sqrt(np.clip(np.diag(inverse @ symmetric(sums, "m") @ inverse) * (above / below), 0, None))
     return {name: (beta[i], float(errors[i])) for i, name in enumerate(names)}
 
 
@@ -301,7 +307,7 @@ def estimate_did_with_covariates(
     terms.update({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in covariates})
     estimate, error = linear_model(panel, outcome, terms, cluster)["did"]
     out = panel.sparkSession.range(1).select(
-        F.lit(outcome).alias("outcome"), F.lit(estimate).alias("did_estimate"), F.lit(error).alias("std_error")
+        F.lit(outcome).alias("outcome"), F.lit(estimate).alias("did_estimate"), F.lit(error).cast("double").alias("std_error")
     )
     out = out.withColumn("t_stat", F.try_divide("did_estimate", "std_error"))
     low, high = _inference(out, "did_estimate", alpha)

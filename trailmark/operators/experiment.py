@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.normal import chi2_1df_p, two_sided_p, z_quantile
 from trailmark.functions.numeric import flag, percent, ratio
-from trailmark.functions.ranksum import MAX_STATES, SMALL, exact_u_p
+from trailmark.functions.ranksum import SMALL, exact_u_p
 from trailmark.functions.student import t_critical, t_two_sided_p
 from trailmark.operators.power import compute_sample_size
 from trailmark.plans.local import local_table
-from trailmark.plans.quantiles import ordered_buckets
+from trailmark.plans.quantiles import ordered_buckets, shuffle_partitions
 
 CONFIG_DDL = (
     "experiment_id string, name string, primary_metric string, expected_lift double, "
@@ -69,22 +69,23 @@ def experiment_config(spark: SparkSession, experiments: Mapping[str, Mapping] =
     return local_table(spark, rows, CONFIG_DDL)
 
 
-def require_known_metrics(metrics: DataFrame, config: DataFrame) -> None:
-    """Raise if a configured primary metric never occurs; missing data would read as all zeros."""
+def unknown_metrics(metrics: DataFrame, config: DataFrame) -> DataFrame:
+    """One row, one text: the configured primary metrics that never occur, empty when all do."""
     known = metrics.select("experiment_id", F.col("metric_name").alias("primary_metric")).distinct()
     wanted = config.where(F.col("analysis_method") != DID).select("experiment_id", "primary_metric")
-    missing = wanted.join(known, ["experiment_id", "primary_metric"], "left_anti").collect()
-    if missing:
-        raise ValueError(f"Unknown metric: {[tuple(r) for r in missing]}")
+    missing = wanted.join(known, ["experiment_id", "primary_metric"], "left_anti")
+    names = F.sort_array(F.collect_set(F.concat_ws("/", "experiment_id", "primary_metric")))
+    return missing.agg(F.array_join(names, ", ").alias("missing"))
 
 
-def arm_values(assignments: DataFrame, metrics: DataFrame, config: DataFrame) -> DataFrame:
+def arm_values(assignments: DataFrame, metrics: DataFrame, config: DataFrame, validate: bool = True) -> DataFrame:
     """(experiment_id, user_id, arm, value): the primary metric per assigned user, 0 without one.
 
     ``arm`` is 'control' or 'treatment' by the configured labels; other variants are left out.
-    Several metric rows of a user are summed, so they cannot multiply the user.
+    Several metric rows of a user are summed, so they cannot multiply the user. A metric that never
+    occurs would read as all zeros; with ``validate`` the query fails instead, naming it.
     """
-    c = F.broadcast(config.select("experiment_id", "primary_metric", "control_label", "treatment_label"))
+    c = config.select("experiment_id", "primary_metric", "control_label", "treatment_label")
     arm = F.when(F.col("variant") == F.col("control_label"), F.lit(CONTROL)).when(
         F.col("variant") == F.col("treatment_label"), F.lit(TREATMENT)
     )
@@ -94,10 +95,15 @@ def arm_values(assignments: DataFrame, metrics: DataFrame, config: DataFrame) ->
         .groupBy("experiment_id", "user_id")
         .agg(F.sum(F.col("metric_value").cast("double")).alias("value"))
     )
+    absent = F.lit(0.0)
+    if validate:
+        missing = unknown_metrics(metrics, config).scalar()
+        failure = F.raise_error(F.concat(F.lit("Unknown metric: "), missing)).cast("double")
+        absent = F.when(missing == "", absent).otherwise(failure)
     return (
         assigned.where(F.col("arm").isNotNull())
         .join(per_user, ["experiment_id", "user_id"], "left")
-        .select("experiment_id", "user_id", "arm", F.coalesce("value", F.lit(0.0)).alias("value"))
+        .select("experiment_id", "user_id", "arm", F.coalesce("value", absent).alias("value"))
     )
 
 
@@ -150,7 +156,7 @@ def check_srm(
 
 def variant_srm(assignments: DataFrame, config: DataFrame, expected_ratio: float = 0.5, alpha: float = 0.001) -> DataFrame:
     """Sample ratio check of every experiment."""
-    labels = F.broadcast(config.select("experiment_id", "control_label", "treatment_label"))
+    labels = config.select("experiment_id", "control_label", "treatment_label")
     counts = (
         assignments.groupBy("experiment_id", "variant")
         .agg(F.count("*").alias("n"))
@@ -231,13 +237,14 @@ def means_test(
     """Difference of means between arms: Welch, Student or rank-sum (two-sided).
 
     The interval always uses Welch's error and degrees of freedom; the rank-sum test has none.
-    ``df`` is the degrees of freedom of the reported t statistic.
+    ``df`` is the degrees of freedom of the reported t statistic. An experiment whose arms are too small
+    for the test (none in an arm; for t, fewer than two) keeps its row, with NULL statistics.
     """
     totals = arm_totals(values, keys)
     if test_type == "mann_whitney":
         ranks = rank_sum(values, keys)
         on = [F.col(f"m.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
-        joined = totals.alias("m").join(ranks.alias("u"), on)
+        joined = totals.alias("m").join(ranks.alias("u"), on, "left")
         return joined.select(
             *[c for c in _mean_columns([f"m.{k}" for k in keys])],
             F.round("u_statistic", 4).alias("statistic"),
@@ -252,17 +259,17 @@ def means_test(
     if test_type not in ("welch", "student"):
         raise ValueError(f"Unknown test_type: {test_type}")
     n_c, n_t = F.col("n_c").cast("double"), F.col("n_t").cast("double")
-    a, b = F.col("var_c") / n_c, F.col("var_t") / n_t
-    welch_df = F.coalesce(
-        F.try_divide((a + b) * (a + b), a * a / (n_c - 1) + b * b / (n_t - 1)), n_c + n_t - 2
-    )
-    base = totals.where((F.col("n_c") > 1) & (F.col("n_t") > 1))
-    base = base.withColumn("welch_se", F.sqrt(a + b)).withColumn("welch_df", welch_df)
+    enough = (F.col("n_c") > 1) & (F.col("n_t") > 1)
+    a, b = F.try_divide(F.col("var_c"), n_c), F.try_divide(F.col("var_t"), n_t)
+    spread = F.try_divide(a * a, n_c - 1) + F.try_divide(b * b, n_t - 1)
+    welch_df = F.coalesce(F.try_divide((a + b) * (a + b), spread), n_c + n_t - 2)
+    base = totals.withColumn("welch_se", F.sqrt(a + b)).withColumn("welch_df", F.when(enough, welch_df))
     if test_type == "welch":
         base = base.withColumn("se", F.col("welch_se")).withColumn("df", F.col("welch_df"))
     else:
-        shared = ((n_c - 1) * F.col("var_c") + (n_t - 1) * F.col("var_t")) / (n_c + n_t - 2)
-        base = base.withColumn("se", F.sqrt(shared * (1 / n_c + 1 / n_t))).withColumn("df", n_c + n_t - 2)
+        shared = F.try_divide((n_c - 1) * F.col("var_c") + (n_t - 1) * F.col("var_t"), n_c + n_t - 2)
+        sizes = F.try_divide(F.lit(1.0), n_c) + F.try_divide(F.lit(1.0), n_t)
+        base = base.withColumn("se", F.sqrt(shared * sizes)).withColumn("df", F.when(enough, n_c + n_t - 2))
     base = base.withColumn("t", F.try_divide(F.col("mean_t") - F.col("mean_c"), F.col("se")))
     base = base.withColumn("p_value", t_two_sided_p("t", "df")).withColumn(
         "half", t_critical(F.lit(alpha), "welch_df") * F.col("welch_se")
@@ -281,19 +288,24 @@ def means_test(
     )
 
 
-def rank_sum(values: DataFrame, keys: Sequence[str] = ("experiment_id",), buckets: int = 64) -> DataFrame:
-    """Mann-Whitney U of the treatment arm and its two-sided p-value.
+def rank_sum(
+    values: DataFrame, keys: Sequence[str] = ("experiment_id",), buckets: int | None = None, method: str = "auto"
+) -> DataFrame:
+    """Mann-Whitney U of the treatment arm, its two-sided p-value and the method that gave it.
 
-    The p-value is normal with tie and continuity correction, or exact when an arm is small and no
-    values tie.
+    The p-value is normal with tie and continuity correction, or exact. By 'auto' it is exact when an
+    arm has at most SMALL users and no values tie; 'exact' asks for it whenever no values tie.
+    ``buckets`` defaults to the session's shuffle partitions and does not change the result.
 
     Values are collapsed to a histogram and cut in ordered buckets. A treatment value beats the control
     values of all lower buckets and the lower ones of its own, so windows stay inside a bucket.
     """
+    if method not in ("auto", "exact", "normal"):
+        raise ValueError(f"Unknown method: {method}")
     hist = values.groupBy(*keys, "value").agg(
         F.count_if(F.col("arm") == CONTROL).alias("c"), F.count_if(F.col("arm") == TREATMENT).alias("t")
     )
-    hist = ordered_buckets(hist, keys, "value", buckets)
+    hist = ordered_buckets(hist, keys, "value", buckets or shuffle_partitions(values))
     inside = W.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
     c, t = F.col("c").cast("double"), F.col("t").cast("double")
     within = hist.withColumn("c_below", F.coalesce(F.sum("c").over(inside), F.lit(0)).cast("double"))
@@ -325,13 +337,15 @@ def rank_sum(values: DataFrame, keys: Sequence[str] = ("experiment_id",), bucket
     z = F.try_divide(u_max - F.col("n_c") * F.col("n_t") / 2 - 0.5, F.sqrt(var))
     checked = F.when(F.col("overlap"), F.raise_error(F.lit("bucket cuts changed mid-query")).cast("double"))
     out = sums.where((F.col("n_c") > 0) & (F.col("n_t") > 0)).withColumn("z", F.greatest(z, F.lit(0.0)))
-    small = (F.least("n_c", "n_t") <= SMALL) & (F.col("n_c") * F.col("n_t") < MAX_STATES) & (F.col("ties") == 0)
-    exact = exact_u_p(F.when(small, F.col("u")), F.col("n_c"), F.col("n_t"))
+    wanted = {"auto": F.least("n_c", "n_t") <= SMALL, "exact": F.lit(True), "normal": F.lit(False)}[method]
+    exactly = wanted & (F.col("ties") == 0)
+    exact = exact_u_p(F.when(exactly, F.col("u")), F.col("n_c"), F.col("n_t"))
     return out.select(
         *keys,
         checked.otherwise(F.col("u")).alias("u_statistic"),
         "z",
         F.coalesce(exact, F.least(two_sided_p("z"), F.lit(1.0))).alias("p_value"),
+        F.when(exactly, F.lit("exact")).otherwise(F.lit("normal")).alias("method"),
     )
 
 
@@ -345,7 +359,8 @@ def correct_multiple_tests(
     """Bonferroni and Benjamini-Hochberg columns next to each test's raw p-value.
 
     The adjusted BH value is p * m / rank with ties at their lowest rank, capped at 1 and not made
-    monotone; the BH decision is the step-up rule. Windows run over one row per test.
+    monotone; the BH decision is the step-up rule. Windows run over one row per test. Rows come sorted
+    by family and p-value.
     """
     if method not in ("bonferroni", "bh", "both"):
         raise ValueError(f"Unknown method: {method}")
@@ -365,7 +380,7 @@ def correct_multiple_tests(
         out = out.withColumn("p_value_bh", F.least(p * F.col("__m") / F.col("__rank"), F.lit(1.0)))
         out = out.withColumn("significant_bh", F.coalesce(p <= F.max(passed).over(whole), F.lit(False)))
         out = out.drop("__rank", "__rn")
-    return out.drop("__m")
+    return out.drop("__m").orderBy(*family, p.asc_nulls_last())
 
 
 def decide(srm: Column, significant: Column, lift: Column, direction: Column | None = None) -> Column:
@@ -401,13 +416,12 @@ def analyze_experiments(
     """One row per experiment: nested srm_check, primary_test, chi_square_test, bootstrap, decisions.
 
     ``decision`` reads any significant rise as good; ``business_decision`` follows the desired direction.
-    ``bootstrap`` is the result of ``bootstrap_ci`` over the same arm values, if wanted.
+    ``bootstrap`` is the result of ``bootstrap_ci`` over the same arm values, if wanted. An experiment
+    without users, or without users in an arm, reads NO DATA.
     """
     if metric_type not in ("proportion", "continuous"):
         raise ValueError(f"Unknown metric_type: {metric_type}")
-    if validate:
-        require_known_metrics(metrics, config)
-    values = arm_values(assignments, metrics, config)
+    values = arm_values(assignments, metrics, config, validate)
     # Every test is arithmetic on the experiment's one row of totals, so results are added side by side.
     if metric_type == "proportion":
         rows = arm_totals(values)
@@ -419,7 +433,7 @@ def analyze_experiments(
         rows = rows.select("*", "primary_test.n_control", "primary_test.n_treatment")
     tests = [c for c in rows.columns if c.endswith("_test")]
     rows = _nest(check_srm(rows), ["experiment_id", *tests], "srm_check", only=SRM_COLUMNS)
-    out = config.select("experiment_id", "primary_metric", "desired_direction").join(rows, "experiment_id")
+    out = config.select("experiment_id", "primary_metric", "desired_direction").join(rows, "experiment_id", "left")
     if bootstrap is not None:
         out = out.join(_nest(bootstrap, ["experiment_id"], "bootstrap"), "experiment_id", "left")
     args = (F.col("srm_check.srm_detected"), F.col("primary_test.significant"), F.col("primary_test.relative_lift"))
@@ -436,9 +450,7 @@ def summarize_all_experiments(
 ) -> DataFrame:
     """Decision table over all experiments; those needing difference-in-differences read SKIP."""
     tested = config.where(F.col("analysis_method") != DID)
-    if validate:
-        require_known_metrics(metrics, tested)
-    totals = arm_totals(arm_values(assignments, metrics, tested))
+    totals = arm_totals(arm_values(assignments, metrics, tested, validate))
     test = check_srm(proportion_test(totals, alpha))
     skipped = F.col("analysis_method") == DID
     decision = decide(F.col("srm_detected"), F.col("significant"), F.col("relative_lift"))
@@ -482,7 +494,7 @@ def power_audit(
     """Required against actual control size per experiment, from its own control rate."""
     tested = config.where(F.col("analysis_method") != DID)
     totals = arm_totals(arm_values(assignments, metrics, tested))
-    plans = totals.join(F.broadcast(tested.select("experiment_id", "name", "expected_lift")), "experiment_id").select(
+    plans = totals.join(tested.select("experiment_id", "name", "expected_lift"), "experiment_id").select(
         "experiment_id", "name", F.col("mean_c").alias("baseline_rate"), F.abs("expected_lift").alias("mde"), F.col("n_c").alias("actual_n")
     )
     sized = compute_sample_size(plans, alpha=alpha, power=power)
@@ -510,9 +522,11 @@ def metric_names(metrics: DataFrame) -> DataFrame:
 
 
 def metric_rates(assignments: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Mean metric value per experiment and variant, over users with the metric."""
+    """Mean value per experiment, metric and variant, over users with the metric."""
     joined = metrics.join(assignments.select("experiment_id", "user_id", "variant"), ["experiment_id", "user_id"])
-    return joined.groupBy("experiment_id", "variant").agg(F.round(F.avg(F.col("metric_value").cast("double")), 6).alias("rate"))
+    return joined.groupBy("experiment_id", "metric_name", "variant").agg(
+        F.round(F.avg(F.col("metric_value").cast("double")), 6).alias("rate")
+    )
 
 
 def geo_confounding(

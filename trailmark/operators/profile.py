@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -76,35 +76,43 @@ def frequency(df: DataFrame, column: str) -> DataFrame:
     return counts.select(column, "count", percent("count", total, 4).alias("pct"))
 
 
-def pivot_counts(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Counts per (row, column value), absent cells 0."""
-    cells = [
-        F.coalesce(F.sum(F.when(F.col(columns) == v, F.col("n"))), F.lit(0)).cast("bigint").alias(v) for v in values
-    ]
+def _count_cells(columns: str, values: Sequence[str], other: str) -> list[Column]:
+    """Sums of ``n`` per listed value, and of all that is not listed, NULL included."""
+    listed = F.coalesce(F.col(columns).isin(*values), F.lit(False))
+    picks = {v: F.col(columns) == v for v in values} | {other: ~listed}
+    return [F.coalesce(F.sum(F.when(p, F.col("n"))), F.lit(0)).cast("bigint").alias(v) for v, p in picks.items()]
+
+
+def pivot_counts(df: DataFrame, rows: str, columns: str, values: Sequence[str], other: str = "Other") -> DataFrame:
+    """Counts per (row, column value), absent cells 0; values not listed count under ``other``."""
+    cells = _count_cells(columns, values, other)
     return df.groupBy(rows, columns).agg(F.count("*").alias("n")).groupBy(rows).agg(*cells)
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str], total: str = "All") -> DataFrame:
-    """Counts per (row, column value) with row, column and grand totals."""
+def crosstab(
+    df: DataFrame, rows: str, columns: str, values: Sequence[str], total: str = "All", other: str = "Other"
+) -> DataFrame:
+    """Counts per (row, column value) with row, column and grand totals; the cells of a row add up to its total."""
     counts = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull()).groupBy(rows, columns).agg(
         F.count("*").alias("n")
     )
-    cells = [
-        F.coalesce(F.sum(F.when(F.col(columns) == v, F.col("n"))), F.lit(0)).cast("bigint").alias(v) for v in values
-    ]
+    cells = _count_cells(columns, values, other)
     both = counts.rollup(rows).agg(*cells, F.sum("n").alias(total), F.grouping(rows).alias("is_total"))
     label = F.when(F.col("is_total") == 1, F.lit(total)).otherwise(F.col(rows).cast("string"))
-    return both.where(F.col(total).isNotNull()).select(label.alias(rows), *values, total)
+    return both.where(F.col(total).isNotNull()).select(label.alias(rows), *values, other, total)
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50, keys: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins between the group's smallest and largest value; the last bin is closed.
 
-    Values are counted first, so both passes after that run over distinct values.
+    Without groups, bounds and bins combine map-side and only bins are shuffled. With groups, values are
+    counted first, so what meets the group's bounds in a join is distinct values.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("v")).agg(
-        F.count("*").alias("n")
-    )
+    rows = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("v"))
+    if keys:
+        counts = rows.groupBy(*keys, "v").agg(F.count("*").alias("n"))
+    else:
+        counts = rows.withColumn("n", F.lit(1).cast("bigint"))
     bounds = counts.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     if keys:
         joined = attach_group_values(counts, bounds, keys, ["v"])
@@ -174,7 +182,10 @@ def event_stats(events: DataFrame) -> DataFrame:
 def validation_report(
     tables: Mapping[str, DataFrame], churn: DataFrame, experiment_rates: DataFrame, orphans: DataFrame
 ) -> DataFrame:
-    """Load-time report in long form: row counts, churn, metric rate per experiment arm, orphans."""
+    """Load-time report in long form: row counts, churn, metric rates per experiment arm, orphans.
+
+    ``churn`` is by the last status of each user, as ``revenue.churn_rate_by_last_status`` gives it.
+    """
     parts = [
         df.agg(F.count("*").cast("double").alias("value")).select(
             F.lit("rows").alias("check"), F.lit(name).alias("item"), "value"
@@ -187,7 +198,7 @@ def validation_report(
     parts.append(
         experiment_rates.select(
             F.lit("metric_rate").alias("check"),
-            F.concat_ws("/", "experiment_id", "variant").alias("item"),
+            F.concat_ws("/", "experiment_id", "metric_name", "variant").alias("item"),
             F.col("rate").alias("value"),
         )
     )

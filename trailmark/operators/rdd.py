@@ -46,7 +46,7 @@ def rdd_estimate(data: DataFrame, bandwidth: int = 3, alpha: float = 0.05) -> Da
     points = (
         data.where(F.col("centered").between(-bandwidth, bandwidth))
         .groupBy(F.col("above").alias("side"), x.alias("x"))
-        .agg(F.count("*").cast("double").alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
+        .agg(F.count("*").cast("double").alias("n"), F.sum(y).alias("s"), (F.var_pop(y) * F.count(y)).alias("q"))
     )
     n, mx, my = F.sum("n"), F.sum(F.col("n") * F.col("x")) / F.sum("n"), F.sum("s") / F.sum("n")
     lines = points.groupBy("side").agg(  # two rows
@@ -62,7 +62,7 @@ def rdd_estimate(data: DataFrame, bandwidth: int = 3, alpha: float = 0.05) -> Da
     joined = points.join(F.broadcast(lines), "side")
     fit = F.col("intercept") + F.col("slope") * F.col("x")
     weight = 1 / F.col("side_n") - F.try_divide(F.col("mx") * (F.col("x") - F.col("mx")), F.col("sxx"))
-    square = F.col("q") - 2 * fit * F.col("s") + F.col("n") * fit * fit
+    square = F.col("q") + F.col("n") * F.pow(F.col("s") / F.col("n") - fit, 2)
     per_side = joined.groupBy("side", "side_n", "intercept", "slope").agg(F.sum(weight * weight * square).alias("v"))
     wide = per_side.agg(
         F.sum("side_n").alias("n"),

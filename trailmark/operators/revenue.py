@@ -96,6 +96,7 @@ def calculate_ltv_by_cohort(
             money("median_paying").alias("median_ltv_paying"),
             money("total_revenue").alias("total_revenue"),
         )
+        .orderBy("cohort_period")
     )
 
 
@@ -113,7 +114,7 @@ def calculate_ltv_by_channel(
         "total_users",
         money(ratio("total_revenue", "total_users")).alias("avg_ltv"),
         money("total_revenue").alias("total_revenue"),
-    )
+    ).orderBy("acquisition_channel")
 
 
 def simple_ltv(
@@ -145,7 +146,7 @@ def simple_ltv(
         "users_with_subs",
         money("active_mrr").alias("active_mrr"),
         money(ratio("value", "subs")).alias("avg_sub_value"),
-    )
+    ).orderBy("cohort_period")
 
 
 def _per_user_and(subscriptions: DataFrame, *keys: str, **aggregates: Column) -> DataFrame:

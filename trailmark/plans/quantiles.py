@@ -13,11 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trailmark.plans.lineage import cut
 from trailmark.plans.skew import attach_group_values
 
 ACCURACY = 10_000
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's shuffle partitions, the measure for how finely to split."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float], count: str | None = None
 ) -> DataFrame:
@@ -32,8 +38,9 @@ def exact_percentiles(
     bounds = [b for p in ps for b in (max(p - margin, 0.0), min(p + margin, 1.0))]
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
 
-    brackets = rows.groupBy(*keys).agg(
-        F.count("*").alias("__n"), F.percentile_approx("__v", bounds, ACCURACY).alias("__b")
+    # Written once: a retried task must see the brackets that the others saw.
+    brackets = cut(
+        rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.percentile_approx("__v", bounds, ACCURACY).alias("__b"))
     )
     placed = attach_group_values(rows, brackets, keys, ["__v"])
 
@@ -70,8 +77,7 @@ def exact_percentiles(
         edge = F.when(F.col("side") < 0, F.col("upto") - 1).otherwise(F.col("upto") - F.col("cnt"))
         return (F.col("side") != 0) & holds(index) & (index != edge)
 
-    # A retried task may see other brackets. Ranks stay right as long as the three sides do not
-    # overlap, and that is checked here rather than assumed.
+    # Ranks are right as long as the three sides do not overlap; that is checked rather than assumed.
     picked = ranked.groupBy(*keys, "p").agg(
         F.max(F.when(holds(F.floor("at")), F.col("rep"))).alias("lo"),
         F.max(F.when(holds(F.ceil("at")), F.col("rep"))).alias("hi"),
@@ -106,22 +112,26 @@ def ordered_buckets(
     """
     if buckets < 2:
         return df.withColumn(out, F.lit(0))
-    cuts = df.groupBy(*keys).agg(
-        F.percentile_approx(value, [i / buckets for i in range(1, buckets)], ACCURACY).alias("__cuts")
+    cuts = cut(
+        df.groupBy(*keys).agg(
+            F.percentile_approx(value, [i / buckets for i in range(1, buckets)], ACCURACY).alias("__cuts")
+        )
     )
     placed = attach_group_values(df, cuts, keys, [value])
     below = F.size(F.filter("__cuts", lambda c: c < F.col(value)))
     return placed.withColumn(out, below).drop("__cuts")
 
 
-def values_at_positions(hist: DataFrame, keys: Sequence[str], points: DataFrame, buckets: int = 64) -> DataFrame:
+def values_at_positions(
+    hist: DataFrame, keys: Sequence[str], points: DataFrame, buckets: int | None = None
+) -> DataFrame:
     """Look up order statistics: ``points`` (keys, position from 0) gain the value at that position.
 
     ``hist`` has the distinct values (keys, v, cnt). They are cut in ordered buckets whose sizes give
     each bucket's first position. Only the buckets holding a point are ranked, each in its own window,
     with points sorted in among values.
     """
-    hist = ordered_buckets(hist, keys, "v", buckets)
+    hist = ordered_buckets(hist, keys, "v", buckets or shuffle_partitions(hist))
     in_order = W.partitionBy(*keys).orderBy("bucket")
     sizes = hist.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("size"), F.min("v").alias("low"), F.max("v").alias("high"))
     overlap = F.coalesce(F.lag("high").over(in_order) >= F.col("low"), F.lit(False))

@@ -70,7 +70,7 @@ def _(v):
     return did.panel_summary(panel(v))
 
 
-def did_sql(outcome: str, clustered: bool) -> str:
+def did_sql(outcome: str, clustered: bool, start: str = START) -> str:
     """Errors from per-row influence values, row by row."""
     variance = (
         "(SELECT count(*) / (count(*) - 1e0) * ((SELECT n FROM tt) - 1) / ((SELECT n FROM tt) - 4) * sum(s * s) FROM (SELECT country, sum(inf) AS s FROM iv GROUP BY country))"
@@ -78,9 +78,9 @@ def did_sql(outcome: str, clustered: bool) -> str:
         else "(SELECT count(*) / (count(*) - 4e0) * sum(inf * inf) FROM iv)"
     )
     groups = "(SELECT count(DISTINCT coalesce(country, '')) FROM iv)" if clustered else "CAST(NULL AS BIGINT)"
-    return f"""WITH {PANEL}, ce AS (SELECT treated AS t, week >= DATE '{START}' AS p, CAST(count(*) AS DOUBLE) AS n, avg(CAST({outcome} AS DOUBLE)) AS m FROM pa GROUP BY 1, 2),
+    return f"""WITH {PANEL}, ce AS (SELECT treated AS t, week >= DATE '{start}' AS p, CAST(count(*) AS DOUBLE) AS n, avg(CAST({outcome} AS DOUBLE)) AS m FROM pa GROUP BY 1, 2),
     iv AS (SELECT pa.country, (CASE WHEN (ce.t = 1) = ce.p THEN 1 ELSE -1 END) * ({outcome} - ce.m) / ce.n AS inf
-           FROM pa JOIN ce ON pa.treated = ce.t AND (pa.week >= DATE '{START}') = ce.p),
+           FROM pa JOIN ce ON pa.treated = ce.t AND (pa.week >= DATE '{start}') = ce.p),
     tt AS (SELECT sum(n) AS n, CAST(sum(n) FILTER (WHERE t = 1) AS BIGINT) AS n1, CAST(sum(n) FILTER (WHERE t = 0) AS BIGINT) AS n0,
            max(CASE WHEN t = 1 AND p THEN m END) AS m11, max(CASE WHEN t = 1 AND NOT p THEN m END) AS m10,
            max(CASE WHEN t = 0 AND p THEN m END) AS m01, max(CASE WHEN t = 0 AND NOT p THEN m END) AS m00 FROM ce),
@@ -92,7 +92,7 @@ def did_sql(outcome: str, clustered: bool) -> str:
 
 @registry.add("did_2x2", did_sql("purchases", False))
 def _(v):
-    return did.simple_did(panel(v), "purchases", START)
+    return did.estimate_did(panel(v), "purchases", START)
 
 
 @registry.add("did_alternative_outcome", did_sql("clicks", False))
@@ -118,22 +118,32 @@ def _(v):
 TREND_START = "2024-01-29"
 
 
-@registry.add(
-    "parallel_trends_test",
-    f"""WITH {PANEL}, pre AS (SELECT treated AS arm, CAST(date_diff('week', DATE '{TREND_START}', week) AS DOUBLE) AS x, CAST(purchases AS DOUBLE) AS y
-        FROM pa WHERE week < DATE '{TREND_START}'),
+def trends_sql(start: str) -> str:
+    return f"""WITH {PANEL}, pre AS (SELECT treated AS arm, CAST(date_diff('week', DATE '{start}', week) AS DOUBLE) AS x, CAST(purchases AS DOUBLE) AS y
+        FROM pa WHERE week < DATE '{start}'),
     l AS (SELECT arm, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx FROM pre GROUP BY arm),
     r AS (SELECT sum((y - a - b * x) * (y - a - b * x)) AS rss, count(*) AS n FROM pre JOIN l ON pre.arm = l.arm),
     s AS (SELECT (SELECT b FROM l WHERE arm = 1) - (SELECT b FROM l WHERE arm = 0) AS d, sqrt(rss / (n - 4) * (SELECT sum(1 / sxx) FROM l)) AS se, n - 4 AS df FROM r),
     c AS (SELECT corr(y0, y1) AS c FROM (SELECT x, avg(y) FILTER (WHERE arm = 0) AS y0, avg(y) FILTER (WHERE arm = 1) AS y1 FROM pre GROUP BY x)),
     tp AS (SELECT s.*, c.c, d / se AS t, {t_two_sided_sql('(s.d / s.se)', 's.df')} AS p FROM s, c)
     SELECT {rnd('d')} AS slope_difference, {rnd('se')} AS std_error, {rnd('t')} AS t_stat, CAST(df AS DOUBLE) AS df, {rnd('p')} AS interaction_pvalue,
-        p > 0.05 AS parallel_trends_holds, {rnd('c')} AS pre_trend_correlation FROM tp""",
-)
+        p > 0.05 AS parallel_trends_holds, {rnd('c')} AS pre_trend_correlation FROM tp"""
+
+
+@registry.add("parallel_trends_test", trends_sql(TREND_START))
 def _(v):
     return did.parallel_trends_test(panel(v), "purchases", TREND_START)
 
 
+@registry.add(
+    "did_with_trends",
+    f"""SELECT d.*, t.interaction_pvalue AS parallel_trends_pvalue
+    FROM ({did_sql('purchases', True, TREND_START)}) d, ({trends_sql(TREND_START)}) t""",
+)
+def _(v):
+    return did.did_with_trends(panel(v), "purchases", TREND_START, cluster="country")
+
+
 def covariate_panel(v):
     coded, names = did.one_hot(rollout(v, v.users_e), ["device_os", "acquisition_channel"])
     return did.user_week_panel(v.events_e, coded, COUNTS, ("treated", "country", *names)), names
@@ -298,6 +308,27 @@ def _(v):
     return psm.critical_gamma(psm.sensitivity_analysis(psm.estimate_effect(pairs, data, "adopted", "churned")))
 
 
+# Whole scores and a caliper of 1: after equal scores, neighbours match from the lowest score up.
+FLOWS = f"""WITH {DATASET}, cell AS (SELECT total_opens AS s, count(*) FILTER (WHERE adopted = 1) AS t,
+        count(*) FILTER (WHERE adopted = 0) AS c FROM ps GROUP BY total_opens)
+    SELECT * FROM (WITH RECURSIVE chain AS (SELECT min(s) AS s, arg_min(t - c, s) AS open, CAST(0 AS BIGINT) AS flow, false AS below_treated FROM cell
+        UNION ALL SELECT chain.s + 1, coalesce(t - c, 0) - sign(coalesce(t - c, 0)) * moved, moved, open > 0
+        FROM chain LEFT JOIN cell ON cell.s = chain.s + 1,
+             LATERAL (SELECT CASE WHEN open * coalesce(t - c, 0) < 0 THEN least(abs(open), abs(t - c)) ELSE 0 END AS moved) m
+        WHERE chain.s < (SELECT max(s) FROM cell))
+    SELECT s AS score_t, s AS score_c, least(t, c) AS pairs FROM cell WHERE least(t, c) > 0
+    UNION ALL SELECT CASE WHEN below_treated THEN s - 1 ELSE s END, CASE WHEN below_treated THEN s ELSE s - 1 END, flow FROM chain WHERE flow > 0)"""
+
+
+@registry.add("psm_match_caliper", FLOWS)
+def _(v):
+    data = matching_data(v)
+    pairs = psm.match_pairs(data, "adopted", 1.0, score="total_opens")
+    treated = data.select(F.col("user_id").alias("treated_id"), F.col("total_opens").alias("score_t"))
+    control = data.select(F.col("user_id").alias("control_id"), F.col("total_opens").alias("score_c"))
+    return pairs.join(treated, "treated_id").join(control, "control_id").groupBy("score_t", "score_c").agg(F.count("*").alias("pairs"))
+
+
 def scored(v):
     return psm.propensity_scores(matching_data(v), "adopted", psm.MATCH_COVARIATES)
 

@@ -356,7 +356,7 @@ WEIGHT = "CASE " + " ".join(
 ) + f" ELSE {len(bs.poisson_thresholds())} END"
 REPLICATES = f"""{vals(CONTINUOUS)},
     d AS (SELECT experiment_id, arm, value, b.block * 4 + j.j AS replicate,
-          CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(user_id AS VARCHAR), CAST(b.block AS VARCHAR))), CAST(1 + 8 * j.j AS INTEGER), 8)) AS BIGINT) / 4294967296e0 AS u
+          CAST(('0x' || substr(md5(concat_ws('|', '42', experiment_id, CAST(user_id AS VARCHAR), CAST(b.block AS VARCHAR))), CAST(1 + 8 * j.j AS INTEGER), 8)) AS BIGINT) / 4294967296e0 AS u
           FROM vals, range({B // 4}) b(block), range(4) j(j)),
     w AS (SELECT *, {WEIGHT} AS w FROM d),
     rep AS (SELECT experiment_id, replicate, sum(w * value) FILTER (WHERE arm = 'treatment') / sum(w) FILTER (WHERE arm = 'treatment')

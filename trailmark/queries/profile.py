@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.operators import profile as pf
-from trailmark.operators.revenue import churn_rate
+from trailmark.operators.revenue import churn_rate_by_last_status
 from trailmark.operators.experiment import metric_rates
 from trailmark.queries.base import Registry, pct, rnd
 from trailmark.sources.catalog import filter_events, table_info, table_rows
@@ -46,7 +46,10 @@ def _(v):
 
 PROFILED = {
     "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"},
-    "subscriptions_o": {"plan": "string", "end_date": "date", "status": "string", "cancellation_reason": "string"},
+    "subscriptions_o": {
+        "subscription_id": "bigint", "user_id": "bigint", "plan": "string", "start_date": "date", "end_date": "date", "status": "string",
+        "mrr": "double", "cancellation_reason": "string",
+    },
 }
 
 
@@ -115,12 +118,17 @@ def _(v):
 
 
 ARMS = ["control_group", "rollout_group"]
-CELLS = ", ".join(f"count(*) FILTER (WHERE variant = '{a}') AS {a}" for a in ARMS)
+
+
+def cells(values: list[str]) -> str:
+    listed = ", ".join(f"'{a}'" for a in values)
+    picked = ", ".join(f"count(*) FILTER (WHERE variant = '{a}') AS {a}" for a in values)
+    return f"""{picked}, count(*) FILTER (WHERE variant IS NULL OR variant NOT IN ({listed})) AS "Other\""""
 
 
 @registry.add(
     "crosstab_margins",
-    f"""SELECT coalesce(u.country, 'All') AS country, {CELLS}, count(*) AS "All" FROM assignments a JOIN users_o u ON a.user_id = u.user_id
+    f"""SELECT coalesce(u.country, 'All') AS country, {cells(ARMS)}, count(*) AS "All" FROM assignments a JOIN users_o u ON a.user_id = u.user_id
     WHERE experiment_id = 'exp_004' GROUP BY GROUPING SETS ((u.country), ())""",
 )
 def _(v):
@@ -133,7 +141,7 @@ VARIANTS = ["control", "treatment", "day_7_upsell", "day_3_upsell", "rollout_gro
 
 @registry.add(
     "variant_pivot",
-    f"""SELECT experiment_id, {', '.join(f"count(*) FILTER (WHERE variant = '{a}') AS {a}" for a in VARIANTS)}
+    f"""SELECT experiment_id, {cells(VARIANTS)}
     FROM assignments GROUP BY experiment_id""",
 )
 def _(v):
@@ -180,22 +188,27 @@ def _(v):
     return pf.event_stats(v.events_e)
 
 
+LOADED = {
+    "users": "users_o", "events": "events_o", "subscriptions": "subscriptions_o", "feature_usage": "feature_usage_o",
+    "experiment_assignments": "assignments", "experiment_metrics": "metrics",
+}
+
+
 @registry.add(
     "validation_report",
-    f"""SELECT 'rows' AS "check", 'users' AS item, CAST(count(*) AS DOUBLE) AS value FROM users_o
-    UNION ALL SELECT 'rows', 'events', count(*) FROM events_o
-    UNION ALL SELECT 'rows', 'subscriptions', count(*) FROM subscriptions_o
-    UNION ALL SELECT 'churn_pct', 'subscriptions', {pct("count(*) FILTER (WHERE status = 'cancelled')", 'count(*)')} FROM subscriptions_o
-    UNION ALL SELECT 'metric_rate', concat(a.experiment_id, '/', a.variant), {rnd('avg(m.metric_value)')}
+    " UNION ALL ".join(f"""SELECT 'rows' AS "check", '{n}' AS item, CAST(count(*) AS DOUBLE) AS value FROM {t}""" for n, t in LOADED.items())
+    + f"""
+    UNION ALL SELECT 'churn_pct', 'subscriptions', {pct("count(*) FILTER (WHERE status = 'cancelled')", 'count(*)')} FROM
+        (SELECT status, row_number() OVER (PARTITION BY user_id ORDER BY start_date DESC, subscription_id DESC) AS i FROM subscriptions_o) WHERE i = 1
+    UNION ALL SELECT 'metric_rate', concat(a.experiment_id, '/', m.metric_name, '/', a.variant), {rnd('avg(m.metric_value)')}
         FROM metrics m JOIN assignments a ON m.experiment_id = a.experiment_id AND m.user_id = a.user_id
-        WHERE m.metric_name IN ('activated', 'reactivated') GROUP BY a.experiment_id, a.variant
+        GROUP BY a.experiment_id, m.metric_name, a.variant
     UNION ALL SELECT 'orphans', 'events.user_id', count(DISTINCT user_id) FROM events_e WHERE user_id NOT IN (SELECT user_id FROM users_o)""",
 )
 def _(v):
-    primary = v.metrics.where(F.col("metric_name").isin("activated", "reactivated"))
     return pf.validation_report(
-        {"users": v.users_o, "events": v.events_o, "subscriptions": v.subscriptions_o},
-        churn_rate(v.subscriptions_o),
-        metric_rates(v.assignments, primary),
+        {name: getattr(v, view) for name, view in LOADED.items()},
+        churn_rate_by_last_status(v.subscriptions_o),
+        metric_rates(v.assignments, v.metrics),
         pf.orphan_count(v.events_e, v.users_o),
     )
