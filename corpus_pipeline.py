@@ -43,9 +43,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, round_trip): the ids of each text, and whether they decode to it."""
     codec = bpe.shared_codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), codec)
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), codec)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return bpe.decode(coded, codec).select(
+    return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip")
     )
 

@@ -35,3 +35,17 @@ def test_run_goes_through_all_stages(spark):
     assert out.where(~F.col("round_trip") | (F.col("n_tokens") != F.size("ids"))).count() == 0
     toxic = table(spark, BIG, "labels").where("toxic = 1").select("doc_id")
     assert out.join(toxic, "doc_id").count() <= 0.2 * toxic.count()
+
+
+def test_round_trip_in_one_pass_equals_encode_then_decode(spark):
+    import public_tokenizers
+
+    from trailmark.llm import bpe
+
+    codec = bpe.shared_codec(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = [(1, "Hello  world, grüße 東京\n\n12345", "x"), (2, "", "y"), (3, None, "z"), (4, "a" * 5000, None), (4, "a" * 5000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    both = bpe.round_trip(df, codec).orderBy("doc_id").collect()
+    apart = bpe.decode(bpe.encode(df, codec), codec).orderBy("doc_id").collect()
+    assert both == apart and bytes(both[0]["decoded"]) == rows[0][1].encode()
+    assert bpe.round_trip(df.limit(0), codec).count() == 0
