@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from trailmark.llm.common import by_batch
 
 VOCABULARY_LIMIT = 5_000_000  # entries: a vocabulary is broadcast, a longer one is refused
-MEMO = 400_000  # pre-tokens and short chunks of each of the two generations that a worker remembers
+MEMO = 100_000  # pre-tokens and short chunks of each of the two generations that a worker remembers
 
 
 class PerfectHash:
