@@ -142,3 +142,12 @@ def test_contamination_of_reworded_and_partial_items(docs_of, spark):
     assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} >= {3, 5, 6, 7, 8}
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
     assert decontaminate.contamination(docs, bench.limit(0)).count() == 0
+
+
+def test_contamination_whatever_the_letter_case(docs_of, spark):
+    bench = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    other = QUESTION.replace("12", "13")
+    docs = docs_of([QUESTION.upper(), QUESTION.title(), QUESTION.lower(), other.upper(), "so " + other.title(), prose(random.Random(3), 60).upper()])
+    got = {r.doc_id: (r.coverage, r.reworded) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {0: (1.0, False), 1: (1.0, False), 2: (1.0, False), 3: (1.0, True), 4: (1.0, True)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [5]

@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation, with built-in functions only.
 
 Numbers, names and units of a text become typed placeholders, so a question with other numbers or names has the
-same template. Windows of template tokens are joined with the benchmark's by hash. For each way an item lies
-over a document the slots are then checked: one value in the item must stand for one value in the document.
+same template. Windows of template tokens are joined with the benchmark's by hash, and windows of lower-cased words
+beside them, as a copy in capitals or title case is all names. For each way an item lies over a document the slots
+are then checked: one value in the item must stand for one value in the document, letter case aside.
 """
 
 from __future__ import annotations
@@ -36,15 +37,16 @@ def raw_tokens(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def template_token(raw: Column) -> Column:
-    """The typed placeholder of a number, unit or name (a word with a capital first letter), else the word."""
+def folded_token(raw: Column) -> Column:
+    """The typed placeholder of a number or unit, else the word in lower case."""
     first, low = F.substring(raw, 1, 1), F.lower(raw)
-    return (
-        F.when(first.between("0", "9") | low.isin(NUMBERS), NUMBER)
-        .when(low.isin(UNITS), UNIT)
-        .when(first != F.lower(first), NAME)
-        .otherwise(low)
-    )
+    return F.when(first.between("0", "9") | low.isin(NUMBERS), NUMBER).when(low.isin(UNITS), UNIT).otherwise(low)
+
+
+def template_token(raw: Column, folded: Column | None = None) -> Column:
+    """The typed placeholder of a number, unit or name (a word with a capital first letter), else the word."""
+    first, low = F.substring(raw, 1, 1), folded_token(raw) if folded is None else folded
+    return F.when(low.startswith("#"), low).when(first != F.lower(first), NAME).otherwise(low)
 
 
 def _places(tokens: str, window: int) -> Column:
@@ -55,27 +57,31 @@ def _places(tokens: str, window: int) -> Column:
 
 def _tokens(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = df.select(F.col(f"`{id_column}`").alias("id"), raw_tokens(F.col(f"`{text_column}`")).alias("raw"))
-    return rows.withColumn("template", F.transform("raw", template_token))
+    rows = rows.withColumn("folded", F.transform("raw", folded_token))
+    return rows.withColumn("template", F.zip_with("raw", "folded", template_token))
 
 
-def _window_hash(at: Column, window: int) -> Column:
-    return F.xxhash64(F.slice("template", at + 1, F.lit(window)))
+def _piece(tokens: str, at: Column, window: int) -> Column:
+    return F.slice(tokens, at + 1, F.lit(window))
 
 
 def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, window: int, literals: int) -> DataFrame:
-    """(item_id, item_at, hash, item_template, item_raw) of windows with at least ``literals`` plain words.
+    """(item_id, item_at, hash, item_form, item_raw) of windows with at least ``literals`` plain words.
 
-    A window of placeholders alone says nothing about a text. Repeated items count once.
+    A window of placeholders alone says nothing about a text. Each window stands in its template form and, where
+    that has names, in its case-folded form too, which a copy in capitals or title case shares. Repeated items
+    count once.
     """
     rows = _tokens(benchmark, id_column, text_column)
-    spread = rows.select("id", "raw", "template", F.explode(_places("template", window)).alias("at"))
+    spread = rows.select("id", "raw", "folded", "template", F.explode(_places("template", window)).alias("at"))
     cut_out = spread.select(
-        F.col("id").alias("item_id"), F.col("at").alias("item_at"), _window_hash(F.col("at"), window).alias("hash"),
-        F.slice("template", F.col("at") + 1, F.lit(window)).alias("item_template"),
-        F.slice("raw", F.col("at") + 1, F.lit(window)).alias("item_raw"),
+        F.col("id").alias("item_id"), F.col("at").alias("item_at"), _piece("raw", F.col("at"), window).alias("item_raw"),
+        _piece("template", F.col("at"), window).alias("template"), _piece("folded", F.col("at"), window).alias("folded"),
     )
-    plain = F.size(F.filter("item_template", lambda t: ~t.startswith("#")))
-    return cut_out.where(plain >= literals).dropDuplicates(["item_id", "item_at", "hash"])
+    plain = F.size(F.filter("template", lambda t: ~t.startswith("#")))
+    forms = cut_out.where(plain >= literals).withColumn("item_form", F.explode(F.array_distinct(F.array("template", "folded"))))
+    kept = forms.select("item_id", "item_at", F.xxhash64("item_form").alias("hash"), "item_form", "item_raw")
+    return kept.dropDuplicates(["item_id", "item_at", "hash"])
 
 
 def _bitmap(windows: DataFrame) -> DataFrame:
@@ -90,31 +96,36 @@ def _bitmap(windows: DataFrame) -> DataFrame:
 
 
 def matched_windows(docs: DataFrame, windows: DataFrame, id_column: str, text_column: str, window: int) -> DataFrame:
-    """(doc_id, at, raw, item_id, item_at, item_raw): windows of the documents whose template is an item's.
+    """(doc_id, at, raw, item_id, item_at, item_raw): windows of the documents whose template or folded form is an item's.
 
     Each document's windows are hashed and looked up in the bitmap inside the row, before anything is exploded;
     what is left, the true matches and one in some hundred others, is joined by hash and compared word by word.
+    The two forms of a window without names are the same and looked up once.
     """
     bitmap = _bitmap(windows).scalar()
-    rows = _tokens(docs, id_column, text_column).select("id", "raw", "template", bitmap.alias("bitmap"))
+    rows = _tokens(docs, id_column, text_column).select("id", "raw", "folded", "template", bitmap.alias("bitmap"))
 
     def is_set(h: Column) -> Column:
         slot = F.pmod(h, F.lit(BITMAP_WORDS * 64))
         word = F.get("bitmap", F.floor(slot / 64).cast("int"))
         return F.call_function("getbit", word, F.pmod(slot, F.lit(64)).cast("int")) == 1
 
-    hashes = F.transform(_places("template", window), lambda at: F.struct(at.alias("at"), _window_hash(at, window).alias("hash")))
-    hits = F.transform(
-        F.filter(hashes, lambda x: is_set(x["hash"])),
-        lambda x: F.struct(
-            x["at"].alias("at"), x["hash"].alias("hash"),
-            F.slice("template", x["at"] + 1, F.lit(window)).alias("template"),
-            F.slice("raw", x["at"] + 1, F.lit(window)).alias("raw"),
-        ),
-    )
-    found = rows.select(F.col("id").alias("doc_id"), F.explode(hits).alias("w")).select("doc_id", "w.*")
-    same = (found["hash"] == windows["hash"]) & (found["template"] == windows["item_template"])
-    return found.join(windows, same).select("doc_id", "at", "raw", "item_id", "item_at", "item_raw")
+    def hits(tokens: str, places: Column) -> Column:
+        hashes = F.transform(places, lambda at: F.struct(at.alias("at"), F.xxhash64(_piece(tokens, at, window)).alias("hash")))
+        return F.transform(
+            F.filter(hashes, lambda x: is_set(x["hash"])),
+            lambda x: F.struct(
+                x["at"].alias("at"), x["hash"].alias("hash"),
+                _piece(tokens, x["at"], window).alias("form"), _piece("raw", x["at"], window).alias("raw"),
+            ),
+        )
+
+    places = _places("template", window)
+    named = F.filter(places, lambda at: F.array_contains(_piece("template", at, window), NAME))
+    both = F.concat(hits("template", places), hits("folded", named))
+    found = rows.select(F.col("id").alias("doc_id"), F.explode(both).alias("w")).select("doc_id", "w.*")
+    same = (found["hash"] == windows["hash"]) & (found["form"] == windows["item_form"])
+    return found.join(windows, same).select("doc_id", "at", "raw", "item_id", "item_at", "item_raw").distinct()
 
 
 def contamination(
@@ -126,7 +137,7 @@ def contamination(
 
     A pair counts when its windows, over all the ways the item lies over the document whose slots are consistent,
     cover at least ``min_coverage`` of the item's tokens that lie in some usable window, or ``min_run`` tokens.
-    ``reworded``: some slot holds another value than in the item. Slots are consistent when each value of the
+    ``reworded``: some slot holds another value than in the item, letter case aside. Slots are consistent when each value of the
     item has one value in the document (two may become the same). NULL and empty texts and items under ``window``
     tokens match nothing; rows of a repeated doc_id count as one document; NULL ids can match like others. An
     empty table on either side gives no rows. Columns other than the named ones are not read.
@@ -137,11 +148,11 @@ def contamination(
     tokens = (
         found.withColumn("shift", F.col("at") - F.col("item_at"))
         .select(*lying, "item_at", F.posexplode(F.arrays_zip("raw", "item_raw")))
-        .select(*lying, (F.col("item_at") + F.col("pos")).alias("token"), F.col("col.raw").alias("ours"), F.col("col.item_raw").alias("theirs"))
+        .select(*lying, (F.col("item_at") + F.col("pos")).alias("token"), F.lower("col.raw").alias("ours"), F.col("col.item_raw").alias("raw"))
         .distinct()
     )
-    slot = template_token(F.col("theirs"))
-    typed = tokens.withColumn("slot", F.when(slot.startswith("#"), slot))
+    slot = template_token(F.col("raw"))
+    typed = tokens.withColumn("slot", F.when(slot.startswith("#"), slot)).withColumn("theirs", F.lower("raw"))
     # One value of the item's slot, one value here: the least and the greatest must agree.
     values = typed.groupBy(*lying, "slot", "theirs").agg(
         F.min("ours").alias("low"), F.max("ours").alias("high"), F.collect_set("token").alias("held")
