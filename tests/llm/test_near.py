@@ -151,3 +151,13 @@ def test_contamination_whatever_the_letter_case(docs_of, spark):
     got = {r.doc_id: (r.coverage, r.reworded) for r in decontaminate.contamination(docs, bench).collect()}
     assert got == {0: (1.0, False), 1: (1.0, False), 2: (1.0, False), 3: (1.0, True), 4: (1.0, True)}
     assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [5]
+
+
+def test_one_inconsistent_slot_leaves_the_other_windows(docs_of, spark):
+    tail = " then " + prose(random.Random(5), 30)
+    bench = spark.createDataFrame([(1, QUESTION + tail)], "item_id long, text string")
+    docs = docs_of([(QUESTION + tail).replace("does Anna", "does Carla"), QUESTION.replace("does Anna", "does Carla"), prose(random.Random(6), 60)])
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert set(got) == {0, 1}
+    # The second Anna is token 16 of 54; no window with it is left, all others are.
+    assert [(r.matched_tokens, r.item_tokens, r.reworded) for r in (got[0],)] == [(53, 54, False)]

@@ -9,6 +9,7 @@ are then checked: one value in the item must stand for one value in the document
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trailmark.llm.common import cut
@@ -135,8 +136,8 @@ def contamination(
 ) -> DataFrame:
     """(doc_id, item_id, matched_tokens, item_tokens, coverage, reworded) of each contaminated pair.
 
-    A pair counts when its windows, over all the ways the item lies over the document whose slots are consistent,
-    cover at least ``min_coverage`` of the item's tokens that lie in some usable window, or ``min_run`` tokens.
+    A pair counts when its windows, over all the ways the item lies over the document and without those that touch
+    an inconsistent slot of the way (unless they are word for word the item's), cover at least ``min_coverage`` of the item's tokens that lie in some usable window, or ``min_run`` tokens.
     ``reworded``: some slot holds another value than in the item, letter case aside. Slots are consistent when each value of the
     item has one value in the document (two may become the same). NULL and empty texts and items under ``window``
     tokens match nothing; rows of a repeated doc_id count as one document; NULL ids can match like others. An
@@ -145,26 +146,22 @@ def contamination(
     windows = cut(benchmark_windows(benchmark, item_column, item_text, window, literals))
     found = matched_windows(docs, windows, id_column, text_column, window)
     lying = ["doc_id", "item_id", "shift"]
+    same = F.transform("raw", F.lower) == F.transform("item_raw", F.lower)
     tokens = (
         found.withColumn("shift", F.col("at") - F.col("item_at"))
-        .select(*lying, "item_at", F.posexplode(F.arrays_zip("raw", "item_raw")))
-        .select(*lying, (F.col("item_at") + F.col("pos")).alias("token"), F.lower("col.raw").alias("ours"), F.col("col.item_raw").alias("raw"))
-        .distinct()
+        .select(*lying, "item_at", same.alias("same"), F.posexplode(F.arrays_zip("raw", "item_raw")))
+        .select(*lying, "item_at", "same", (F.col("item_at") + F.col("pos")).alias("token"), F.lower("col.raw").alias("ours"), F.col("col.item_raw").alias("raw"))
     )
     slot = template_token(F.col("raw"))
     typed = tokens.withColumn("slot", F.when(slot.startswith("#"), slot)).withColumn("theirs", F.lower("raw"))
-    # One value of the item's slot, one value here: the least and the greatest must agree.
-    values = typed.groupBy(*lying, "slot", "theirs").agg(
-        F.min("ours").alias("low"), F.max("ours").alias("high"), F.collect_set("token").alias("held")
-    )
-    broken = F.col("slot").isNotNull() & (F.col("low") != F.col("high"))
-    other = F.col("slot").isNotNull() & (F.col("low") != F.col("theirs"))
-    ways = values.groupBy(*lying).agg(
-        F.max(broken).alias("broken"), F.max(other).alias("reworded"), F.flatten(F.collect_list("held")).alias("held")
-    )
-    covered = ways.where(~F.col("broken")).select(
-        "doc_id", "item_id", "reworded", F.size("held").alias("n"), F.explode("held").alias("token")
-    )
+    # One value of the item's slot, one value here: the least and the greatest must agree. Where they do not, the
+    # windows with the slot fall out, but for those that are word for word the item's.
+    values, place = W.partitionBy(*lying, "slot", "theirs"), W.partitionBy(*lying, "item_at")
+    broken = F.col("slot").isNotNull() & (F.min("ours").over(values) != F.max("ours").over(values))
+    whole = typed.withColumn("broken", broken).withColumn("broken", F.max("broken").over(place) & ~F.col("same"))
+    other = F.col("slot").isNotNull() & (F.col("ours") != F.col("theirs"))
+    ways = whole.where(~F.col("broken")).groupBy(*lying).agg(F.max(other).alias("reworded"), F.collect_set("token").alias("held"))
+    covered = ways.select("doc_id", "item_id", "reworded", F.size("held").alias("n"), F.explode("held").alias("token"))
     pairs = covered.groupBy("doc_id", "item_id").agg(
         F.countDistinct("token").alias("matched_tokens"), F.max(F.struct("n", (~F.col("reworded")).alias("same"))).alias("widest")
     )
