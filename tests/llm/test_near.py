@@ -161,3 +161,14 @@ def test_one_inconsistent_slot_leaves_the_other_windows(docs_of, spark):
     assert set(got) == {0, 1}
     # The second Anna is token 16 of 54; no window with it is left, all others are.
     assert [(r.matched_tokens, r.item_tokens, r.reworded) for r in (got[0],)] == [(53, 54, False)]
+
+
+def test_items_without_a_usable_window(docs_of, spark):
+    items = ["Who wrote Hamlet?", "12 + 5 - 3 * 44 / 2 + 9 - 17 + 6 =", "Anna Maria Carla Ben Tom Rosa Paul Nina Otto",
+             "\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u54ea\u4e2a\u57ce\u5e02\uff1f", "\u65e5\u672c\u306e\u9996\u90fd", "A B C D E F G H I J"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"so {x.upper()} and" for x in items]
+    texts[3] = "\u8bf7\u95ee" + items[3][:-1] + "\u5462"
+    texts += ["Who wrote it", "12 + 5 - 3 * 44 / 2 + 9 - 17 + 7", "\u4e2d\u56fd\u4eba", None, "12"]
+    got = {(r.doc_id, r.item_id): (r.coverage, r.reworded) for r in decontaminate.contamination(docs_of(texts), bench).collect()}
+    assert got == {(i, i): (1.0, False) for i in range(5)}

@@ -28,12 +28,18 @@ NUMBERS = (
     "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million"
 ).split()
 
+#: Scripts without spaces between words; each letter is a token.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+LETTER = r"^\p{IsLatin}$"  # a single letter is a mark or a variable, not a word
+
 BITMAP_WORDS = 1 << 15  # 64-bit words of the bitmap that tells most windows apart from the benchmark's
 
 
 def raw_tokens(text: Column) -> Column:
-    """Runs of letters and digits; a point, comma or colon between digits belongs to the number."""
+    """Runs of letters and digits, single letters in scripts without spaces; a point, comma or colon between digits
+    belongs to the number."""
     held = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[0-9])[.,:](?=[0-9])", "_")
+    held = F.when(held.rlike(UNSPACED), F.regexp_replace(held, f"({UNSPACED})", " $1 ")).otherwise(held)
     words = F.split(F.trim(F.regexp_replace(held, r"[^\p{L}\p{N}_]+", " ")), " ", -1)
     return F.filter(words, lambda w: w != "")
 
@@ -50,7 +56,7 @@ def template_token(raw: Column, folded: Column | None = None) -> Column:
     return F.when(low.startswith("#"), low).when(first != F.lower(first), NAME).otherwise(low)
 
 
-def _places(tokens: str, window: int) -> Column:
+def _places(tokens: str, window: int | Column) -> Column:
     """0, 1, ... for every window of the array column, or none."""
     last = F.size(tokens) - window
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
@@ -62,27 +68,53 @@ def _tokens(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return rows.withColumn("template", F.zip_with("raw", "folded", template_token))
 
 
-def _piece(tokens: str, at: Column, window: int) -> Column:
-    return F.slice(tokens, at + 1, F.lit(window))
+def _piece(tokens: str, at: Column, window: int | Column) -> Column:
+    return F.slice(tokens, at + 1, window if isinstance(window, Column) else F.lit(window))
 
 
 def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, window: int, literals: int) -> DataFrame:
-    """(item_id, item_at, hash, item_form, item_raw) of windows with at least ``literals`` plain words.
+    """(item_id, item_at, hash, item_form, item_raw, exact) of windows with at least ``literals`` plain words.
 
     A window of placeholders alone says nothing about a text. Each window stands in its template form and, where
-    that has names, in its case-folded form too, which a copy in capitals or title case shares. Repeated items
+    that has names, in its case-folded form too, which a copy in capitals or title case shares. An item without
+    such windows (names or capitals throughout) has those with enough words in the folded form, where a single
+    letter is no word. An item without these as well (short, or of numbers) is ``exact``: all windows of its
+    lower-cased tokens, a shorter item being one window. Only items of single letters have none. Repeated items
     count once.
     """
-    rows = _tokens(benchmark, id_column, text_column)
-    spread = rows.select("id", "raw", "folded", "template", F.explode(_places("template", window)).alias("at"))
-    cut_out = spread.select(
-        F.col("id").alias("item_id"), F.col("at").alias("item_at"), _piece("raw", F.col("at"), window).alias("item_raw"),
-        _piece("template", F.col("at"), window).alias("template"), _piece("folded", F.col("at"), window).alias("folded"),
+    rows = _tokens(benchmark, id_column, text_column).withColumn("low", F.transform("raw", F.lower))
+
+    def usable(tokens: str, word) -> Column:
+        return F.filter(_places("template", window), lambda at: F.size(F.filter(_piece(tokens, at, window), word)) >= literals)
+
+    rows = rows.withColumn("own", usable("template", lambda t: ~t.startswith("#")))
+    rows = rows.withColumn("spare", usable("folded", lambda t: ~t.startswith("#") & ~t.rlike(LETTER)))
+    says = F.exists("low", lambda t: ~t.rlike(LETTER))
+    length = F.least(F.size("low"), F.lit(window))
+    templates, folded = (
+        rows.where(kind).select(
+            F.col("id").alias("item_id"), F.lit(False).alias("exact"), "raw", "template", "folded", F.explode(places).alias("item_at")
+        )
+        for kind, places in ((F.size("own") > 0, "own"), ((F.size("own") == 0) & (F.size("spare") > 0), "spare"))
     )
-    plain = F.size(F.filter("template", lambda t: ~t.startswith("#")))
-    forms = cut_out.where(plain >= literals).withColumn("item_form", F.explode(F.array_distinct(F.array("template", "folded"))))
-    kept = forms.select("item_id", "item_at", F.xxhash64("item_form").alias("hash"), "item_form", "item_raw")
-    return kept.dropDuplicates(["item_id", "item_at", "hash"])
+    exact = rows.where((F.size("own") == 0) & (F.size("spare") == 0) & says).select(
+        F.col("id").alias("item_id"), F.lit(True).alias("exact"), "raw", "low", length.alias("length"),
+        F.explode(_places("low", length)).alias("item_at"),
+    )
+    at = F.col("item_at")
+    kept = ["item_id", "item_at", "exact"]
+    forms = (
+        templates.select(
+            *kept, _piece("raw", at, window).alias("item_raw"),
+            F.explode(F.array_distinct(F.array(_piece("template", at, window), _piece("folded", at, window)))).alias("item_form"),
+        )
+        .unionByName(folded.select(*kept, _piece("raw", at, window).alias("item_raw"), _piece("folded", at, window).alias("item_form")))
+        .unionByName(
+            exact.select(*kept, _piece("raw", at, F.col("length")).alias("item_raw"), _piece("low", at, F.col("length")).alias("item_form"))
+        )
+    )
+    hashed = forms.select("item_id", "item_at", F.xxhash64("item_form").alias("hash"), "item_form", "item_raw", "exact")
+    return hashed.dropDuplicates(["item_id", "item_at", "hash"])
 
 
 def _bitmap(windows: DataFrame) -> DataFrame:
@@ -104,14 +136,20 @@ def matched_windows(docs: DataFrame, windows: DataFrame, id_column: str, text_co
     The two forms of a window without names are the same and looked up once.
     """
     bitmap = _bitmap(windows).scalar()
-    rows = _tokens(docs, id_column, text_column).select("id", "raw", "folded", "template", bitmap.alias("bitmap"))
+    # The lengths of exact windows; most benchmarks have none, and then no document is lower-cased for them.
+    lengths = windows.where("exact").agg(F.collect_set(F.size("item_form")).alias("lengths")).scalar()
+    rows = _tokens(docs, id_column, text_column).select(
+        "id", "raw", "folded", "template", bitmap.alias("bitmap"), lengths.alias("lengths")
+    )
+    nothing = F.array().cast("array<string>")
+    rows = rows.withColumn("low", F.when(F.size("lengths") > 0, F.transform("raw", F.lower)).otherwise(nothing))
 
     def is_set(h: Column) -> Column:
         slot = F.pmod(h, F.lit(BITMAP_WORDS * 64))
         word = F.get("bitmap", F.floor(slot / 64).cast("int"))
         return F.call_function("getbit", word, F.pmod(slot, F.lit(64)).cast("int")) == 1
 
-    def hits(tokens: str, places: Column) -> Column:
+    def hits(tokens: str, places: Column, window: int | Column) -> Column:
         hashes = F.transform(places, lambda at: F.struct(at.alias("at"), F.xxhash64(_piece(tokens, at, window)).alias("hash")))
         return F.transform(
             F.filter(hashes, lambda x: is_set(x["hash"])),
@@ -123,8 +161,9 @@ def matched_windows(docs: DataFrame, windows: DataFrame, id_column: str, text_co
 
     places = _places("template", window)
     named = F.filter(places, lambda at: F.array_contains(_piece("template", at, window), NAME))
-    both = F.concat(hits("template", places), hits("folded", named))
-    found = rows.select(F.col("id").alias("doc_id"), F.explode(both).alias("w")).select("doc_id", "w.*")
+    exact = F.flatten(F.transform("lengths", lambda n: hits("low", _places("low", n), n)))
+    every = F.concat(hits("template", places, window), hits("folded", named, window), exact)
+    found = rows.select(F.col("id").alias("doc_id"), F.explode(every).alias("w")).select("doc_id", "w.*")
     same = (found["hash"] == windows["hash"]) & (found["form"] == windows["item_form"])
     return found.join(windows, same).select("doc_id", "at", "raw", "item_id", "item_at", "item_raw").distinct()
 
@@ -139,8 +178,8 @@ def contamination(
     A pair counts when its windows, over all the ways the item lies over the document and without those that touch
     an inconsistent slot of the way (unless they are word for word the item's), cover at least ``min_coverage`` of the item's tokens that lie in some usable window, or ``min_run`` tokens.
     ``reworded``: some slot holds another value than in the item, letter case aside. Slots are consistent when each value of the
-    item has one value in the document (two may become the same). NULL and empty texts and items under ``window``
-    tokens match nothing; rows of a repeated doc_id count as one document; NULL ids can match like others. An
+    item has one value in the document (two may become the same). An item without usable windows counts where it stands
+    as a whole, letter case aside. NULL and empty texts and items of single letters match nothing; rows of a repeated doc_id count as one document; NULL ids can match like others. An
     empty table on either side gives no rows. Columns other than the named ones are not read.
     """
     windows = cut(benchmark_windows(benchmark, item_column, item_text, window, literals))
@@ -165,12 +204,12 @@ def contamination(
     pairs = covered.groupBy("doc_id", "item_id").agg(
         F.countDistinct("token").alias("matched_tokens"), F.max(F.struct("n", (~F.col("reworded")).alias("same"))).alias("widest")
     )
-    usable = windows.select("item_id", F.explode(F.sequence(F.col("item_at"), F.col("item_at") + window - 1)).alias("token"))
-    sizes = usable.groupBy("item_id").agg(F.countDistinct("token").alias("item_tokens"))
+    usable = windows.select("item_id", F.explode(F.sequence(F.col("item_at"), F.col("item_at") + F.size("item_raw") - 1)).alias("token"), "exact")
+    sizes = usable.groupBy("item_id").agg(F.countDistinct("token").alias("item_tokens"), F.max("exact").alias("exact"))
     share = F.col("matched_tokens") / F.col("item_tokens")
     return (
         pairs.join(sizes, "item_id")
-        .where((share >= min_coverage) | (F.col("matched_tokens") >= min_run))
+        .where(F.when(F.col("exact"), F.col("widest.n") == F.col("item_tokens")).otherwise((share >= min_coverage) | (F.col("matched_tokens") >= min_run)))
         .select("doc_id", "item_id", "matched_tokens", "item_tokens", F.round(share, 6).alias("coverage"), (~F.col("widest.same")).alias("reworded"))
     )
 
