@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,22 @@ def test_licences_by_ordered_rules(docs_of):
     for i, (_, names, status) in enumerate(CASES):
         assert (";".join(got[i].licenses), got[i].status) == (names, status), CASES[i]
     assert licenses.scan(docs_of([])).count() == 0
+
+
+def wrapped(mark, *sentences):
+    """The sentences as one paragraph of a comment, in lines of 60 characters."""
+    return "\n".join(mark + line for line in textwrap.wrap(" ".join(s + ("" if s.endswith(":") else ".") for s in sentences), 60))
+
+
+def test_wrapped_notices():
+    says = {k: v.replace("<version>", "3").replace("<any>", "Some Owner") for k, v in licenses.SENTENCES.items()}
+    read = licenses.Recogniser().licences
+    for mark in ("", "# ", " * ", "// "):
+        blank = "\n" + mark.rstrip() + "\n"
+        gpl = wrapped(mark, says["gpl-free"]) + blank + wrapped(mark, says["gpl-hope"], says["gpl-details"])
+        assert read(gpl) == (["GPL-3-or-later"], ["gpl-free", "gpl-hope", "gpl-details"], [])
+        assert read(wrapped(mark, says["lgpl-free"]) + blank + mark + "more")[0] == ["LGPL-3-or-later"]
+        mit = wrapped(mark, says["mit-grant"]) + blank + wrapped(mark, says["mit-notice"]) + blank + wrapped(mark, says["as-is"], says["no-liability"])
+        assert read(mit)[0::2] == (["MIT"], [])
+        bsd = blank.join(wrapped(mark, says[k]) for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"))
+        assert read(bsd)[0::2] == (["BSD-3-Clause"], [])

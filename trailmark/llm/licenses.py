@@ -86,6 +86,7 @@ HINTS = ("licen", "permission", "redistribut", "software", "copyright", "warrant
 
 SENTENCE_END = re.compile(r"(?<=[.!?:;])\s+|\n\s*\n")
 LINE_MARK = re.compile(r"(?m)^[ \t]*(?://|/?\*+/?|#+|;+|--|\d+\.|[-*])[ \t]+")
+WORD = re.compile(r"\w")
 PUNCTUATION = re.compile(r"[^\w.+/\-]+")
 
 
@@ -112,6 +113,8 @@ def _compiled(sentences: Mapping[str, str]) -> tuple[dict[str, str], list[tuple[
 class Recogniser:
     def __init__(self, sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES) -> None:
         self.exact, self.holes = _compiled(sentences)
+        # Known sentences with a colon or semicolon inside come in so many parts at most.
+        self.parts = max(len(SENTENCE_END.split(s)) for s in sentences.values())
         self.rules = [(name, tuple(ids)) for name, ids in rules]
 
     def sentence(self, text: str) -> tuple[str, dict[str, str]] | None:
@@ -129,10 +132,15 @@ class Recogniser:
         out, rest = [], []
 
         def flush() -> None:
-            for part in SENTENCE_END.split(" ".join(rest)):
-                found = self.sentence(part)
-                if found:
-                    out.append(found)
+            parts, at = SENTENCE_END.split(" ".join(rest)), 0
+            while at < len(parts):
+                # The longest run of parts that is a known sentence.
+                for n in range(min(self.parts, len(parts) - at), 0, -1):
+                    found = self.sentence(" ".join(parts[at : at + n]))
+                    if found:
+                        out.append(found)
+                        break
+                at += n
             rest.clear()
 
         for line in LINE_MARK.sub("", text).split("\n"):
@@ -140,7 +148,7 @@ class Recogniser:
             if found:
                 flush()
                 out.append(found)
-            elif line.strip():
+            elif WORD.search(line):
                 rest.append(line)
             else:
                 flush()
