@@ -152,3 +152,28 @@ def test_wrapped_notices():
         assert read(mit)[0::2] == (["MIT"], [])
         bsd = blank.join(wrapped(mark, says[k]) for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"))
         assert read(bsd)[0::2] == (["BSD-3-Clause"], [])
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+
+
+def test_named_licences_in_usual_notices():
+    read = licenses.Recogniser().licences
+    for mark in ("", "# ", " * "):
+        assert read("\n".join((mark + line).rstrip() for line in APACHE.split("\n")))[0::2] == (["Apache-2.0"], [])
+    for text, name in (
+        ("This project is released under the MIT License.", "MIT"), ("This code is licensed under the MIT licence.", "MIT"),
+        ("licensed under the 3-Clause BSD License", "BSD-3-Clause"), ("It is released under the BSD 2-Clause License.", "BSD-2-Clause"),
+        ("This tool is licensed under the GNU General Public License version 3.", "GPL-3"), ("The photos are licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ):
+        assert read(text)[0] == [name], text
+    assert read("This project is not released under the MIT License.")[0] == []
+    assert read("If this part is released under the MIT License.")[0] == []

@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from trailmark.llm.common import by_batch
 
 #: Licence sentences as the licences and their usual notices word them, by identifier.
-#: <any> stands for one to twelve words (names, years), <version> for a version number.
+#: <any> stands for one to twelve words (names, years), <version> for a version number. Sentences that begin with
+#: 'licensed under' or 'released under' may have a subject before ('This project is') and '(the "License")' behind.
 SENTENCES: dict[str, str] = {
     "mit-named": "released under the MIT License",
     "mit-named-2": "this project is licensed under the terms of the MIT license",
@@ -33,10 +34,14 @@ SENTENCES: dict[str, str] = {
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
     "bsd-names": "Neither the name of <any> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd-named": "licensed under the <version> clause BSD license",
+    "bsd-named-2": "released under the <version> clause BSD license",
+    "bsd-named-3": "licensed under the BSD <version> clause license",
+    "bsd-named-4": "released under the BSD <version> clause license",
     "apache-named": "licensed under the Apache License, Version <version>",
     "apache-named-2": "released under the Apache License <version>",
     "apache-may-not": "you may not use this file except in compliance with the License",
     "apache-obtain": "You may obtain a copy of the License at <any>",
+    "apache-obtain-2": "You may obtain a copy of the License at",
     "apache-basis": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
     "gpl-named": "This work is licensed under the GNU General Public License, version <version>",
     "gpl-named-2": "licensed under the GNU General Public License version <version>",
@@ -60,12 +65,16 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-{version}", ("gpl-named",)),
     ("GPL-{version}", ("gpl-named-2",)),
     ("Apache-{version}", ("apache-named", "apache-may-not", "apache-obtain", "apache-basis")),
+    ("Apache-{version}", ("apache-named", "apache-may-not", "apache-obtain-2", "apache-basis")),
     ("Apache-{version}", ("apache-named", "apache-may-not")),
     ("Apache-{version}", ("apache-named",)),
     ("Apache-{version}", ("apache-named-2",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD-{version}-Clause", ("bsd-named",)),
+    ("BSD-{version}-Clause", ("bsd-named-2",)),
+    ("BSD-{version}-Clause", ("bsd-named-3",)),
+    ("BSD-{version}-Clause", ("bsd-named-4",)),
     ("MIT", ("mit-grant", "mit-notice", "as-is", "no-liability")),
     ("MIT", ("mit-grant", "mit-notice")),
     ("MIT", ("mit-named",)),
@@ -86,27 +95,34 @@ HINTS = ("licen", "permission", "redistribut", "software", "copyright", "warrant
 
 SENTENCE_END = re.compile(r"(?<=[.!?:;])\s+|\n\s*\n")
 LINE_MARK = re.compile(r"(?m)^[ \t]*(?://|/?\*+/?|#+|;+|--|\d+\.|[-*])[ \t]+")
+CLAUSE = re.compile(r"(?<=\d)-(?=clause)")
+NAMED = ("licensed under ", "released under ")
+#: Before and behind a sentence that names a licence; a subject that denies or supposes is none.
+SUBJECT = r"(?!(?:\S+ ){0,12}?(?:no|not|nothing|none|neither|never|unless|if|whether) )(?:(?:\S+ ){1,12}?(?:is|are) )?"
+TAIL = r"(?: the license)?"
 WORD = re.compile(r"\w")
 PUNCTUATION = re.compile(r"[^\w.+/\-]+")
 
 
 def normalise(sentence: str) -> str:
     """Lower case, no punctuation but inside words, single spaces, British spelling folded."""
-    words = PUNCTUATION.sub(" ", sentence.lower().replace("licence", "license")).split()
+    words = PUNCTUATION.sub(" ", CLAUSE.sub(" ", sentence.lower().replace("licence", "license"))).split()
     return " ".join(w for w in (w.strip(".-/+") for w in words) if w)
 
 
 def _compiled(sentences: Mapping[str, str]) -> tuple[dict[str, str], list[tuple[str, re.Pattern]]]:
-    """Sentences without holes by their normal form; those with holes as patterns."""
+    """Sentences without holes by their normal form; those with holes, and those that name a licence, as patterns."""
     exact, holes = {}, []
     for name, sentence in sentences.items():
         marked = sentence.replace("<any>", " holeany ").replace("<version>", " holeversion ")
         plain = normalise(marked)
+        named = plain.startswith(NAMED)
         if "hole" not in plain:
             exact[plain] = name
-            continue
+            if not named:
+                continue
         body = re.escape(plain).replace("holeany", r"(?P<any>\S+(?: \S+){0,11}?)").replace("holeversion", r"v?(?P<version>\d+(?:\.\d+)*)")
-        holes.append((name, re.compile(body)))
+        holes.append((name, re.compile(SUBJECT + body + TAIL if named else body)))
     return exact, holes
 
 
