@@ -104,6 +104,19 @@ def test_repeated_passages_and_paragraphs(docs_of):
     assert paragraphs.repeated_spans(docs_of([])).count() == 0
 
 
+def test_short_repeated_lines(docs_of):
+    rng = random.Random(8)
+    nine, five, two = prose(rng, 9), prose(rng, 5), prose(rng, 2)
+    many = prose(rng, 18).split()
+    near = " ".join(["changed", *many[1:]])  # 13 of 15 shingles
+    texts = [f"{prose(rng, 4)}\n{nine}\n{five}", nine.upper(), f"{two}\n{five}", f"{prose(rng, 6)}\n\n{two}", " ".join(many), near, prose(rng, 3)]
+    got = sorted((r.id, r.start, r.words, r.source, r.removed) for r in paragraphs.repeated_spans(docs_of(texts)).collect() if r.kind == "paragraph")
+    assert got == [
+        (0, 4, 9, 0, False), (0, 13, 5, 0, False), (1, 0, 9, 0, True), (2, 0, 2, 2, False), (2, 2, 5, 0, True),
+        (3, 6, 2, 2, True), (4, 0, 18, 4, False), (5, 0, 18, 4, True),
+    ]
+
+
 def test_full_buckets_give_the_same_classes(docs_of):
     rng = random.Random(4)
     base = prose(rng, 90).split()

@@ -1,6 +1,6 @@
 """Repeated paragraphs by MinHash banding, with passages that sit inside other text.
 
-Paragraphs (lines of enough words) get MinHash signatures over their 5-word shingles. Paragraphs that agree in a
+Paragraphs (lines) get MinHash signatures over their 5-word shingles; shorter lines meet by equality. Paragraphs that agree in a
 band are joined, their exact Jaccard similarity decides, and connected components are the classes. Equal
 paragraphs are one node from the start, so thousands of copies are one row in every later step.
 
@@ -156,7 +156,7 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
 
 def _paragraphs(docs: DataFrame, id_column: str, text_column: str, least: int, banded: bool) -> DataFrame:
-    """(id, start, words, key, bands) of every line of at least ``least`` words; ``bands`` is NULL unless ``banded``."""
+    """(id, start, words, key, bands) of every line of at least ``least`` words; ``bands`` is NULL unless ``banded`` and without a shingle."""
 
     def make():
         hasher = Hasher()
@@ -168,7 +168,7 @@ def _paragraphs(docs: DataFrame, id_column: str, text_column: str, least: int, b
                 for words in split_paragraphs(text):
                     if len(words) >= least:
                         hashes = hasher.words(words)
-                        bands = hasher.bands(hasher.runs(hashes, SHINGLE)) if banded else None
+                        bands = hasher.bands(hasher.runs(hashes, SHINGLE)) if banded and len(words) >= SHINGLE else None
                         row = (id_, at, len(words), span_key(hashes), bands)
                         for column, value in zip(out, row):
                             column.append(value)
@@ -195,7 +195,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, id_column: str, text_colum
             for text, listed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 open_ = set(listed)
                 for words in split_paragraphs(text):
-                    if len(words) < least or not open_:
+                    if len(words) < max(least, SHINGLE) or not open_:
                         continue
                     hashes = hasher.words(words)
                     key = span_key(hashes)
@@ -255,12 +255,13 @@ def _links_in_blocks(crowd: DataFrame, similarity: float) -> DataFrame:
 
 
 def paragraph_classes(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = 20, similarity: float = 0.8, bucket: int = 48
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = 1, similarity: float = 0.8, bucket: int = 48
 ) -> DataFrame:
-    """(id, start, words, source): paragraphs that have a copy or near copy, by MinHash banding.
+    """(id, start, words, source, root): paragraphs that have a copy or near copy, by MinHash banding.
 
-    ``source`` is the smallest id in the paragraph's class: the connected component of paragraphs whose 5-word
-    shingle sets have Jaccard similarity of at least ``similarity``. Buckets of up to ``bucket`` distinct
+    ``root`` tells classes apart and ``source`` is the smallest id in the paragraph's class: the connected component of paragraphs whose 5-word
+    shingle sets have Jaccard similarity of at least ``similarity``; lines too short for a shingle have equal ones
+    only. Buckets of up to ``bucket`` distinct
     paragraphs are compared by a join; fuller ones block against block (``_links_in_blocks``), also exactly.
     """
     every = _paragraphs(docs, id_column, text_column, least, banded=True).where("id is not null")
@@ -289,25 +290,25 @@ def paragraph_classes(
     roots = components(links).select(F.col("node").alias("key"), "root")
     owned = nodes.join(roots, "key", "left").select("key", "first", "n", F.coalesce("root", "key").alias("root"))
     classes = owned.groupBy("root").agg(F.min("first").alias("source"), F.sum("n").alias("size")).where("size > 1")
-    named = owned.join(classes, "root").select("key", "source")
+    named = owned.join(classes, "root").select("key", "source", "root")
     # The places of all paragraphs are read from the texts again, which costs no signatures and no disk.
     places = _paragraphs(docs, id_column, text_column, least, banded=False).where("id is not null")
-    return places.select("id", "start", "words", "key").join(named, "key").select("id", "start", "words", "source")
+    return places.select("id", "start", "words", "key").join(named, "key").select("id", "start", "words", "source", "root")
 
 
 def repeated_spans(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = 20, similarity: float = 0.8
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = 1, similarity: float = 0.8
 ) -> DataFrame:
     """(id, kind, start, words, source, removed) of all text that stands somewhere else as well.
 
     ``kind`` is 'paragraph' (see ``paragraph_classes``) or 'passage' (see ``repeated_passages``); ``start`` and
     ``words`` count white-separated words of the whole text. A span is ``removed`` in every document but its
     source; a paragraph class inside one document keeps its first row. Words are compared in lower case. NULL,
-    empty and short texts have no spans, rows with a NULL id none. Rows of a repeated id count as one document:
+    and empty texts have no spans, rows with a NULL id none. Rows of a repeated id count as one document:
     its paragraphs are copies of each other, its passages are not. An empty table gives no rows.
     """
     lines = paragraph_classes(docs, id_column, text_column, least, similarity)
-    first = F.row_number().over(W.partitionBy("id", "source").orderBy("start")) == 1
+    first = F.row_number().over(W.partitionBy("id", "root").orderBy("start")) == 1
     lines = lines.select(
         "id", F.lit("paragraph").alias("kind"), "start", "words", "source", (~((F.col("id") == F.col("source")) & first)).alias("removed")
     )
