@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from trailmark.llm.decontaminate import NUMBERS, UNITS
+from trailmark.llm.quality_rules import EDGES, STOP_WORDS
 
 #: CRC-32 of a text, byte by byte and bit by bit.
 _CRC = """CAST(xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT)),
@@ -111,9 +112,47 @@ WITH plain AS (
 SELECT * FROM told
 """
 
+_STOPS = "(" + ", ".join(sorted({f"'{w}'" for line in STOP_WORDS.values() for w in line.split()})) + ")"
+_EDGES = EDGES.replace("'", "''")
+
+OP11 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), cut AS (
+  SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), windows AS (
+  SELECT r, p, words[p : p + 2] AS win FROM (SELECT r, words, unnest(generate_series(1, len(words) - 2)) AS p FROM cut WHERE len(words) >= 3)
+), twice AS (
+  SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, win) AS n FROM windows) WHERE n >= 2
+), repeats AS (
+  SELECT r, count(DISTINCT p + k) AS n FROM (SELECT r, p, unnest([0, 1, 2]) AS k FROM twice) GROUP BY r
+), counted AS (
+  SELECT doc_id, len(words) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    len(list_filter(words, lambda w: lower(trim(w, '{_EDGES}')) IN {_STOPS})) AS n_stop_words, len(lines) AS n_lines,
+    len(regexp_extract_all(t, '!')) AS marks, len(list_filter(lines, lambda x: ltrim(x, ' ')[1] IN ('-', '*', '•', '·'))) AS bullets,
+    len(list_filter(lines, lambda x: rtrim(x, ' ').ends_with('...') OR rtrim(x, ' ').ends_with('…'))) AS cut_off
+  FROM cut LEFT JOIN repeats USING (r)
+), judged AS (
+  SELECT *, list_filter([
+    CASE WHEN n_words < 50 THEN 'too_short' END, CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 'repeated_words' END,
+    CASE WHEN n_words > 0 AND word_chars NOT BETWEEN 2 * n_words AND 14 * n_words THEN 'word_length' END,
+    CASE WHEN 4 * n_symbols > n_words AND n_words > 0 THEN 'symbols' END, CASE WHEN 2 * marks > n_words AND n_words > 0 THEN 'shouting' END,
+    CASE WHEN 100 * n_stop_words < n_words THEN 'no_stop_words' END, CASE WHEN 2 * n_dup_lines > n_lines THEN 'repeated_lines' END,
+    CASE WHEN 10 * bullets > 9 * n_lines THEN 'bullets' END, CASE WHEN 2 * cut_off > n_lines THEN 'cut_lines' END
+  ], lambda x: x IS NOT NULL) AS failed FROM counted
+)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_stop_words, n_lines,
+  array_to_string(failed, ';') AS failed_rules, list_has_any(failed, ['too_short', 'repeated_words']) AS base_failed, len(failed) = 0 AS kept
+FROM judged
+"""
+
 ORACLES = {
     "op3_jump_sharding": OP3,
     "op5_merkle_fixity": OP5,
     "op6_template_decontamination": OP6,
     "op7_exact_dedup": OP7,
+    "op11_quality_rules": OP11,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm import (
-    bpe, decontaminate, exact_dedup, fixity, licenses, paragraphs, quality, sharding, simhash, toxicity,
+    bpe, decontaminate, exact_dedup, fixity, licenses, paragraphs, quality, quality_rules, sharding, simhash, toxicity,
 )
 from trailmark.llm.common import held_out, table
 from trailmark.llm.oracles import ORACLES
@@ -120,6 +120,15 @@ def op10_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(docs, toxicity.score(F.col("text"), model), 0.5)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts, the rules of the default table that it fails, and the verdict."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines",
+        F.array_join("failed_rules", ";").alias("failed_rules"), "base_failed", "kept",
+    )
+
+
 def _predicted(docs: DataFrame, score, threshold: float) -> DataFrame:
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -130,5 +139,6 @@ QUERIES = {
     for f in (
         op1_paragraph_dedup, op2_license_scan, op3_jump_sharding, op4_simhash, op5_merkle_fixity, op6_template_decontamination,
         op7_exact_dedup, op8_crf_quality, op9_byte_bpe, op10_counterfactual_toxicity,
+        op11_quality_rules,
     )
 }
