@@ -149,10 +149,69 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_d
 FROM judged
 """
 
+_CRC_OF_TURN = _CRC.replace("encode(t)", "encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")
+
+#: The DP over all edits with up to two insertions before any row, every state with its whole edit text.
+OP12 = rf"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC_OF_TURN} % 20 AS mark FROM conversations
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN mark = 4 THEN 'user' ELSE role END AS role,
+    CASE mark WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN mark = 3 THEN [1, 2] ELSE [1] END) AS time
+  FROM marked WHERE mark <> 0
+), placed AS (
+  SELECT *, row_number() OVER c AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, time) AS nth,
+    lag(role[1]) OVER c || role[1] AS pair, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body
+  FROM hurt WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), time)
+), faults AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN body[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), states(s, after) AS (
+  VALUES (0, 2), (1, 2), (2, 3), (3, 2)
+), inserted(s, word, said, price, pos) AS (
+  SELECT s, '', '', 0, s FROM states
+  UNION ALL SELECT s, 'I', CASE after WHEN 2 THEN 'user:' ELSE 'assistant:' END || chr(10), 5, after FROM states
+  UNION ALL SELECT a.s, 'II', CASE a.after WHEN 2 THEN 'user:' ELSE 'assistant:' END || chr(10) || CASE b.after WHEN 2 THEN 'user:' ELSE 'assistant:' END || chr(10), 10, b.after
+    FROM states a JOIN states b ON b.s = a.after
+), kept(s, first, t) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), moves AS (
+  SELECT s, word || 'D' AS word, said, price + 2 AS price, pos AS t, CAST(NULL AS VARCHAR) AS first, 'D' AS edit FROM inserted
+  UNION ALL SELECT i.s, word || 'R', said, price + 1, after, NULL, 'R' FROM inserted i JOIN states n ON n.s = i.pos
+  UNION ALL SELECT i.s, word || 'K', said, price, t, first, 'K' FROM inserted i JOIN kept k ON k.s = i.pos
+), sizes AS (
+  SELECT conv_id, count(*) AS n FROM faults GROUP BY conv_id
+), ways AS (
+  SELECT conv_id, 0 AS i, 0 AS s, {{'cost': 0, 'audit': '', 'said': ''}} AS best FROM sizes
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, m.t,
+    min({{'cost': w.best.cost + m.price + CASE WHEN f.fault = 'truncated' AND m.edit <> 'D' THEN 5 ELSE 0 END, 'audit': w.best.audit || m.word,
+      'said': w.best.said || m.said || CASE m.edit WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10)
+        ELSE CASE m.t WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text || chr(10) END}})
+  FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN moves m ON m.s = w.s
+  WHERE (m.edit <> 'K' OR m.first = f.role[1]) AND (m.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY w.conv_id, w.i, m.t
+), closed AS (
+  SELECT w.conv_id, min({{'cost': best.cost + price, 'audit': best.audit || word, 'said': best.said || said}}) AS best
+  FROM ways w JOIN sizes z ON z.conv_id IS NOT DISTINCT FROM w.conv_id AND z.n = w.i JOIN inserted x ON x.s = w.s WHERE x.pos IN (0, 3) GROUP BY w.conv_id
+), told AS (
+  SELECT conv_id, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM faults GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(left(best.said, -1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN closed x ON x.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLES = {
     "op3_jump_sharding": OP3,
     "op5_merkle_fixity": OP5,
     "op6_template_decontamination": OP6,
     "op7_exact_dedup": OP7,
     "op11_quality_rules": OP11,
+    "op12_conversation_repair": OP12,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm import (
-    bpe, decontaminate, exact_dedup, fixity, licenses, paragraphs, quality, quality_rules, sharding, simhash, toxicity,
+    bpe, conversations, decontaminate, exact_dedup, fixity, licenses, paragraphs, quality, quality_rules, sharding, simhash, toxicity,
 )
 from trailmark.llm.common import held_out, table
 from trailmark.llm.oracles import ORACLES
@@ -129,6 +129,13 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repair of every conversation after known damage: faults, cheapest edits, the hash of the repaired text."""
+    turns = table(spark, sf_dir, "conversations")
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    return conversations.report(conversations.damaged(turns, F.crc32(name) % 20), every=turns).withColumnRenamed("conversation", "conv_id")
+
+
 def _predicted(docs: DataFrame, score, threshold: float) -> DataFrame:
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -139,6 +146,6 @@ QUERIES = {
     for f in (
         op1_paragraph_dedup, op2_license_scan, op3_jump_sharding, op4_simhash, op5_merkle_fixity, op6_template_decontamination,
         op7_exact_dedup, op8_crf_quality, op9_byte_bpe, op10_counterfactual_toxicity,
-        op11_quality_rules,
+        op11_quality_rules, op12_conversation_repair,
     )
 }
