@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm import (
-    bpe, conversations, decontaminate, exact_dedup, fixity, licenses, paragraphs, quality, quality_rules, sharding, simhash, toxicity,
+    alignment, bpe, conversations, decontaminate, exact_dedup, fixity, licenses, paragraphs, quality, quality_rules, sharding, simhash, toxicity,
 )
 from trailmark.llm.common import held_out, table
 from trailmark.llm.oracles import ORACLES
@@ -136,6 +136,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damaged(turns, F.crc32(name) % 20), every=turns).withColumnRenamed("conversation", "conv_id")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How a byte-level and a piece tokenizer cut every document, and how common its token pairs are in all of them."""
+    shared = alignment.shared_aligner(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.alignment(table(spark, sf_dir, "documents"), shared).withColumnRenamed("id", "doc_id")
+
+
 def _predicted(docs: DataFrame, score, threshold: float) -> DataFrame:
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -146,6 +152,6 @@ QUERIES = {
     for f in (
         op1_paragraph_dedup, op2_license_scan, op3_jump_sharding, op4_simhash, op5_merkle_fixity, op6_template_decontamination,
         op7_exact_dedup, op8_crf_quality, op9_byte_bpe, op10_counterfactual_toxicity,
-        op11_quality_rules, op12_conversation_repair,
+        op11_quality_rules, op12_conversation_repair, op13_tokenizer_alignment,
     )
 }
