@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from trailmark.plans import lineage, local, quantiles, skew
+from trailmark.operators import funnel
+from trailmark.plans import lineage, local, quantiles, skew, steps
 
 SF = "/root/testdata/sf0.001"
 
@@ -124,3 +125,45 @@ def test_funnel_reads_events_once_and_pushes_the_filter(spark):
     assert one_day.count("FileScan") == 1 and "In(event_type" in one_day and "GreaterThanOrEqual(ts" in one_day
     read = [line for line in text.splitlines() if "ReadSchema" in line][0]
     assert "props" not in read.split("ReadSchema")[1]
+
+
+def done_in_order(rows, wanted):
+    """How many of ``wanted`` follow each other in (time, kind) rows, each strictly later."""
+    at, done = None, 0
+    for kind in wanted:
+        later = [t for t, k in rows if k == kind and (at is None or t > at)]
+        if not later:
+            break
+        at, done = min(later), done + 1
+    return done
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("wanted", ["abc", "a", "aab", "abab"])
+def test_steps_equal_a_reading_in_order(spark, kind, wanted):
+    rng = np.random.default_rng(len(wanted))
+    rows = []
+    for user in range(60):
+        for _ in range(rng.integers(1, 14)):
+            micros = int(rng.integers(-3, 4)) * 1_800_000_000 + int(rng.integers(0, 3)) * 500_000
+            rows.append((user, micros, "abcz"[rng.integers(0, 4)]))
+    df = spark.createDataFrame(rows, "u int, m bigint, e string").withColumn("t", F.timestamp_micros("m").cast(kind))
+    want = {u: done_in_order([(m, e) for v, m, e in rows if v == u], wanted) for u in {r[0] for r in rows}}
+    for spans in ((1, 3600), (1,), (10, 60, 600)):
+        got = {r["u"]: r["done"] for r in steps.steps_done(df, ["u"], "t", [F.col("e") == k for k in wanted], spans).collect()}
+        assert {u: got.get(u, 0) for u in want} == want, spans
+
+
+def test_steps_of_one_hot_user_are_spread(spark):
+    df = spark.range(200_000).select(F.lit(1).alias("u"), F.timestamp_seconds(F.col("id") * 5).alias("t"), F.when(F.col("id") == 150_000, "a").when(F.col("id") < 150_000, "b").otherwise("c").alias("e"))
+    assert steps.steps_done(df, ["u"], "t", [F.col("e") == k for k in "acb"]).first()["done"] == 2
+    with pytest.raises(ValueError, match="1 to 31"):
+        steps.steps_done(df, ["u"], "t", [])
+    nothing = steps.steps_done(df.withColumn("t", F.lit(None).cast("timestamp")), ["u"], "t", [F.col("e") == "a"])
+    assert nothing.count() == 0
+
+
+def test_ordered_funnel_reads_events_once_without_a_join(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumnRenamed("ts", "timestamp")
+    text = plan_of(funnel.ordered_flags(events, [("a", "view"), ("b", "click"), ("c", "purchase")], within="session_id" if "session_id" in events.columns else None))
+    assert text.count("FileScan") == 1 and "Join" not in text and "In(event_type" in text

@@ -81,8 +81,9 @@ def test_ordered_funnel_needs_order_and_session(spark):
     assert (free["step_0_users"], free["step_1_users"], free["step_2_users"]) == (5, 2, 2)  # u4 and u5
     session = fn.calculate_funnel(events(spark, rows), STEPS, mode="ordered", within="session_id")[0].first()
     assert (session["step_0_users"], session["step_1_users"], session["step_2_users"]) == (5, 1, 1)  # u4
-    salted = fn.ordered_flags(events(spark, rows), STEPS, hot_rows=1).where("did_2").select("user_id")
-    assert sorted(r[0] for r in salted.collect()) == ["u4", "u5"]
+    for spans in ((1,), (60, 3600, 86400), (1_000_000,)):
+        done = fn.ordered_flags(events(spark, rows), STEPS, spans=spans).where("did_2").select("user_id")
+        assert sorted(r[0] for r in done.collect()) == ["u4", "u5"]
     with pytest.raises(ValueError):
         fn.calculate_funnel(events(spark, rows), STEPS, mode="strict")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trailmark.functions.dates import days_between, in_date_range
 from trailmark.functions.numeric import percent
 from trailmark.plans.quantiles import exact_percentiles
-from trailmark.plans.skew import hot_keys, join_salting_hot_keys
+from trailmark.plans.steps import SPANS, steps_done
 
 Steps = Sequence[tuple[str, str]]
 CONVERT_PERCENTILES = {"median_days": 0.5, "p25_days": 0.25, "p75_days": 0.75, "p90_days": 0.9}
@@ -86,32 +86,20 @@ def ordered_flags(
     steps: Steps,
     date_range: tuple | None = None,
     within: str | None = None,
-    hot_rows: int = 1_000_000,
+    spans: Sequence[int] = SPANS,
 ) -> DataFrame:
     """One row per user with did_0 .. did_k, each step strictly after the one before.
 
-    Step i's time is the earliest matching event after step i-1's time, found by one join per step
-    with the earlier times (one row per user and ``within`` value) and a min that combines map-side.
+    The events are read once and folded to step functions by spans of time (``plans.steps``), so neither a step
+    nor a heavy user costs a join.
     """
     keys = ["user_id"] + ([within] if within else [])
     source = step_events(events, steps, date_range)
     if within:
         source = source.where(F.col(within).isNotNull())
-    source = source.select(*keys, "event_type", "timestamp")
-    hot = hot_keys(source, keys, hot_rows)
-    times = source.where(F.col("event_type") == steps[0][1]).groupBy(*keys).agg(F.min("timestamp").alias("t_0"))
-    for i, (_, event) in enumerate(steps[1:], start=1):
-        candidates = source.where(F.col("event_type") == event).select(*keys, F.col("timestamp").alias("t"))
-        previous = times.where(F.col(f"t_{i - 1}").isNotNull()).select(*keys, F.col(f"t_{i - 1}").alias("after"))
-        reached = (
-            join_salting_hot_keys(candidates, previous, keys, hot, [*keys, "t"])
-            .where(F.col("t") > F.col("after"))
-            .groupBy(*keys)
-            .agg(F.min("t").alias(f"t_{i}"))
-        )
-        times = times.join(reached, keys, "left")
-    flags = [F.bool_or(F.col(f"t_{i}").isNotNull()).alias(f"did_{i}") for i in range(len(steps))]
-    return times.groupBy("user_id").agg(*flags)
+    done = steps_done(source, keys, "timestamp", [F.col("event_type") == event for _, event in steps], spans).where("done > 0")
+    furthest = done.groupBy("user_id").agg(F.max("done").alias("done")) if within else done
+    return furthest.select("user_id", *[(F.col("done") > i).alias(f"did_{i}") for i in range(len(steps))])
 
 
 def funnel_long(funnel: DataFrame, steps: Steps, keys: Sequence[str] = ()) -> DataFrame:

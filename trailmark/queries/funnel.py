@@ -10,23 +10,26 @@ STEPS = [("Viewed", "view"), ("Clicked", "click"), ("Purchased", "purchase")]
 DAY = ("2024-01-02", "2024-01-02 23:59:59.999999")
 IN_DAY = "timestamp BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-02 23:59:59.999999'"
 
-# The check follows the textbook shape: one distinct user set per step, joined to the first.
-STEP_SETS = ", ".join(
-    f"s{i} AS (SELECT DISTINCT user_id FROM events_e WHERE event_type = '{event}')" for i, (_, event) in enumerate(STEPS)
-)
-DAY_SETS = STEP_SETS.replace("')", f"' AND {IN_DAY})")
+
+
+def kinds_sql(events: str = "events_e", where: str = "true") -> str:
+    """CTE ``who``: each user with the list of kinds of their events."""
+    return f"""who AS (SELECT user_id, list(DISTINCT event_type) AS kinds FROM {events} WHERE user_id IS NOT NULL AND {where} GROUP BY user_id)"""
+
+
+def funnel_sql(segment: str | None = None, steps=STEPS, where: str = "true", events: str = "events_e", users: str = "users_e") -> str:
+    """CTE ``f``: per segment, users whose list holds the first step, and of these those that hold each other one."""
+    first = f"list_contains(kinds, '{steps[0][1]}')"
+    held = ", ".join(f"count(*) FILTER (list_contains(kinds, '{event}')) AS step_{i}_users" for i, (_, event) in enumerate(steps))
+    side = f"LEFT JOIN (SELECT DISTINCT user_id, {segment} FROM {users}) USING (user_id)" if segment else ""
+    by = (f"{segment}, ", f"GROUP BY {segment}") if segment else ("", "")
+    return f"WITH {kinds_sql(events, where)}, f AS (SELECT {by[0]}{held} FROM who {side} WHERE {first} {by[1]})"
+
+
 RATES = f"""step_0_users, step_1_users, step_2_users,
     {pct('step_1_users', 'step_0_users')} AS step_0_to_1_rate, {pct('step_1_users', 'step_0_users')} AS step_0_to_1_incremental,
     {pct('step_2_users', 'step_0_users')} AS step_0_to_2_rate, {pct('step_2_users', 'step_1_users')} AS step_1_to_2_incremental"""
-COUNTS = """count(DISTINCT s0.user_id) AS step_0_users, count(DISTINCT s1.user_id) AS step_1_users,
-    count(DISTINCT s2.user_id) AS step_2_users"""
-JOINS = "FROM s0 LEFT JOIN s1 ON s0.user_id = s1.user_id LEFT JOIN s2 ON s0.user_id = s2.user_id"
-OVERALL = f"WITH {STEP_SETS}, f AS (SELECT {COUNTS} {JOINS})"
-
-
-def by_segment(segment: str) -> str:
-    return f"""WITH {STEP_SETS}, f AS (
-        SELECT u.{segment}, {COUNTS} {JOINS} LEFT JOIN users_e u ON s0.user_id = u.user_id GROUP BY u.{segment})"""
+OVERALL = funnel_sql()
 
 
 def funnel(v, segment=None, days=None):
@@ -38,19 +41,19 @@ def _(v):
     return funnel(v)
 
 
-@registry.add("funnel_by_segment", f"{by_segment('acquisition_channel')} SELECT acquisition_channel, {RATES} FROM f")
+@registry.add("funnel_by_segment", f"{funnel_sql('acquisition_channel')} SELECT acquisition_channel, {RATES} FROM f")
 def _(v):
     return funnel(v, "acquisition_channel")
 
 
-@registry.add("funnel_one_day", f"{OVERALL} SELECT {RATES} FROM f".replace(STEP_SETS, DAY_SETS))
+@registry.add("funnel_one_day", f"{funnel_sql(where=IN_DAY)} SELECT {RATES} FROM f")
 def _(v):
     return funnel(v, None, DAY)
 
 
 @registry.add(
     "funnel_by_segment_one_day",
-    f"{by_segment('acquisition_channel')} SELECT acquisition_channel, {RATES} FROM f".replace(STEP_SETS, DAY_SETS),
+    f"{funnel_sql('acquisition_channel', where=IN_DAY)} SELECT acquisition_channel, {RATES} FROM f",
 )
 def _(v):
     return funnel(v, "acquisition_channel", DAY)
@@ -58,7 +61,7 @@ def _(v):
 
 @registry.add(
     "funnel_by_segment_all_days",
-    f"{by_segment('country')} SELECT country, {RATES} FROM f",
+    f"{funnel_sql('country')} SELECT country, {RATES} FROM f",
 )
 def _(v):
     return fn.calculate_funnel(v.events_e, STEPS, v.users_e, "country")[0]
@@ -66,7 +69,7 @@ def _(v):
 
 @registry.add(
     "funnel_top_segments",
-    f"""{by_segment('country')} SELECT country, step_0_users, {pct('step_1_users', 'step_0_users')} AS step_0_to_1_rate,
+    f"""{funnel_sql('country')} SELECT country, step_0_users, {pct('step_1_users', 'step_0_users')} AS step_0_to_1_rate,
         {pct('step_2_users', 'step_0_users')} AS step_0_to_2_rate FROM f ORDER BY step_0_users DESC, country LIMIT 6""",
 )
 def _(v):
@@ -87,7 +90,7 @@ def _(v):
 
 @registry.add(
     "funnel_validity",
-    f"""{by_segment('acquisition_channel')}
+    f"""{funnel_sql('acquisition_channel')}
     SELECT acquisition_channel, 'step_0_to_1' AS stage, step_1_users <= step_0_users AS not_rising,
         coalesce({pct('step_1_users', 'step_0_users')} <= 100, true) AS incremental_ok, {pct('step_1_users', 'step_0_users')} AS value FROM f
     UNION ALL SELECT acquisition_channel, 'step_1_to_2', step_2_users <= step_1_users,
@@ -139,30 +142,60 @@ def _(v):
     return fn.calculate_time_to_convert(v.events_e, "view", "purchase", v.users_e, "acquisition_channel")
 
 
-def stage_sql(i: int) -> str:
-    return f"""SELECT {i} AS stage_no, '{STEPS[i][0]}' AS dropped_at_stage, u.country, u.acquisition_channel,
-        count(*) AS users_in_segment, count(*) FILTER (WHERE n.user_id IS NULL) AS dropped_users
-        FROM s{i} c LEFT JOIN s{i + 1} n ON c.user_id = n.user_id LEFT JOIN users_e u ON c.user_id = u.user_id
-        GROUP BY u.country, u.acquisition_channel"""
-
+def drop_off_sql(steps=STEPS, where: str = "true", events: str = "events_e", users: str = "users_e") -> str:
+    """Users whose list holds a step, by whether it holds the next one; ranked within the step."""
+    pairs = ", ".join(f"({i}, '{a}', '{b}', '{c}')" for i, ((a, b), (_, c)) in enumerate(zip(steps, steps[1:])))
+    return f"""WITH {kinds_sql(events, where)}, stages(stage_no, dropped_at_stage, own, next) AS (VALUES {pairs}),
+    at_stage AS (SELECT stage_no, dropped_at_stage, country, acquisition_channel, NOT list_contains(kinds, next) AS dropped
+        FROM who JOIN stages ON list_contains(kinds, own) LEFT JOIN {users} USING (user_id)),
+    told AS (SELECT dropped_at_stage, sum(dropped::INT)::BIGINT AS dropped_users, country, acquisition_channel, count(*) AS users_in_segment
+        FROM at_stage GROUP BY stage_no, dropped_at_stage, country, acquisition_channel HAVING bool_or(dropped)
+        QUALIFY row_number() OVER (PARTITION BY stage_no ORDER BY dropped_users DESC, country NULLS FIRST, acquisition_channel NULLS FIRST) <= 10)
+    SELECT *, {pct('dropped_users', 'users_in_segment')} AS drop_off_rate FROM told"""
 
-DROP_OFF = f"""c AS ({stage_sql(0)} UNION ALL {stage_sql(1)}),
-    r AS (SELECT *, row_number() OVER (PARTITION BY stage_no ORDER BY dropped_users DESC, country NULLS FIRST,
-          acquisition_channel NULLS FIRST) AS rn FROM c WHERE dropped_users > 0)
-    SELECT dropped_at_stage, dropped_users, country, acquisition_channel, users_in_segment,
-        {pct('dropped_users', 'users_in_segment')} AS drop_off_rate FROM r WHERE rn <= 10"""
 
-
-@registry.add("drop_off_reasons", f"WITH {STEP_SETS}, {DROP_OFF}")
+@registry.add("drop_off_reasons", drop_off_sql())
 def _(v):
     return fn.calculate_drop_off_reasons(v.events_e, v.users_e, STEPS)
 
 
-@registry.add("drop_off_reasons_one_day", f"WITH {DAY_SETS}, {DROP_OFF}")
+@registry.add("drop_off_reasons_one_day", drop_off_sql(where=IN_DAY))
 def _(v):
     return fn.calculate_drop_off_reasons(v.events_e, v.users_e, STEPS, date_range=DAY)
 
 
+# The same over orders, where a user's steps differ.
+ORDER_STEPS = [("Open", "O"), ("Pending", "P"), ("Filled", "F")]
+
+
+@registry.add(
+    "funnel_orders",
+    f"{funnel_sql('acquisition_channel', ORDER_STEPS, events='events_o', users='users_o')} SELECT acquisition_channel, {RATES} FROM f",
+)
+def _(v):
+    return fn.calculate_funnel(v.events_o, ORDER_STEPS, v.users_o, "acquisition_channel")[0]
+
+
+# Each order's place among its user's, and the place of the next order of the kind that must follow.
+ORDERS_IN_TURN = """o AS (SELECT user_id, event_type, timestamp AS t FROM events_o WHERE user_id IS NOT NULL),
+    a AS (SELECT user_id, min(t) AS t0 FROM o WHERE event_type = 'O' GROUP BY user_id),
+    n AS (SELECT user_id, t0, list_sort(list(t) FILTER (event_type = 'P')) AS ps, list_sort(list(t) FILTER (event_type = 'F')) AS fs
+          FROM a JOIN o USING (user_id) GROUP BY user_id, t0),
+    p AS (SELECT user_id, list_filter(coalesce(ps, []), lambda x: x > t0)[1] AS t1, fs FROM n),
+    q AS (SELECT user_id, t1, list_filter(coalesce(fs, []), lambda x: x > t1)[1] AS t2 FROM p),
+    f AS (SELECT count(*) AS step_0_users, count(t1) AS step_1_users, count(t2) AS step_2_users FROM q)"""
+
+
+@registry.add("funnel_orders_in_turn", f"WITH {ORDERS_IN_TURN} SELECT {RATES} FROM f")
+def _(v):
+    return fn.calculate_funnel(v.events_o, ORDER_STEPS, mode="ordered")[0]
+
+
+@registry.add("drop_off_orders", drop_off_sql(ORDER_STEPS, events="events_o", users="users_o"))
+def _(v):
+    return fn.calculate_drop_off_reasons(v.events_o, v.users_o, ORDER_STEPS)
+
+
 STAGES = [("views", "view"), ("clicks", "click"), ("purchases", "purchase"), ("errors", "error")]
 EXPERIMENT = f"""x AS (SELECT user_id, variant FROM assignments WHERE experiment_id = 'exp_001'),
     f AS (SELECT variant, {', '.join(f"count(DISTINCT CASE WHEN event_type = '{e}' THEN user_id END) AS {n}" for n, e in STAGES)}
