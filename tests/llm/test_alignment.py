@@ -124,6 +124,23 @@ def test_small_and_large_encoding_batches_agree(spark, shared, plain, monkeypatc
             assert one[:3] == whole[i][:3] and one[5] == whole[i][5] and (one[3] == whole[i][3]).all() and (one[4] == whole[i][4]).all()
 
 
+def test_the_rank_encoder_sorts_its_letters_as_the_tokenizer_does():
+    side = A.ByteLevel(open(PATHS[0], "rb").read())
+    assert side.ranks is not None
+    texts = []
+    for code in range(0x10000):
+        c = chr(code)
+        if not 0xD800 <= code < 0xE000 and not A.UNSETTLED(c):
+            texts.append(f"a{c}b {c} 1{c}{c}2 {c}'s\n{c}  {c}!")
+    assert len(texts) > 30_000 and A.UNSETTLED("\u1c80") and A.UNSETTLED("😀")
+    got = side.encode(texts)
+    want = [e.ids for e in side.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert got == want
+    model = json.load(open(PATHS[0]))
+    model["model"]["merges"][:2] = model["model"]["merges"][1::-1]
+    assert A.ByteLevel(json.dumps(model).encode()).ranks is None  # merges in another order than the ids
+
+
 def test_null_and_repeated_ids_clashing_columns_and_empty_tables(spark, docs_of, shared, plain):
     docs = docs_of(["same", "same", None, "other one"], ids=[None, None, 3, 3])
     docs = docs.withColumn("key", F.lit(1)).withColumn("n_a", F.lit("x")).withColumn("documents", F.lit(0)).withColumn("id", F.lit(9))
