@@ -52,7 +52,7 @@ def test_unknown_and_missing_tables(spark, root):
 
 def test_event_filters_push_text_bounds(spark, root):
     c = Catalog(spark, root)
-    df = c.query_events(date_range=("2024-03-02", "2024-03-31"))
+    df = c.query_events(date_range=("2024-03-02", "2024-03-31"), padded_text=True)
     assert sorted(r["event_id"] for r in df.collect()) == ["e1", "e2"]
     assert "GreaterThanOrEqual(timestamp" in df._jdf.queryExecution().executedPlan().toString()
     exact = c.query_events(["app_open"], ["u2"], ("2024-03-31", datetime(2024, 3, 31, 12)))
@@ -60,6 +60,13 @@ def test_event_filters_push_text_bounds(spark, root):
     assert c.query_events(limit=2).count() == 2 and c.query_events().count() == 4
 
 
+def test_a_range_keeps_text_that_is_not_padded(spark, tmp_path):
+    rows = [("e1", "u", "2024-1-5 10:00:00", "a"), ("e2", "u", "2024-01-06 10:00:00", "a"), ("e3", "u", "2024-1-8", "a"), ("e4", "u", " 2024-01-07", "a")]
+    spark.createDataFrame(rows, "event_id string, user_id string, timestamp string, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    df = Catalog(spark, str(tmp_path)).query_events(date_range=("2024-01-05", "2024-01-07"))
+    assert sorted(r["event_id"] for r in df.collect()) == ["e1", "e2", "e4"]
+
+
 def test_sql_templates_views_and_frames(spark, root):
     c = Catalog(spark, root)
     assert c.query_raw_table("users", "SELECT count(*) AS n FROM {table}").first()["n"] == 2

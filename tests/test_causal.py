@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trailmark.operators import did, psm, rdd
+from trailmark.plans import nearest
 
 
 def ols(x, y, groups=None):
@@ -176,6 +177,10 @@ def test_matching_equals_global_greedy(spark, kind, cells_per_task):
     width = 0.3 if kind != "widening" else 5.0
     df = spark.createDataFrame([(i, float(s), int(a)) for i, (s, a) in enumerate(zip(scores, arms))], "user_id int, logit double, t int")
     pairs = psm.match_pairs(df, "t", width, cells_per_task=cells_per_task).collect()
+    if cells_per_task == 7:  # ranges that know little of their neighbours need more rounds, with the same end
+        cells = df.groupBy(F.col("logit").alias("score")).agg(F.count_if(F.col("t") == 1).alias("n_t"), F.count_if(F.col("t") == 0).alias("n_c"))
+        wide, thin = (nearest.match_cells(cells, width, 7, halo) for halo in (64, 1))
+        assert wide.exceptAll(thin).count() == thin.exceptAll(wide).count() == 0
     got = {}
     for p in pairs:
         assert arms[p["treated_id"]] == 1 and arms[p["control_id"]] == 0
@@ -220,21 +225,65 @@ def test_propensity_matches_newton(spark):
     assert psm.caliper_width(scored) == pytest.approx(0.2 * np.std(got, ddof=1))
 
 
-def test_separated_scores_are_bounded_and_repeatable(spark):
+def firth(d, t):
+    """Coefficients of the likelihood with the Jeffreys prior, by its own score."""
+    w = np.zeros(d.shape[1])
+    for _ in range(500):
+        p = 1 / (1 + np.exp(-d @ w))
+        spread = np.linalg.inv((d * (p * (1 - p))[:, None]).T @ d)
+        h = np.einsum("ij,jk,ik->i", d, spread, d) * p * (1 - p)
+        w = w + spread @ (d.T @ (t - p + h * (0.5 - p)))
+    return w
+
+
+def test_separated_arms_raise_or_take_the_penalised_fit(spark):
     rng = np.random.default_rng(8)
     x, rare = rng.normal(0, 1, 600), np.arange(600) % 50 == 0
     t = ((rng.random(600) < 1 / (1 + np.exp(-x))) | rare).astype(int)  # the rare group is always treated
     df = spark.createDataFrame([(i, int(t[i]), float(x[i]), float(rare[i])) for i in range(600)], "user_id int, t int, a double, b double")
+    with pytest.raises(psm.SeparationError, match="separate"):
+        psm.propensity_scores(df, "t", ["a", "b"])
     runs = []
-    for k in (1, 3, 7):
-        scored = psm.propensity_scores(df.repartition(k), "t", ["a", "b"])
+    for k in (1, 7, 200):
+        scored = psm.propensity_scores(df.repartition(k), "t", ["a", "b"], penalty="firth")
         runs.append([(r["user_id"], r["logit"]) for r in scored.orderBy("user_id").collect()])
-    assert runs[0] == runs[1] == runs[2]
-    assert {round(v, 3) for i, v in runs[0] if rare[i]} == {13.816}
-    pairs = [psm.match_pairs(psm.propensity_scores(df.repartition(k), "t", ["a", "b"]), "t", 0.2) for k in (2, 5)]
+    assert runs[0] == runs[1] == runs[2]  # to the last bit
+    d = np.column_stack([np.ones(600), x, rare])
+    assert np.allclose([v for _, v in runs[0]], d @ firth(d, t), atol=1e-7)
+    fit = psm.fit_propensity(df, "t", ["a", "b"], "firth")
+    assert all(abs(r["excess"]) < 1e-8 for r in psm.score_equations(df, "t", fit, "firth").collect())
+    pairs = [psm.match_pairs(psm.propensity_scores(df.repartition(k), "t", ["a", "b"], penalty="firth"), "t", 0.2) for k in (2, 5)]
     assert pairs[0].exceptAll(pairs[1]).count() == 0 and pairs[0].count() == pairs[1].count() > 0
 
 
+def test_fits_with_useless_covariates_nulls_and_missing_arms(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 1, 300)
+    t = (rng.random(300) < 1 / (1 + np.exp(-x))).astype(int)
+    rows = [(i, int(t[i]), float(x[i]), 2 * float(x[i]) + 1, 7.0) for i in range(300)]
+    df = spark.createDataFrame(rows + [(900, 1, None, 1.0, 7.0), (901, None, 1.0, 3.0, 7.0), (902, 0, float("nan"), 1.0, 7.0)], "id int, t int, a double, twice double, same double")
+    alone = psm.fit_propensity(df, "t", ["a"])
+    fit = psm.fit_propensity(df, "t", ["same", "a", "twice"])
+    assert fit.weights[1] == fit.weights[3] == 0.0 and fit.weights[2] == pytest.approx(alone.weights[1], rel=1e-9)
+    scored = {r["id"]: r["logit"] for r in psm.propensity_scores(df, "t", ["a"]).collect()}
+    assert scored[900] is None and scored[901] is not None and math.isnan(scored[902])
+    assert psm.match_pairs(psm.propensity_scores(df, "t", ["a"]), "t", 5.0, id_column="id").where("treated_id in (900, 902) or control_id in (900, 902)").count() == 0
+    for one_arm in (df.where("t = 1"), df.limit(0)):
+        with pytest.raises(ValueError, match="both arms"):
+            psm.propensity_scores(one_arm, "t", ["a"])
+
+
+def test_settle_takes_only_what_no_unknown_cell_can_spoil():
+    score, arm, one = [0.0, 1.0, 3.0], [1, 0, 1], [1, 1, 1]
+    assert nearest.settle(score, arm, one, 5.0)[0] == [(0, 1, 1)]
+    assert nearest.settle(score, arm, one, 5.0, low=(-0.5, -math.inf))[0] == []  # a control nearer to the first
+    assert nearest.settle(score, arm, one, 5.0, low=(-1.0, -math.inf))[0] == []  # as near, and lower: it goes first
+    assert nearest.settle(score, arm, one, 5.0, high=(3.5, math.inf))[0] == [(0, 1, 1)]
+    chain = np.cumsum(np.linspace(2, 1, 20_000))  # gaps shrink to the right: one pair settles after the other
+    flows, _ = nearest.settle(chain.tolist(), [i % 2 for i in range(20_000)], [1] * 20_000, 3.0)
+    assert len(flows) == 10_000
+
+
 def test_effect_balance_and_bounds(spark):
     rows = [(f"t{i}", 1, float(i < 6), float(i)) for i in range(20)] + [(f"c{i}", 0, float(i < 14), float(i) + 1) for i in range(20)]
     df = spark.createDataFrame(rows, "user_id string, t int, y double, x double")

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from trailmark.operators import funnel
+from trailmark.operators import funnel, profile
 from trailmark.plans import lineage, local, quantiles, skew, steps
 
 SF = "/root/testdata/sf0.001"
@@ -167,3 +167,10 @@ def test_ordered_funnel_reads_events_once_without_a_join(spark):
     events = spark.read.parquet(f"{SF}/events.parquet").withColumnRenamed("ts", "timestamp")
     text = plan_of(funnel.ordered_flags(events, [("a", "view"), ("b", "click"), ("c", "purchase")], within="session_id" if "session_id" in events.columns else None))
     assert text.count("FileScan") == 1 and "Join" not in text and "In(event_type" in text
+
+
+def test_profile_and_rank_sum_read_their_tables_once(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert plan_of(profile.check_data_quality(events, "events")).count("FileScan") == 1
+    # The value counts are written once; what follows reads only them.
+    assert plan_of(entry.queries()["mann_whitney_u"](spark, SF)).count("FileScan") == 0

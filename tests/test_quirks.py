@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trailmark.operators import cohort as co
 from trailmark.operators import engagement as en
+from trailmark.operators import experiment as ex
 from trailmark.operators import funnel as fn
 from trailmark.operators import profile as pf
 from trailmark.operators import revenue as rv
@@ -254,6 +255,8 @@ def test_profile_counts_nulls_and_duplicates(spark):
     assert got == {"k": ("string", 2, 1, 33.3333, 1), "v": ("int", 2, 1, 33.3333, 2)}
     assert pf.duplicate_keys(df, "k", "t").first()["duplicates"] == 2  # COUNT(*) - COUNT(DISTINCT k)
     assert pf.check_data_quality(df.limit(0), "t").first()["non_null"] == 0
+    odd = spark.createDataFrame([(0.0, ["a, b"], bytearray(b"x")), (-0.0, ["a", "b"], bytearray(b"x")), (None, None, None)], "d double, l array<string>, b binary")
+    assert {r["column"]: (r["unique"], r["null_count"]) for r in pf.check_data_quality(odd, "o").collect()} == {"d": (1, 1), "l": (2, 1), "b": (1, 1)}
 
 
 def test_funnel_invariants_hold_for_ordered_mode(spark):
@@ -275,3 +278,59 @@ def test_funnel_invariants_hold_for_ordered_mode(spark):
         expect[u] = done
     got = df.first()
     assert [got[f"step_{i}_users"] for i in range(3)] == [sum(d > i for d in expect.values()) for i in range(3)]
+
+
+def test_versions_from_a_table_of_releases(spark):
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-10"), (3, "2024-03-31"), (4, "2024-04-01"), (5, None), (6, "2023-12-31")], "i int, d string")
+    rows = [("2024-01-01", "2024-02-10", "3.0"), ("2024-02-01", "2024-03-31", "3.1"), ("2024-02-01", "2024-02-20", "3.0.9"), ("2024-05-01", "2024-04-01", "never")]
+    releases = spark.createDataFrame(rows, "start_date string, end_date string, version string")
+    releases = releases.withColumns({c: F.to_date(c) for c in ("start_date", "end_date")})
+    got = {r["i"]: r["app_version"] for r in en.with_version(df, "d", releases, "4.2.0").collect()}
+    assert got == {1: "3.0", 2: "3.0", 3: "3.1", 4: "4.2.0", 5: "4.2.0", 6: "4.2.0"}
+    later = en.with_version(df, "d", releases, out="v", order="version")  # another order: the least version wins
+    assert {r["i"]: r["v"] for r in later.collect()}[2] == "3.0" and later.where("i = 4").first()["v"] is None
+    still = releases.withColumn("end_date", F.when(F.col("version") != "3.1", F.col("end_date")))
+    assert en.with_version(df, "d", still, "4.2.0").where("i = 4").first()["app_version"] == "3.1"
+    assert {r["app_version"] for r in en.with_version(df, "d", releases.limit(0), "x").collect()} == {"x"}
+    assert en.with_version(df.limit(0), "d", still, "x").count() == 0
+    plan = en.with_version(df, "d", releases)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_properties_of_sound_broken_and_missing_text(spark):
+    texts = ['{"k": 3, "s": "x", "deep": {"a": 1.5}}', '{"k": "7"}', '{"k": "many"}', '{"k": null}', "{}", '{"k": 3', "", None, "[1]", '{"k": 99999999999999999999}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, properties string")
+    got = {r["i"]: r for r in en.with_property(df, {"k": "bigint", "s": "string"}).collect()}
+    assert [got[i]["k"] for i in range(len(texts))] == [3, 7, None, None, None, None, None, None, None, None]
+    assert [got[i]["malformed"] for i in range(len(texts))] == [False, False, False, False, False, True, True, False, False, False]
+    assert got[0]["s"] == "x"
+    back = en.property_text(df.select("i", F.lit(None).cast("string").alias("none"), F.lit("é\n").alias("s")), ["i", "none", "s"])
+    assert back.first()["properties"] == '{"i":0,"s":"é\\n"}'
+
+
+def test_assignment_from_a_table_of_experiments(spark):
+    users = spark.createDataFrame(
+        [(f"u{i}", f"2024-03-{1 + i % 31:02d}", "free" if i % 2 else "premium", "US" if i % 3 else "DE") for i in range(600)],
+        "user_id string, signup_date string, plan_type string, country string",
+    )
+    ddl = "experiment_id string, start_date date, end_date date, variants array<string>, allocation array<double>, targeting string"
+    day = date.fromisoformat
+    rows = [
+        ("e1", day("2024-03-05"), day("2024-03-10"), ["a", "b"], [0.25, 0.75], "all_users"),
+        ("e2", day("2024-03-01"), day("2024-03-31"), ["x", "y", "z"], [0.0, 1.0, 0.0], "free_users"),
+        ("e3", day("2024-03-31"), day("2024-03-31"), ["roll", "hold"], [0.5, 0.5], "geo_based"),
+        ("e4", day("2024-03-02"), day("2024-03-01"), ["a"], [1.0], "all_users"),
+    ]
+    out = ex.assign_from_table(users, spark.createDataFrame(rows, ddl), rollout_countries=["DE"])
+    got = out.join(users, "user_id").collect()
+    by = {e: [r for r in got if r["experiment_id"] == e] for e in ("e1", "e2", "e3", "e4")}
+    days = [1 + i % 31 for i in range(600)]
+    assert [len(by[e]) for e in by] == [sum(5 <= d <= 10 for d in days), 300, sum(d == 31 for d in days), 0]
+    assert {r["variant"] for r in by["e2"]} == {"y"} and {r["plan_type"] for r in by["e2"]} == {"free"}
+    assert all(r["variant"] == ("roll" if r["country"] == "DE" else "hold") for r in by["e3"])
+    alone = ex.assign_variants(users, "e1", ["a", "b"], [0.25, 0.75], "2024-03-05", "2024-03-10")
+    assert {(r["user_id"], r["variant"]) for r in by["e1"]} == {(r["user_id"], r["variant"]) for r in alone.collect()}
+    for broken in ({"allocation": [0.5, 0.4]}, {"allocation": [1.0]}, {"targeting": "left_handed"}, {"allocation": [1.5, -0.5]}):
+        row = dict(zip([c.split()[0] for c in ddl.split(", ")], rows[0])) | broken
+        with pytest.raises(Exception, match="Unusable experiment: e1"):
+            ex.assign_from_table(users, spark.createDataFrame([tuple(row.values())], ddl)).collect()

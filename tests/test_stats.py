@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 
@@ -299,6 +300,83 @@ def test_bootstrap_metrics_and_choice(spark):
         assert bs.bootstrap_ci(lonely, metric=metric, method=method, n_bootstrap=20).count() == 0
 
 
+def brute_weights(seed, key, user, b):
+    """The weights of one user, one draw after the other in whole numbers."""
+    digest, out, limits = hashlib.md5(f"{seed}|{key}|{user}".encode()).hexdigest(), [], bs.poisson_thresholds()
+    first, second = int(digest[:8], 16), int(digest[8:16], 16)
+
+    def mix(x):
+        for shift, factor in bs.MIX:
+            x = ((x ^ x >> shift) * factor) % 2**32
+        return x
+
+    for r in range(b):
+        y = mix((first + (r + 1) * bs.STEP) % 2**32)
+        high = mix((y + second) % 2**32)
+        draw = high << 21 | mix((high + y) % 2**32) >> 11
+        out.append(sum(draw >= t for t in limits))
+    return out
+
+
+def test_poisson_weights_are_those_of_the_distribution():
+    limits = np.array(bs.poisson_thresholds(), dtype=np.uint64)
+    assert len(limits) > 16 and limits[0] / 2**53 == pytest.approx(math.exp(-1), abs=1e-15)
+    draw, rng = bs._weights(limits), np.random.default_rng(0)
+    first, second = (rng.integers(0, 2**32, 2_000, dtype=np.uint32) for _ in range(2))
+    w = draw(first, second, np.arange(5_000))
+    share = np.bincount(w.ravel(), minlength=8)[:8] / w.size
+    assert np.allclose(share, [math.exp(-1) / math.factorial(k) for k in range(8)], atol=5e-4)
+    mean = w.mean(axis=0)  # neither replicates nor users lean on each other
+    assert mean.var() * 2_000 == pytest.approx(1, abs=0.1) and abs(np.corrcoef(w[:, 0], w[:, 1])[0, 1]) < 0.1
+    assert w.mean(axis=1).var() * 5_000 == pytest.approx(1, abs=0.15)
+    near = draw(first[:1].repeat(200), np.arange(200, dtype=np.uint32), np.arange(500))  # users whose words differ by little
+    assert np.abs(np.corrcoef(near) - np.eye(200)).max() < 0.3
+
+
+def test_an_aggregate_of_ones_own_equals_rebuilt_samples(spark):
+    rng = np.random.default_rng(12)
+    c, t, b = rng.exponential(2, 130), rng.exponential(3, 90), 2_300
+    df = arms(spark, c, t).repartition(6)
+    product = bs.Aggregate(  # the geometric mean of 1 + x, with a dict as state
+        start=lambda n: {"n": np.zeros(n), "log": np.zeros(n)},
+        add=lambda s, x, w: {"n": s["n"] + w.sum(axis=0), "log": s["log"] + np.log1p(x) @ w},
+        merge=lambda p, q: {k: p[k] + q[k] for k in p},
+        finish=lambda s: np.exp(s["log"] / np.where(s["n"] > 0, s["n"], np.nan)),
+    )
+    got = {r["replicate"]: r["diff"] for r in bs.bootstrap_replicates(df, metric=product, n_bootstrap=b).collect()}
+    assert len(got) == b + 1
+    rows = df.collect()
+    key = rows[0]["experiment_id"]
+    weights = {(r["arm"], r["user_id"]): (r["value"], brute_weights(42, key, r["user_id"], 40)) for r in rows}
+    for r in (0, 7, 39):
+        sample = {a: np.concatenate([np.full(w[r], v) for (arm, _), (v, w) in weights.items() if arm == a]) for a in ("control", "treatment")}
+        want = [np.exp(np.log1p(sample[a]).mean()) for a in ("treatment", "control")]
+        assert got[r] == pytest.approx(want[0] - want[1], rel=1e-9)
+    assert got[-1] == pytest.approx(np.exp(np.log1p(t).mean()) - np.exp(np.log1p(c).mean()), rel=1e-9)
+    with pytest.raises(ValueError, match="aggregate"):
+        bs.bootstrap_ci(df, metric=product, method="histogram")
+
+
+def test_what_a_partition_passes_on_does_not_grow_with_its_users(spark):
+    few, many = (arms(spark, np.arange(n) % 7, np.arange(n) % 5).coalesce(1) for n in (10, 3_000))
+    counted = []
+    for df in (few, many):
+        plan = bs.bootstrap_replicates(df, n_bootstrap=1_500)
+        plan.collect()
+        counted.append(plan.count())
+    assert counted == [1_501, 1_501]
+
+
+def test_many_experiments_in_one_partition(spark):
+    rows = [(f"e{i}", f"u{j}", "control" if j % 2 else "treatment", float(i * j % 11)) for i in range(150) for j in range(6)]
+    df = spark.createDataFrame(rows, "experiment_id string, user_id string, arm string, value double").coalesce(1)
+    out = bs.bootstrap_replicates(df, n_bootstrap=10)
+    spread = bs.bootstrap_replicates(df.repartition(9), n_bootstrap=10)
+    one, other = ({(r["experiment_id"], r["replicate"]): r["diff"] for r in x.collect()} for x in (out, spread))
+    assert one.keys() == other.keys() and all(one[k] == pytest.approx(other[k], abs=1e-12) for k in one)
+    assert sum(k[1] == -1 for k in one) == 150
+
+
 def test_bootstrap_distribution_counts_every_replicate(spark):
     df = arms(spark, [0, 1] * 50, [0, 1, 1] * 30)
     replicates = bs.bootstrap_replicates(df, n_bootstrap=500)

@@ -5,8 +5,10 @@ The sample is never copied once per replicate. Three ways to draw, each spread o
 * histogram: for few distinct values (binary and count metrics), and the way for Python callables.
   Resampling n values is one multinomial draw over the value counts, so a replicate costs the number of
   distinct values, which one task holds.
-* poisson: the default for the mean. Each user gets a Poisson(1) weight per replicate from a hash of
-  (seed, experiment, user, replicate); sums combine map-side, and the draw does not depend on partitioning.
+* poisson: the default for the mean and for aggregates of one's own. Each user gets a Poisson(1) weight per
+  replicate from a hash of (seed, experiment, user) and the replicate, so the draw does not depend on partitioning.
+  A partition reads its users once and keeps one running state per arm and replicate, as vectors over replicates;
+  what it passes on does not grow with its users.
 * order_statistic: the default for a quantile. The resample's order statistics are drawn
   directly as beta variates and looked up by position (Schultzberg and Ankargren 2022).
 """
@@ -14,8 +16,12 @@ The sample is never copied once per replicate. Three ways to draw, each spread o
 from __future__ import annotations
 
 import math
+import pickle
 import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from decimal import Context, Decimal
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -28,7 +34,37 @@ from trailmark.operators.profile import histogram
 from trailmark.plans.lineage import cut
 from trailmark.plans.quantiles import values_at_positions
 
-Metric = str | float | Callable[[np.ndarray], float]
+
+
+@dataclass(frozen=True)
+class Aggregate:
+    """A metric that replicates run through, for ``b`` replicates at a time, so no sample is ever rebuilt.
+
+    ``start(b)`` gives the state of b empty replicates; ``add(state, values, weights)`` takes m values with their
+    weights (m x b, whole numbers as float) and returns the state; ``merge(state, state)`` joins what two
+    partitions saw; ``finish(state)`` gives the b numbers (NaN where there is none). States must be picklable, and
+    the result must not depend on the order of values and merges.
+    """
+
+    start: Callable[[int], Any]
+    add: Callable[[Any, np.ndarray, np.ndarray], Any]
+    merge: Callable[[Any, Any], Any]
+    finish: Callable[[Any], np.ndarray]
+
+
+def _ratio(over: np.ndarray, under: np.ndarray) -> np.ndarray:
+    return np.divide(over, under, out=np.full(len(over), np.nan), where=under > 0)
+
+
+#: sums of weights and of weighted values
+MEAN = Aggregate(
+    start=lambda b: np.zeros((2, b)),
+    add=lambda state, values, weights: state + np.stack([np.ones(len(values)), values]) @ weights,
+    merge=lambda a, b: a + b,
+    finish=lambda state: _ratio(state[1], state[0]),
+)
+
+Metric = str | float | Aggregate | Callable[[np.ndarray], float]
 ARMS = ("control", "treatment")
 OBSERVED = -1  # replicate number of the statistic on the sample itself
 
@@ -96,52 +132,111 @@ def _histogram_replicates(values: DataFrame, keys: Sequence[str], metric: Metric
     return drawn.where(F.col("diff").isNotNull() & ~F.isnan("diff"))
 
 
-def poisson_thresholds(limit: int = 12) -> list[float]:
-    """P(X <= k) for X ~ Poisson(1), k = 0 .. limit."""
-    terms = [math.exp(-1.0) / math.factorial(k) for k in range(limit + 1)]
-    return [math.fsum(terms[: k + 1]) for k in range(limit + 1)]
-
-
-def _poisson_replicates(values: DataFrame, keys: Sequence[str], b: int, seed: int, id_column: str) -> DataFrame:
-    # One md5 has 128 bits: four uniform 32-bit draws, so four replicates per digest.
-    parts = [F.col(c).cast("string") for c in (*keys, id_column, "block")]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
-    draws = F.array(
-        *[
-            F.struct(
-                (F.col("block") * 4 + j).alias("replicate"),
-                (F.conv(F.substring("digest", 1 + 8 * j, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)).alias("u"),
-            )
-            for j in range(4)
-        ]
-    )
-    limits = poisson_thresholds()
-    weight = F.lit(len(limits))
-    for k in range(len(limits) - 1, -1, -1):
-        weight = F.when(F.col("d.u") < F.lit(limits[k]), F.lit(k)).otherwise(weight)
-    blocks = F.explode(F.sequence(F.lit(0), F.lit((b + 3) // 4 - 1)))
-    weighted = (
-        values.withColumn("block", blocks)
-        .withColumn("digest", digest)
-        .withColumn("d", F.explode(draws))
-        .where(F.col("d.replicate") < b)
-        .select(*keys, "arm", "value", F.col("d.replicate").cast("bigint").alias("replicate"), weight.alias("w"))
-    )
-    sums = weighted.groupBy(*keys, "replicate").agg(
-        *[F.sum(F.when(F.col("arm") == a, F.col("w"))).alias(f"w_{a}") for a in ARMS],
-        *[F.sum(F.when(F.col("arm") == a, F.col("w") * F.col("value"))).alias(f"x_{a}") for a in ARMS],
-    )
-    diff = F.try_divide("x_treatment", "w_treatment") - F.try_divide("x_control", "w_control")
-    observed = values.groupBy(*keys).agg(
-        (
-            F.avg(F.when(F.col("arm") == "treatment", F.col("value")))
-            - F.avg(F.when(F.col("arm") == "control", F.col("value")))
-        ).alias("diff")
-    )
+# The draw: two 32-bit words of the user's hash and the replicate's number, mixed by a 32-bit integer hash. Fixed values.
+STEP = 0x9E3779B9
+MIX = ((16, 0x7FEB352D), (15, 0x846CA68B), (16, 1))  # shift and factor of each turn
+DRAW_BITS = 53
+TOGETHER = 1_000  # replicates of one state
+
+
+def poisson_thresholds(bits: int = DRAW_BITS) -> list[int]:
+    """The least draws of ``bits`` bits that give a weight of 1, 2, ...: as far as the draws tell weights apart."""
+    exact = Context(prec=60)
+    term = total = exact.exp(Decimal(-1))
+    out, k = [], 0
+    while True:
+        least = int((total * (1 << bits)).to_integral_value(rounding="ROUND_CEILING"))
+        if least >= 1 << bits:
+            return out
+        out.append(least)
+        k += 1
+        term = exact.divide(term, Decimal(k))
+        total = exact.add(total, term)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    for shift, factor in MIX:
+        x ^= x >> np.uint32(shift)
+        x *= np.uint32(factor)
+    return x
+
+
+def _weights(limits: np.ndarray):
+    """A function (first words, second words, replicates) -> weights, as uint8 of shape (users, replicates)."""
+    # The upper 16 of the draw's bits settle the weight but for the few values in which a threshold lies.
+    shift = np.uint64(DRAW_BITS - 16)
+    lowest = np.arange(1 << 16, dtype=np.uint64) << shift
+    table = np.searchsorted(limits, lowest, side="right").astype(np.uint8)
+    mixed = table != np.searchsorted(limits, lowest + (np.uint64(1) << shift) - np.uint64(1), side="right")
+
+    def draw(first: np.ndarray, second: np.ndarray, replicates: np.ndarray) -> np.ndarray:
+        y = _mix(first[:, None] + (replicates.astype(np.uint32) + np.uint32(1)) * np.uint32(STEP))
+        high = _mix(y + second[:, None])
+        top = high >> np.uint32(16)
+        out, near = table[top], mixed[top]
+        if near.any():
+            low = _mix(high[near] + y[near])
+            whole = high[near].astype(np.uint64) << np.uint64(DRAW_BITS - 32) | (low >> np.uint32(64 - DRAW_BITS)).astype(np.uint64)
+            out[near] = np.searchsorted(limits, whole, side="right")
+        return out
+
+    return draw
+
+
+def _poisson_replicates(values: DataFrame, keys: Sequence[str], metric: Aggregate, b: int, seed: int, id_column: str) -> DataFrame:
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in (*keys, id_column)]))
+    hashed = values.select(
+        *keys, (F.col("arm") == ARMS[1]).alias("__treated"), F.col("value").cast("double").alias("__value"),
+        *[F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint").alias(name) for at, name in ((1, "__first"), (9, "__second"))],
+    ).where("__treated is not null and __value is not null")
+    limits = np.array(poisson_thresholds(), dtype=np.uint64)
+    # block -1 is the sample itself, with every weight 1
+    blocks = {-1: np.array([OBSERVED])} | {i: np.arange(first, min(first + TOGETHER, b)) for i, first in enumerate(range(0, b, TOGETHER))}
+    group = [*keys, "__treated"]
+    names = [*group, "block", "state"]
+    schema = T.StructType([hashed.schema[k] for k in group]).add("block", T.IntegerType()).add("state", T.BinaryType())
+
+    def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        draw, held = _weights(limits), {}
+
+        def passed_on() -> pd.DataFrame:
+            rows = [(*key, block, pickle.dumps(state)) for key, states in held.items() for block, state in states.items()]
+            held.clear()
+            return pd.DataFrame(rows, columns=names)
+
+        for batch in batches:
+            for key, part in batch.groupby(group, dropna=False, sort=False):
+                if key not in held and len(held) >= 64:  # experiments at hand at once
+                    yield passed_on()
+                states = held.setdefault(key, {block: metric.start(len(numbers)) for block, numbers in blocks.items()})
+                value = part["__value"].to_numpy(float)
+                first, second = (part[c].to_numpy(np.int64).astype(np.uint32) for c in ("__first", "__second"))
+                states[-1] = metric.add(states[-1], value, np.ones((len(value), 1)))
+                for at in range(0, len(value), 256):
+                    own = slice(at, at + 256)
+                    for block, numbers in blocks.items():
+                        if block >= 0:
+                            states[block] = metric.add(states[block], value[own], draw(first[own], second[own], numbers).astype(float))
+        if held:
+            yield passed_on()
+
+    told = T.StructType([hashed.schema[k] for k in group]).add("replicate", T.LongType()).add("number", T.DoubleType())
+
+    def finish(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        *group_key, block = key
+        state = None
+        for packed in parts["state"]:
+            own = pickle.loads(packed)
+            state = own if state is None else metric.merge(state, own)
+        out = pd.DataFrame({"replicate": blocks[int(block)], "number": np.asarray(metric.finish(state), dtype=float)})
+        for name, part in zip(group, group_key):
+            out[name] = part
+        return out[[*group, "replicate", "number"]]
+
+    numbers = hashed.mapInPandas(accumulate, schema).groupBy(*group, "block").applyInPandas(finish, told)
+    arm = [F.max(F.when(F.col("__treated") == side, F.col("number"))) for side in (True, False)]
     return (
-        sums.select(*keys, "replicate", diff.alias("diff"))
-        .unionByName(observed.select(*keys, F.lit(OBSERVED).cast("bigint").alias("replicate"), "diff"))
-        .where(F.col("diff").isNotNull())
+        numbers.where(~F.isnan("number")).groupBy(*keys, "replicate").agg((arm[0] - arm[1]).alias("diff")).where(F.col("diff").isNotNull())
     )
 
 
@@ -189,7 +284,7 @@ def _order_statistic_replicates(values: DataFrame, keys: Sequence[str], q: float
 
 def default_method(metric: Metric) -> str:
     """The way to draw for a metric, whatever the data; a Python callable takes the histogram, the slow path."""
-    if metric == "mean":
+    if isinstance(metric, Aggregate) or metric == "mean":
         return "poisson"
     return "histogram" if _quantile_of(metric) is None else "order_statistic"
 
@@ -207,15 +302,17 @@ def bootstrap_replicates(
     """(keys, replicate, diff): treatment minus control per replicate; replicate -1 is the sample itself.
 
     ``method`` is one of the three above, by default the one for the metric. ``chunks`` is the number of
-    tasks an experiment's histogram replicates are dealt to.
+    tasks an experiment's histogram replicates are dealt to. A replicate in which an arm has no number is left out.
     """
     method = method or default_method(metric)
+    if isinstance(metric, Aggregate) and method != "poisson":
+        raise ValueError("an aggregate takes the Poisson bootstrap")
     if method == "histogram":
         return _histogram_replicates(values, keys, metric, n_bootstrap, seed, chunks)
     if method == "poisson":
-        if metric != "mean":
-            raise ValueError("the Poisson bootstrap is for the mean")
-        return _poisson_replicates(values, keys, n_bootstrap, seed, id_column)
+        if not isinstance(metric, Aggregate) and metric != "mean":
+            raise ValueError("the Poisson bootstrap is for the mean or an Aggregate")
+        return _poisson_replicates(values, keys, metric if isinstance(metric, Aggregate) else MEAN, n_bootstrap, seed, id_column)
     if method == "order_statistic":
         q = _quantile_of(metric)
         if q is None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -199,3 +199,40 @@ def version_on(day: str | Column, releases: Sequence[tuple[str, str, str]], defa
         bounds = [F.lit(date.fromisoformat(d)) for d in (start, end)]
         found = F.when(value.between(*bounds), F.lit(version)).otherwise(found)
     return found
+
+
+def with_version(
+    df: DataFrame, day: str | Column, releases: DataFrame, default: str | None = None, out: str = "app_version", order: str = "start_date"
+) -> DataFrame:
+    """``df`` with the version whose inclusive dates hold ``day``, else ``default``, from a table of releases.
+
+    ``releases`` has (start_date, end_date, version) and any number of rows; of several that hold a day, the one of
+    least ``order`` wins, then the least version. A NULL end is open: it reaches the last day asked for. Releases
+    become one row per day, so the join is by the day and bounded by the calendar, however many releases overlap.
+    """
+    asked = df.withColumn("__day", F.to_date(day) if isinstance(day, str) else day)
+    start = F.to_date("start_date")
+    end = F.coalesce(F.to_date("end_date"), F.greatest(asked.agg(F.max("__day")).scalar(), start))
+    spans = releases.where("end_date is null or start_date <= end_date").select(
+        F.col(order).alias("order"), "version", F.explode(F.sequence(start, end)).alias("__day")
+    )
+    first = spans.groupBy("__day").agg(F.min(F.struct("order", "version")).alias("__first"))
+    found = F.coalesce(F.col("__first.version"), F.lit(default))
+    return asked.join(first, "__day", "left").withColumn(out, found).drop("__day", "__first")
+
+
+def with_property(events: DataFrame, names: Mapping[str, str], column: str = "properties", malformed: str = "malformed") -> DataFrame:
+    """``events`` with properties read from their JSON text: ``names`` maps a property to its type.
+
+    A property that lacks, is null, or does not fit its type is NULL. ``malformed`` tells text that is no JSON from
+    text without the property; NULL text is not malformed. The text is parsed once a row.
+    """
+    parsed = events.withColumn("__json", F.try_parse_json(column))
+    values = {name: F.try_variant_get("__json", f"$.{name}", kind) for name, kind in names.items()}
+    wrong = F.col(column).isNotNull() & F.col("__json").isNull()
+    return parsed.withColumns({**values, malformed: wrong}).drop("__json")
+
+
+def property_text(df: DataFrame, columns: Sequence[str], out: str = "properties") -> DataFrame:
+    """``df`` with ``columns`` written as one JSON text, NULLs left out."""
+    return df.withColumn(out, F.to_json(F.struct(*columns)))

@@ -7,6 +7,8 @@ then arithmetic on one row per experiment.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -17,8 +19,10 @@ from trailmark.functions.numeric import flag, percent, ratio
 from trailmark.functions.ranksum import SMALL, exact_u_p
 from trailmark.functions.student import t_critical, t_two_sided_p
 from trailmark.operators.power import compute_sample_size
+from trailmark.plans.lineage import cut
 from trailmark.plans.local import local_table
 from trailmark.plans.quantiles import ordered_buckets, shuffle_partitions
+from trailmark.plans.skew import attach_group_values
 
 CONFIG_DDL = (
     "experiment_id string, name string, primary_metric string, expected_lift double, "
@@ -124,6 +128,33 @@ def arm_totals(values: DataFrame, keys: Sequence[str] = ("experiment_id",)) -> D
     return per_arm.groupBy(*keys).agg(*cells)
 
 
+def value_counts(values: DataFrame, keys: Sequence[str] = ("experiment_id",)) -> DataFrame:
+    """(keys, value, c, t): how many users of each arm have a value. Written once, for what reads it several times."""
+    return cut(
+        values.groupBy(*keys, "value").agg(
+            F.count_if(F.col("arm") == CONTROL).alias("c"), F.count_if(F.col("arm") == TREATMENT).alias("t")
+        )
+    )
+
+
+def totals_of_counts(counts: DataFrame, keys: Sequence[str] = ("experiment_id",)) -> DataFrame:
+    """``arm_totals`` of the values behind ``value_counts``; squares are taken about the arm's mean."""
+    sides = ("c", "t")
+    v = F.col("value")
+    means = counts.where(v.isNotNull()).groupBy(*keys).agg(
+        *[F.sum(s).alias(f"k_{s}") for s in sides], *[F.sum(F.when(F.col(s) > 0, F.col(s) * v)).alias(f"total_{s}") for s in sides]
+    )
+    means = means.select("*", *[F.try_divide(f"total_{s}", f"k_{s}").alias(f"mean_{s}") for s in sides])
+    placed = attach_group_values(counts.where(v.isNotNull()), means, keys, ["value"])
+    squares = placed.groupBy(*keys).agg(*[F.sum(F.col(s) * (v - F.col(f"mean_{s}")) * (v - F.col(f"mean_{s}"))).alias(f"ss_{s}") for s in sides])
+    sizes = counts.groupBy(*keys).agg(*[F.sum(s).alias(f"n_{s}") for s in sides])
+    on = lambda a, b: reduce(and_, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
+    joined = sizes.alias("n").join(means.alias("m"), on("n", "m"), "left").join(squares.alias("q"), on("n", "q"), "left")
+    var = {s: F.when(F.col(f"k_{s}") > 1, F.col(f"ss_{s}") / (F.col(f"k_{s}") - 1)) for s in sides}
+    cells = [c for s in sides for c in (F.col(f"n_{s}"), F.col(f"total_{s}"), F.col(f"mean_{s}"), var[s].alias(f"var_{s}"))]
+    return joined.select(*[F.col(f"n.{k}").alias(k) for k in keys], *cells)
+
+
 SRM_COLUMNS = (
     "n_control", "n_treatment", "observed_ratio", "expected_ratio", "chi2_statistic", "srm_p_value", "srm_detected"
 )
@@ -240,9 +271,9 @@ def means_test(
     ``df`` is the degrees of freedom of the reported t statistic. An experiment whose arms are too small
     for the test (none in an arm; for t, fewer than two) keeps its row, with NULL statistics.
     """
-    totals = arm_totals(values, keys)
     if test_type == "mann_whitney":
-        ranks = rank_sum(values, keys)
+        counts = value_counts(values, keys)
+        totals, ranks = totals_of_counts(counts, keys), rank_sum_of_counts(counts, keys)
         on = [F.col(f"m.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
         joined = totals.alias("m").join(ranks.alias("u"), on, "left")
         return joined.select(
@@ -258,6 +289,7 @@ def means_test(
         )
     if test_type not in ("welch", "student"):
         raise ValueError(f"Unknown test_type: {test_type}")
+    totals = arm_totals(values, keys)
     n_c, n_t = F.col("n_c").cast("double"), F.col("n_t").cast("double")
     enough = (F.col("n_c") > 1) & (F.col("n_t") > 1)
     a, b = F.try_divide(F.col("var_c"), n_c), F.try_divide(F.col("var_t"), n_t)
@@ -300,12 +332,16 @@ def rank_sum(
     Values are collapsed to a histogram and cut in ordered buckets. A treatment value beats the control
     values of all lower buckets and the lower ones of its own, so windows stay inside a bucket.
     """
+    return rank_sum_of_counts(value_counts(values, keys), keys, buckets, method)
+
+
+def rank_sum_of_counts(
+    counts: DataFrame, keys: Sequence[str] = ("experiment_id",), buckets: int | None = None, method: str = "auto"
+) -> DataFrame:
+    """``rank_sum`` of the values behind ``value_counts``."""
     if method not in ("auto", "exact", "normal"):
         raise ValueError(f"Unknown method: {method}")
-    hist = values.groupBy(*keys, "value").agg(
-        F.count_if(F.col("arm") == CONTROL).alias("c"), F.count_if(F.col("arm") == TREATMENT).alias("t")
-    )
-    hist = ordered_buckets(hist, keys, "value", buckets or shuffle_partitions(values))
+    hist = ordered_buckets(counts, keys, "value", buckets or shuffle_partitions(counts))
     inside = W.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
     c, t = F.col("c").cast("double"), F.col("t").cast("double")
     within = hist.withColumn("c_below", F.coalesce(F.sum("c").over(inside), F.lit(0)).cast("double"))
@@ -579,3 +615,47 @@ def assign_variants(
         (rule if rule is not None else chosen).alias("variant"),
         F.to_date("signup_date").alias("assigned_at"),
     )
+
+
+# The known audiences of the experiments table, as SQL tests on the users (None: everyone).
+AUDIENCES = {"all_new_users": None, "all_users": None, "free_users": "plan_type = 'free'", "geo_based": None}
+
+
+def assign_from_table(
+    users: DataFrame,
+    experiments: DataFrame,
+    audiences: Mapping[str, str | None] = AUDIENCES,
+    geo: str = "geo_based",
+    rollout_countries: Sequence[str] = (),
+) -> DataFrame:
+    """(experiment_id, user_id, variant, assigned_at) for every experiment of a table, in one plan.
+
+    ``experiments`` is typed as the catalog loads it: dates, ``variants`` and ``allocation`` as arrays, ``targeting``
+    one of ``audiences``. A user who signed up between an experiment's dates, both included, draws a variant from a
+    fixed hash of experiment and user: the first whose running total of shares is above the draw. An experiment
+    targeted ``geo`` gives its first variant to users of ``rollout_countries`` and its second to the others. Dates
+    meet by the day, so no join compares ranges. An unknown audience, another number of shares than of variants, or
+    shares that do not sum to 1 fail the query.
+    """
+    total = F.aggregate("allocation", F.lit(0.0), lambda a, x: a + x)
+    sound = (F.size("variants") == F.size("allocation")) & (F.abs(total - 1) < 1e-9) & F.forall("allocation", lambda x: x >= 0)
+    sound = F.coalesce(sound & F.col("targeting").isin(sorted(audiences)), F.lit(False))
+    failure = F.raise_error(F.concat(F.lit("Unusable experiment: "), F.coalesce("experiment_id", F.lit("NULL")))).cast("string")
+    upto = F.transform("allocation", lambda _, i: F.aggregate(F.slice("allocation", F.lit(1), i + 1), F.lit(0.0), lambda a, x: a + x))
+    days = F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date")))
+    dated = experiments.where("start_date <= end_date").select(
+        F.when(sound, F.col("experiment_id")).otherwise(failure).alias("experiment_id"),
+        "variants", upto.alias("upto"), "targeting", days.alias("assigned_at"),
+    )
+    groups = [F.when(F.expr(test), F.lit(name)) if test else F.lit(name) for name, test in audiences.items()]
+    audience = users.select(
+        "user_id", F.to_date("signup_date").alias("assigned_at"), "country", F.array_compact(F.array(*groups)).alias("groups")
+    )
+    met = audience.join(dated, "assigned_at").where(F.expr("array_contains(groups, targeting)"))
+    digest = F.md5(F.concat_ws("|", "experiment_id", F.col("user_id").cast("string")))
+    met = met.withColumn("draw", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0))
+    passed = F.size(F.filter("upto", lambda c: c <= F.col("draw")))
+    by_draw = F.get("variants", F.least(passed, F.size("variants") - 1))
+    by_country = F.get("variants", F.when(F.col("country").isin(list(rollout_countries)), 0).otherwise(1))
+    variant = F.when(F.col("targeting") == geo, by_country).otherwise(by_draw)
+    return met.select("experiment_id", "user_id", variant.alias("variant"), "assigned_at")

@@ -8,39 +8,45 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trailmark.functions.numeric import percent, ratio
-from trailmark.plans.local import side_by_side
+from trailmark.plans.local import local_table, side_by_side
 from trailmark.plans.quantiles import exact_percentiles
 from trailmark.plans.skew import attach_group_values
 
 
+def _as_text(field: T.StructField) -> Column:
+    """A column as text that tells its values apart; NULL stays NULL."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # -0.0 is 0.0
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        c = F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    elif isinstance(field.dataType, T.BinaryType):
+        c = F.hex(c)
+    return c.cast("string")
+
+
 def check_data_quality(df: DataFrame, name: str) -> DataFrame:
     """One row per column: type, non-null and null counts, null share, distinct values.
 
-    Each column is counted by value in its own branch: the branch reads that column only and combines
-    map-side, where one query with many distinct counts would multiply every row by the columns.
+    The table is read once: each row gives its (column, value) pairs, which are counted map-side before they are
+    shuffled, so neither many columns nor a frequent value cost a scan or a group of their own.
     """
-    parts = []
-    for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
-        values = df.groupBy(c.alias("v")).agg(F.count("*").alias("n"))
-        parts.append(
-            values.agg(
-                F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
-                F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-                F.count("v").alias("unique"),
-            ).select(
-                F.lit(name).alias("table"),
-                F.lit(field.name).alias("column"),
-                F.lit(field.dataType.simpleString()).alias("dtype"),
-                "non_null",
-                "null_count",
-                percent("null_count", F.col("non_null") + F.col("null_count"), 4).alias("null_pct"),
-                "unique",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    fields = df.schema.fields
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), _as_text(f).alias("v")) for i, f in enumerate(fields)])
+    values = df.select(F.explode(pairs).alias("x")).groupBy("x.at", "x.v").agg(F.count("*").alias("n"))
+    counted = values.groupBy("at").agg(
+        F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("non_null"),
+        F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("null_count"),
+        F.count("v").alias("unique"),
+    )
+    told = [{"at": i, "table": name, "column": f.name, "dtype": f.dataType.simpleString()} for i, f in enumerate(fields)]
+    columns = local_table(df.sparkSession, told, "at int, table string, column string, dtype string")
+    rows = columns.join(counted, "at", "left").fillna(0, ["non_null", "null_count", "unique"])
+    share = percent("null_count", F.col("non_null") + F.col("null_count"), 4)
+    return rows.select("table", "column", "dtype", "non_null", "null_count", share.alias("null_pct"), "unique")
 
 
 def duplicate_keys(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions.normal import two_sided_p, upper_tail_p, z_quantile
 from trailmark.functions.numeric import flag
 from trailmark.operators.engagement import engagement_features
+from trailmark.operators.propensity import SeparationError, fit_propensity, propensity_scores, score_equations
 from trailmark.plans.lineage import cut
 from trailmark.plans.local import side_by_side
+from trailmark.plans.nearest import match_cells
 from trailmark.plans.skew import offsets_in_groups, rank_in_groups
 
 # The confounders matched on.
 MATCH_COVARIATES = ("plan_premium", "n_features", "total_events", "total_scans", "total_opens", "active_days")
 RANK_BLOCK = 256
-SCORE_FLOOR = 1e-6
+
+__all__ = [
+    "MATCH_COVARIATES", "SeparationError", "arm_outcomes", "balance", "caliper_width", "critical_gamma", "estimate_effect", "fit_propensity",
+    "match_pairs", "matched_units", "pair_outcomes", "propensity_scores", "psm_dataset", "score_equations", "score_summary", "sensitivity_analysis",
+]
 
 
 def psm_dataset(
@@ -58,28 +59,6 @@ def arm_outcomes(data: DataFrame, treatment: str, outcome: str) -> DataFrame:
     return data.groupBy(treatment).agg(F.count("*").alias("users"), F.round(F.avg(outcome), 6).alias("outcome_rate"))
 
 
-def propensity_scores(data: DataFrame, treatment: str, covariates: Sequence[str]) -> DataFrame:
-    """Add ``propensity`` and its ``logit`` from an unpenalised logistic regression.
-
-    With few covariates, reweighted least squares needs a handful of passes, one p x p system each.
-    Where covariates separate the arms the fitted logit grows without limit, so scores are held inside
-    [SCORE_FLOOR, 1 - SCORE_FLOOR]. The logit is rounded to 6 digits, past the noise of the order in
-    which partitions are summed, so the same data always give the same matches. The data are written
-    once first: fitting reads them several times, and so does matching afterwards.
-    """
-    data = cut(data)
-    features = VectorAssembler(inputCols=list(covariates), outputCol="__x").transform(data)
-    model = GeneralizedLinearRegression(
-        family="binomial", link="logit", featuresCol="__x", labelCol=treatment, maxIter=50, tol=1e-9,
-        predictionCol="__p", linkPredictionCol="__margin",
-    ).fit(features)
-    edge = math.log((1 - SCORE_FLOOR) / SCORE_FLOOR)
-    logit = F.round(F.greatest(F.least("__margin", F.lit(edge)), F.lit(-edge)), 6)
-    return model.transform(features).select(
-        *data.columns, (1 / (1 + F.exp(-logit))).alias("propensity"), logit.alias("logit")
-    )
-
-
 def score_summary(scored: DataFrame, treatment: str) -> DataFrame:
     """Spread of the propensity score per arm."""
     return scored.groupBy(treatment).agg(
@@ -96,102 +75,6 @@ def caliper_width(scored: DataFrame, caliper: float = 0.2, score: str = "logit")
     return float(caliper * (scored.agg(F.stddev_samp(score)).first()[0] or 0.0))
 
 
-def _neighbours(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each position the last earlier and first later position of the other arm, -1 if none."""
-    at = np.arange(len(side))
-    before = {s: np.maximum.accumulate(np.where(side == s, at, -1)) for s in (0, 1)}
-    after = {
-        s: np.minimum.accumulate(np.where(side == s, at, len(side))[::-1])[::-1] for s in (0, 1)
-    }
-    earlier = np.where(side == 1, before[0], before[1])
-    later = np.where(side == 1, after[0], after[1])
-    return earlier, np.where(later == len(side), -1, later)
-
-
-def match_slice(score: np.ndarray, side: np.ndarray, count: np.ndarray, width: float, whole: bool):
-    """Match cells of one score range: repeatedly join mutually nearest cells within the caliper.
-
-    A cell's choice is only taken when no cell outside the range can be nearer. Returns the flows
-    (treated score, control score, users) and the still open cells. Taking mutually nearest pairs in
-    any order gives the matching that takes globally nearest pairs first (ties to the lower score).
-    """
-    flows = []
-    if len(score) == 0:
-        return flows, (score, side, count)
-    low, high = (-np.inf, np.inf) if whole else (score[0], score[-1])
-    while len(score):
-        earlier, later = _neighbours(side)
-        d_earlier = np.where(earlier >= 0, score - score[earlier], np.inf)
-        d_later = np.where(later >= 0, score[later] - score, np.inf)
-        nearest = np.where(d_earlier <= d_later, earlier, later)
-        d = np.minimum(d_earlier, d_later)
-        room = np.minimum(score - low, high - score)
-        sure = (d <= room) & (d <= width)
-        at = np.arange(len(score))
-        mutual = sure & (nearest > at) & sure[nearest] & (nearest[nearest] == at)
-        left = at[mutual]
-        right = nearest[left]
-        moved = np.minimum(count[left], count[right])
-        t, c = np.where(side[left] == 1, left, right), np.where(side[left] == 1, right, left)
-        flows.extend(zip(score[t].tolist(), score[c].tolist(), moved.tolist()))
-        count = count.copy()
-        count[left] -= moved
-        count[right] -= moved
-        hopeless = (d > width) & (room >= width)
-        keep = (count > 0) & ~hopeless
-        if keep.all() and len(left) == 0:
-            break
-        score, side, count = score[keep], side[keep], count[keep]
-    return flows, (score, side, count)
-
-
-def match_cells(cells: DataFrame, width: float, cells_per_task: int = 50_000) -> DataFrame:
-    """Flows (score_t, score_c, n) between score cells ``(score, n_t, n_c)``.
-
-    Equal scores match first, in place. What is left is cut in contiguous score ranges, one per task,
-    and matched there; cells near a cut stay open for the next pass, whose cuts lie elsewhere. Each
-    pass is written before the next starts. The result does not depend on the cuts.
-    """
-    same = F.least("n_t", "n_c")
-    parts = [cells.where(same > 0).select(F.col("score").alias("score_t"), F.col("score").alias("score_c"), same.alias("n"))]
-    if width <= 0:
-        return parts[0]
-    rest = F.col("n_t") - F.col("n_c")
-    schema = "is_flow boolean, a double, b double, n bigint"
-    open_cells = cut(
-        cells.where(rest != 0).select(
-            F.col("score").alias("a"), F.when(rest > 0, 1.0).otherwise(0.0).alias("b"), F.abs(rest).alias("n")
-        )
-    )
-    left = open_cells.count()
-    slices = max(1, -(-left // cells_per_task))
-    while left:
-        whole = slices == 1
-
-        def run(batches: Iterator[pd.DataFrame], whole: bool = whole) -> Iterator[pd.DataFrame]:
-            frames = list(batches)
-            pdf = pd.concat(frames).sort_values("a") if frames else pd.DataFrame(columns=["a", "b", "n"])
-            flows, (score, side, count) = match_slice(
-                pdf["a"].to_numpy(float), pdf["b"].to_numpy(float).astype(int), pdf["n"].to_numpy(np.int64), width, whole
-            )
-            yield pd.DataFrame([(True, *f) for f in flows], columns=["is_flow", "a", "b", "n"])
-            yield pd.DataFrame({"is_flow": False, "a": score, "b": side.astype(float), "n": count})
-
-        done = cut(open_cells.repartitionByRange(slices, "a").mapInPandas(run, schema))
-        parts.append(done.where("is_flow").select(F.col("a").alias("score_t"), F.col("b").alias("score_c"), "n"))
-        open_cells = done.where("not is_flow").select("a", "b", "n")
-        before, left = left, open_cells.count()
-        if whole:
-            break
-        wanted = max(1, -(-left // cells_per_task))
-        # A pass without progress is repeated with wider ranges, in the end with a single one.
-        slices = max(1, slices // 2) if left == before else min(wanted, slices - 1)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def _allocate(units: DataFrame, flows: DataFrame, score: str, other: str) -> DataFrame:
     """Give the ranked users of each cell to the cell's flows in turn: (score_t, score_c, k, id).
 
@@ -214,12 +97,13 @@ def match_pairs(
 ) -> DataFrame:
     """One-to-one pairs without replacement, nearest scores first, at most ``width`` apart.
 
-    Equal scores are told apart by the md5 of the id. Columns: treated_id, control_id, distance.
+    Equal scores are told apart by the md5 of the id; a score that is NULL or no finite number matches nobody.
+    Columns: treated_id, control_id, distance.
     """
     units = cut(
         scored.select(
             F.col(id_column).alias("id"), F.col(score).cast("double").alias("score"), F.col(treatment).cast("int").alias("arm")
-        ).where(F.col("score").isNotNull() & F.col("arm").isNotNull())
+        ).where("arm is not null and abs(score) < double('infinity')")
     )
     cells = units.groupBy("score").agg(
         F.count_if(F.col("arm") == 1).alias("n_t"), F.count_if(F.col("arm") == 0).alias("n_c")

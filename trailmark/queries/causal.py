@@ -330,7 +330,17 @@ def _(v):
 
 
 def scored(v):
-    return psm.propensity_scores(matching_data(v), "adopted", psm.MATCH_COVARIATES)
+    # Small tables have kinds of users who all adopted, so the likelihood alone has no maximum there.
+    return psm.propensity_scores(matching_data(v), "adopted", psm.MATCH_COVARIATES, penalty="firth")
+
+
+@registry.add(
+    "propensity_score_equations",
+    " UNION ALL ".join(f"SELECT '{c}' AS coefficient, 0e0 AS excess" for c in ("constant", *psm.MATCH_COVARIATES)),
+)
+def _(v):
+    data = matching_data(v)
+    return psm.score_equations(data, "adopted", psm.fit_propensity(data, "adopted", psm.MATCH_COVARIATES, "firth"), "firth")
 
 
 @registry.add("propensity_scores")
@@ -370,3 +380,47 @@ def _(v):
 def _(v):
     data, pairs = matched(v)
     return psm.balance(psm.matched_units(pairs, data), "adopted", psm.MATCH_COVARIATES)
+
+
+# Matching on a score that both engines can compute: the account balance, told apart by the id, within 0.002 of its
+# standard deviation. The check takes the nearest open pair, one a step.
+CALIPER = 0.002
+NEAREST = f"""{DATASET}, sc AS (SELECT ps.*, balance + ps.user_id / 1e9 AS score FROM ps JOIN users_o ON users_o.user_id = ps.user_id),
+    cand AS (SELECT t.user_id AS t, c.user_id AS c, abs(t.score - c.score) AS d, least(t.score, c.score) AS low FROM sc t JOIN sc c
+             ON t.adopted = 1 AND c.adopted = 0 AND abs(t.score - c.score) <= (SELECT {CALIPER!r} * stddev_samp(score) FROM sc)),
+    pairs AS (SELECT k.t AS treated_id, k.c AS control_id, k.d AS distance, a.churned AS y_t, b.churned AS y_c FROM (
+        WITH RECURSIVE pick AS (SELECT CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS t, CAST(NULL AS BIGINT) AS c, CAST(NULL AS DOUBLE) AS d
+            UNION ALL SELECT list_concat(used, [x.t, x.c]), x.t, x.c, x.d FROM pick,
+                LATERAL (SELECT t, c, d FROM cand WHERE NOT list_contains(used, t) AND NOT list_contains(used, c) ORDER BY d, low LIMIT 1) x)
+        SELECT t, c, d FROM pick WHERE t IS NOT NULL) k JOIN ps a ON a.user_id = k.t JOIN ps b ON b.user_id = k.c)"""
+
+
+def nearest(v):
+    data = matching_data(v).join(v.users_o.select("user_id", "balance"), "user_id")
+    data = data.withColumn("score", F.col("balance") + F.col("user_id") / F.lit(1e9))
+    return data, psm.match_pairs(data, "adopted", psm.caliper_width(data, CALIPER, "score"), score="score")
+
+
+@registry.add("psm_match_nearest", f"WITH {NEAREST} SELECT treated_id, control_id, {rnd('distance')} AS distance FROM pairs")
+def _(v):
+    return nearest(v)[1]
+
+
+@registry.add(
+    "psm_att_nearest",
+    f"""WITH {NEAREST}, {EFFECT} SELECT {rnd('att')} AS att, {rnd('se')} AS std_error, {rnd('z')} AS t_stat, {rnd(two_sided_p_sql('z'))} AS p_value,
+        {rnd(f'att - {Z!r} * se')} AS ci_lower, {rnd(f'att + {Z!r} * se')} AS ci_upper, n AS n_matched_pairs, treated - n AS n_unmatched_treated,
+        {rnd('naive')} AS naive_difference, {rnd('naive - att')} AS bias_removed FROM ez""",
+)
+def _(v):
+    data, pairs = nearest(v)
+    return psm.estimate_effect(pairs, data, "adopted", "churned")
+
+
+MATCHED = "matched AS (SELECT * FROM ps WHERE user_id IN (SELECT treated_id FROM pairs UNION ALL SELECT control_id FROM pairs))"
+
+
+@registry.add("psm_balance_nearest", f"WITH {NEAREST}, {MATCHED} {balance_sql('matched')}")
+def _(v):
+    data, pairs = nearest(v)
+    return psm.balance(psm.matched_units(pairs, data), "adopted", psm.MATCH_COVARIATES)

@@ -126,3 +126,40 @@ def _(v):
     )
     daily = tagged.groupBy("app_version", "day").agg(F.count("*").alias("n"))
     return daily.groupBy("app_version").agg(F.sum("n").alias("events"), F.count("day").alias("days"))
+
+
+# Releases as a table: one on every third day of the first nine months that has orders, for 40 days each, so they overlap.
+RELEASE_ROWS = """SELECT DISTINCT CAST(timestamp AS DATE) AS start_date, CAST(timestamp AS DATE) + 40 AS end_date
+    FROM events_o WHERE day(timestamp) % 3 = 0 AND month(timestamp) <= 9"""
+
+
+@registry.add(
+    "version_lookup_table",
+    f"""WITH r AS ({RELEASE_ROWS}), d AS (SELECT DISTINCT CAST(timestamp AS DATE) AS day FROM events_o),
+    held AS (SELECT day, min(start_date) AS start_date FROM d JOIN r ON day BETWEEN start_date AND end_date GROUP BY day),
+    v AS (SELECT CASE WHEN held.day IS NULL THEN 'none' ELSE concat('v', CAST(held.start_date AS VARCHAR)) END AS app_version
+          FROM events_o e LEFT JOIN held ON CAST(e.timestamp AS DATE) = held.day)
+    SELECT app_version, count(*) AS events FROM v GROUP BY app_version""",
+)
+def _(v):
+    start = F.to_date("timestamp")
+    picked = v.events_o.where((F.dayofmonth("timestamp") % 3 == 0) & (F.month("timestamp") <= 9)).select(start.alias("start_date")).distinct()
+    name = F.concat(F.lit("v"), F.col("start_date").cast("string"))
+    releases = picked.select("start_date", F.date_add("start_date", 40).alias("end_date"), name.alias("version"))
+    return en.with_version(v.events_o, "timestamp", releases, "none").groupBy("app_version").agg(F.count("*").alias("events"))
+
+
+# Some of the property texts are taken away and some cut off, as broken senders do.
+SENT = """(SELECT user_id, CASE event_id % 50 WHEN 0 THEN NULL WHEN 1 THEN substr(properties, 1, 4) ELSE properties END AS text FROM events_e)"""
+
+
+@registry.add(
+    "events_by_property",
+    f"""SELECT CAST(json_extract_string(CASE WHEN json_valid(text) THEN text END, '$.k') AS BIGINT) AS k, text IS NOT NULL AND NOT json_valid(text) AS malformed,
+        count(*) AS events, count(DISTINCT user_id) AS users FROM {SENT} GROUP BY 1, 2""",
+)
+def _(v):
+    place = F.col("event_id") % 50
+    text = F.when(place == 0, F.lit(None)).when(place == 1, F.substring("properties", 1, 4)).otherwise(F.col("properties"))
+    read = en.with_property(v.events_e.withColumn("properties", text), {"k": "bigint"})
+    return read.groupBy("k", "malformed").agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from trailmark.functions.normal import chi2_1df_p_sql, two_sided_p_sql, z_quantile
 from trailmark.operators import bootstrap as bs
 from trailmark.operators import experiment as ex
 from trailmark.operators import power as pw
+from trailmark.plans.local import local_table
 from trailmark.queries.base import Registry, pct, rnd, t_two_sided_sql
+from trailmark.sources.catalog import typed
 
 registry = Registry()
 
@@ -349,54 +352,122 @@ def _(v):
     )
 
 
-# The same hash draws in SQL: 40 Poisson replicates of the mean.
-B = 40
-WEIGHT = "CASE " + " ".join(
-    f"WHEN u < CAST({p!r} AS DOUBLE) THEN {k}" for k, p in enumerate(bs.poisson_thresholds())
-) + f" ELSE {len(bs.poisson_thresholds())} END"
-REPLICATES = f"""{vals(CONTINUOUS)},
-    d AS (SELECT experiment_id, arm, value, b.block * 4 + j.j AS replicate,
-          CAST(('0x' || substr(md5(concat_ws('|', '42', experiment_id, CAST(user_id AS VARCHAR), CAST(b.block AS VARCHAR))), CAST(1 + 8 * j.j AS INTEGER), 8)) AS BIGINT) / 4294967296e0 AS u
-          FROM vals, range({B // 4}) b(block), range(4) j(j)),
-    w AS (SELECT *, {WEIGHT} AS w FROM d),
-    rep AS (SELECT experiment_id, replicate, sum(w * value) FILTER (WHERE arm = 'treatment') / sum(w) FILTER (WHERE arm = 'treatment')
-            - sum(w * value) FILTER (WHERE arm = 'control') / sum(w) FILTER (WHERE arm = 'control') AS diff FROM w GROUP BY ALL),
-    obs AS (SELECT experiment_id, avg(value) FILTER (WHERE arm = 'treatment') - avg(value) FILTER (WHERE arm = 'control') AS o FROM vals GROUP BY ALL)"""
-
-
-def poisson(v):
-    return bs.bootstrap_replicates(values(v, CONTINUOUS), n_bootstrap=B, method="poisson")
+# The experiments as a table stores them: lists as text.
+EXPERIMENT_ROWS = [
+    ("exp_101", "1995-01-01", "1995-06-30", "['control', 'treatment']", "[0.5, 0.5]", "all_new_users"),
+    ("exp_102", "1995-03-01", "1996-12-31", "['a', 'b', 'c', 'd']", "[0.1, 0.2, 0.3, 0.4]", "all_users"),
+    ("exp_103", "1995-02-01", "1995-12-31", "['day_7_upsell', 'day_3_upsell', 'day_10_upsell']", "[0.5, 0.3, 0.2]", "free_users"),
+    ("exp_104", "1994-01-01", "1999-02-28", "['rollout_group', 'control_group']", "[0.5, 0.5]", "geo_based"),
+]
+EXPERIMENT_COLUMNS = ("experiment_id", "start_date", "end_date", "variants", "allocation", "targeting")
+STORED = f"""stored({', '.join(EXPERIMENT_COLUMNS)}) AS (VALUES {
+    ', '.join('(' + ', '.join("'" + x.replace("'", "''") + "'" for x in row) + ')' for row in EXPERIMENT_ROWS)
+})"""
 
 
 @registry.add(
-    "bootstrap_poisson",
-    f"""WITH {REPLICATES}, s AS (SELECT r.experiment_id, max(o) AS o, quantile_cont(diff, 0.025) AS lo, quantile_cont(diff, 0.975) AS hi,
-        avg(CASE WHEN abs(diff) >= abs(o) THEN 1e0 ELSE 0e0 END) AS p, avg(CASE WHEN abs(diff - o) >= abs(o) THEN 1e0 ELSE 0e0 END) AS pc,
-        avg(diff) AS mean, stddev_pop(diff) AS std, count(*) AS n FROM rep r JOIN obs ON r.experiment_id = obs.experiment_id GROUP BY 1)
-    SELECT experiment_id, {rnd('o', 4)} AS observed_diff, {rnd('lo', 4)} AS ci_lower, {rnd('hi', 4)} AS ci_upper, {rnd('p', 4)} AS p_value_bootstrap,
-        {rnd('pc', 4)} AS p_value_centered, {rnd('mean', 4)} AS bootstrap_mean, {rnd('std', 4)} AS bootstrap_std, n AS n_bootstrap, 0.05e0 AS alpha,
-        lo > 0 OR hi < 0 AS significant FROM s""",
-    digits=4,
+    "variant_assignment_table",
+    f"""WITH {STORED}, x AS (SELECT *, list_transform(string_split(trim(variants, '[]'), ', '), lambda a: trim(a, chr(39))) AS names,
+        list_transform(string_split(trim(allocation, '[]'), ', '), lambda a: CAST(a AS DOUBLE)) AS shares FROM stored),
+    m AS (SELECT x.*, user_id, country, signup_date,
+            CAST(('0x' || substr(md5(concat(experiment_id, '|', CAST(user_id AS VARCHAR))), 1, 8)) AS BIGINT) / 4294967296e0 AS draw
+          FROM users_o JOIN x ON signup_date BETWEEN CAST(start_date AS DATE) AND CAST(end_date AS DATE) AND (targeting <> 'free_users' OR plan_type = 'free'))
+    SELECT experiment_id, user_id, CAST(signup_date AS VARCHAR) AS assigned_at, CASE WHEN targeting <> 'geo_based'
+        THEN names[1 + len(list_filter(generate_series(1, len(shares) - 1), lambda k: list_sum(shares[1:k]) <= draw))]
+        WHEN country IN ('NATION_0', 'NATION_1') THEN names[1] ELSE names[2] END AS variant FROM m""",
 )
 def _(v):
-    return bs.bootstrap_summary(poisson(v))
+    rows = [dict(zip(EXPERIMENT_COLUMNS, row)) for row in EXPERIMENT_ROWS]
+    stored = local_table(v.spark, rows, ", ".join(f"{c} string" for c in EXPERIMENT_COLUMNS))
+    return ex.assign_from_table(v.users_o, typed(stored, "experiments"), rollout_countries=["NATION_0", "NATION_1"])
+
+
+# The same 10,000 Poisson replicates of the mean in SQL, by the same hash, for one experiment each.
+B = 10_000
+REVENUE = {"exp_001": CONTINUOUS["exp_001"]}
+ACTIVATED = {"exp_001": BINARY["exp_001"]}
+
+
+def replicates_sql(experiments: dict, value: str = "value") -> str:
+    """CTEs ``rep`` (experiment_id, replicate, diff) and ``obs`` (experiment_id, o) of the mean of ``value``."""
+    mask, steps, source = (1 << 32) - 1, [], f"base, range({B}) n(r)"
+
+    def step(x: str, kept: str = "") -> None:
+        nonlocal source
+        steps.append(f"x{len(steps)} AS (SELECT experiment_id, arm, value, second, r, {kept} {x} AS x FROM {source})")
+        source = f"x{len(steps) - 1}"
+
+    def mixed(kept: str) -> None:
+        for shift, factor in bs.MIX:
+            step(f"xor(x, x >> {shift})", kept)
+            step(f"(x * {factor}) & {mask}", kept)
+
+    step(f"(first + (((r + 1)::UBIGINT * {bs.STEP}) & {mask})) & {mask}")
+    mixed("")
+    step(f"(x + second) & {mask}", "x AS y,")
+    mixed("y,")
+    step(f"(x + y) & {mask}", "x AS high,")
+    mixed("high,")
+    words = [f"CAST('0x' || substr(m, {at}, 8) AS UBIGINT)" for at in (1, 9)]
+    weight = " + ".join(f"(u >= {least})::INT" for least in bs.poisson_thresholds())
+    return f"""{vals(experiments)}, hashed AS (SELECT experiment_id, arm, {value} AS value, md5(concat_ws('|', '42', experiment_id, CAST(user_id AS VARCHAR))) AS m FROM vals),
+    base AS (SELECT experiment_id, arm, value, {words[0]} AS first, {words[1]} AS second FROM hashed), {', '.join(steps)},
+    d AS (SELECT experiment_id, arm, value, r, (high << {bs.DRAW_BITS - 32}) | (x >> {64 - bs.DRAW_BITS}) AS u FROM {source}),
+    e AS (SELECT experiment_id, arm, value, r, {weight} AS k FROM d),
+    w AS (SELECT experiment_id, arm, r, sum(k) AS w, sum(k * value) AS wx FROM e GROUP BY ALL),
+    rep AS (SELECT experiment_id, r AS replicate, max(wx / w) FILTER (arm = 'treatment') - max(wx / w) FILTER (arm = 'control') AS diff FROM w GROUP BY ALL),
+    obs AS (SELECT experiment_id, avg(value) FILTER (WHERE arm = 'treatment') - avg(value) FILTER (WHERE arm = 'control') AS o FROM base GROUP BY ALL)"""
+
+
+SPREAD = """s AS (SELECT r.experiment_id, max(o) AS o, quantile_cont(diff, 0.025) AS lo, quantile_cont(diff, 0.975) AS hi,
+    avg(CASE WHEN abs(diff) >= abs(o) THEN 1e0 ELSE 0e0 END) AS p, avg(CASE WHEN abs(diff - o) >= abs(o) THEN 1e0 ELSE 0e0 END) AS pc,
+    avg(diff) AS mean, stddev_pop(diff) AS std, count(*) AS n FROM rep r JOIN obs ON r.experiment_id = obs.experiment_id GROUP BY 1)"""
+
+
+def interval_sql(digits: int) -> str:
+    parts = {"observed_diff": "o", "ci_lower": "lo", "ci_upper": "hi", "p_value_bootstrap": "p", "p_value_centered": "pc", "bootstrap_mean": "mean", "bootstrap_std": "std"}
+    told = ", ".join(f"{rnd(x, digits)} AS {name}" for name, x in parts.items())
+    return f"SELECT experiment_id, {told}, n AS n_bootstrap, 0.05e0 AS alpha, lo > 0 OR hi < 0 AS significant FROM s"
+
+
+@registry.add("bootstrap_poisson", f"WITH {replicates_sql(REVENUE)}, {SPREAD} {interval_sql(4)}", digits=4)
+def _(v):
+    return bs.bootstrap_ci(values(v, REVENUE))
+
+
+@registry.add("bootstrap_ci", f"WITH {replicates_sql(ACTIVATED)}, {SPREAD} {interval_sql(6)}")
+def _(v):
+    return bs.bootstrap_ci(values(v, ACTIVATED))
 
 
 @registry.add(
     "bootstrap_distribution",
-    f"""WITH {REPLICATES}, b AS (SELECT experiment_id, min(diff) AS lo, (max(diff) - min(diff)) / 10 AS width FROM rep GROUP BY experiment_id),
-    x AS (SELECT rep.experiment_id, CAST(least(floor((diff - lo) / width), 9) AS INTEGER) AS bin, lo, width FROM rep JOIN b ON rep.experiment_id = b.experiment_id)
+    f"""WITH {replicates_sql(REVENUE)}, b AS (SELECT experiment_id, min(diff) AS lo, (max(diff) - min(diff)) / 50 AS width FROM rep GROUP BY experiment_id),
+    x AS (SELECT rep.experiment_id, CAST(least(floor((diff - lo) / width), 49) AS INTEGER) AS bin, lo, width FROM rep JOIN b ON rep.experiment_id = b.experiment_id)
     SELECT experiment_id, bin, {rnd('lo + bin * width', 4)} AS bin_start, {rnd('lo + (bin + 1) * width', 4)} AS bin_end, count(*) AS "count"
     FROM x GROUP BY experiment_id, bin, lo, width""",
     digits=4,
 )
 def _(v):
-    return bs.bootstrap_distribution(poisson(v), 10)
+    return bs.bootstrap_distribution(bs.bootstrap_replicates(values(v, REVENUE)))
 
 
-@registry.add("bootstrap_ci")
+# A metric of one's own: the share of users above a bound, from two running sums.
+ABOVE = 500_000.0
+SHARE_ABOVE = bs.Aggregate(
+    start=lambda b: np.zeros((2, b)),
+    add=lambda state, x, w: state + np.stack([np.ones(len(x)), x > ABOVE]) @ w,
+    merge=lambda a, b: a + b,
+    finish=lambda state: np.divide(state[1], state[0], out=np.full(state.shape[1], np.nan), where=state[0] > 0),
+)
+
+
+@registry.add(
+    "bootstrap_own_metric",
+    f"WITH {replicates_sql(REVENUE, f'CASE WHEN value > {ABOVE!r} THEN 1e0 ELSE 0e0 END')}, {SPREAD} {interval_sql(6)}",
+)
 def _(v):
-    return bs.bootstrap_ci(values(v), method="histogram")
+    return bs.bootstrap_ci(values(v, REVENUE), metric=SHARE_ABOVE)
 
 
 @registry.add("bootstrap_median")
@@ -404,7 +475,14 @@ def _(v):
     return bs.bootstrap_ci(values(v, CONTINUOUS), metric="median", method="order_statistic")
 
 
-@registry.add("method_agreement")
+@registry.add(
+    "method_agreement",
+    f"""WITH {replicates_sql(TESTED)}, {totals()}, {PROPORTION}, {SPREAD},
+    v AS (SELECT zs.experiment_id, {two_sided_p_sql('z')} AS zp, {chi2_1df_p_sql('z * z')} AS cp, p AS bp, lo > 0 OR hi < 0 AS bsig
+          FROM zs JOIN s ON s.experiment_id = zs.experiment_id)
+    SELECT experiment_id, {rnd('zp')} AS z_test_p, zp < 0.05 AS z_test_sig, {rnd('cp')} AS chi_sq_p, cp < 0.05 AS chi_sq_sig, {rnd('bp')} AS bootstrap_p,
+        bsig AS bootstrap_sig, (zp < 0.05) = (cp < 0.05) AND (cp < 0.05) = bsig AS all_agree FROM v""",
+)
 def _(v):
-    boot = bs.bootstrap_ci(values(v), method="histogram")
+    boot = bs.bootstrap_ci(values(v))
     return ex.method_agreement(ex.analyze_experiments(v.assignments, v.metrics, config(v), bootstrap=boot))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from trailmark.operators import profile as pf
 from trailmark.operators.revenue import churn_rate_by_last_status
 from trailmark.operators.experiment import metric_rates
+from trailmark.plans.lineage import ensure_checkpoint_dir
 from trailmark.queries.base import Registry, pct, rnd
-from trailmark.sources.catalog import filter_events, table_info, table_rows
+from trailmark.sources.catalog import Catalog, filter_events, table_info, table_rows
 from trailmark.sources.standins import TABLES
 
 registry = Registry()
@@ -26,6 +28,44 @@ def _(v):
     return filter_events(v.events_e, ["purchase", "signup"], date_range=("2024-01-05", "2024-01-07 12:00:00"))
 
 
+def catalog(v) -> Catalog:
+    """A catalog over tables written from the views, as a user would keep them."""
+    ensure_checkpoint_dir(v.spark)
+    kept = Catalog(v.spark, f"{v.spark.sparkContext.getCheckpointDir()}/catalog-{uuid.uuid4().hex}")
+    kept.write_table("events", v.events_e.drop("value"))
+    kept.write_table("users", v.users_e.drop("region"))
+    return kept
+
+
+@registry.add(
+    "catalog_events",
+    """SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, CAST(timestamp AS VARCHAR) AS timestamp, event_type, properties,
+        session_id FROM events_e
+    WHERE event_type IN ('purchase', 'signup') AND timestamp BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-07 12:00:00'""",
+)
+def _(v):
+    return catalog(v).query_events(["purchase", "signup"], date_range=("2024-01-05", "2024-01-07 12:00:00"))
+
+
+@registry.add(
+    "catalog_template",
+    """SELECT plan_type, count(*) AS users, count(DISTINCT country) AS countries FROM users_e GROUP BY plan_type""",
+)
+def _(v):
+    return catalog(v).query_raw_table("users", "SELECT plan_type, count(*) AS users, count(DISTINCT country) AS countries FROM {table} GROUP BY plan_type")
+
+
+@registry.add(
+    "catalog_audit",
+    """SELECT 'users' AS "table", true AS present, (SELECT count(*) FROM users_e) AS "rows" UNION ALL
+    SELECT 'events', true, (SELECT count(*) FROM events_e) UNION ALL SELECT 'subscriptions', false, NULL""",
+)
+def _(v):
+    kept = catalog(v)
+    found = kept.get_table_info().drop("size_mb")
+    return kept.validate_paths().drop("size_mb").join(found, "table", "left")
+
+
 @registry.add("table_rows", " UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS "rows" FROM {t}""" for t in TABLES))
 def _(v):
     return table_rows(v.spark, {t: v.path(t) for t in TABLES})

@@ -114,16 +114,19 @@ class Catalog:
         user_ids: Sequence | None = None,
         date_range: tuple | None = None,
         limit: int | None = None,
+        padded_text: bool = False,
     ) -> DataFrame:
-        """Filtered event scan; see ``filter_events``. A range also prunes the date folders of the sink."""
+        """Filtered event scan; see ``filter_events``. A range also prunes the date folders of the sink.
+
+        Timestamps stored as text reach the range through a cast, which the Parquet filter cannot use. Where every
+        one is written as ``yyyy-MM-dd`` and what follows, the caller may say so by ``padded_text``: such text sorts
+        like time, and a wider test on it is pushed down. Text like ``2024-1-5`` would be lost by that test.
+        """
         raw = self.spark.read.parquet(self.path("events"))
         if date_range and "event_date" in raw.columns:
             days = [F.to_date(timestamp_literal(d)) for d in date_range]
             raw = raw.where(F.col("event_date").between(*days))
-        if date_range and isinstance(raw.schema["timestamp"].dataType, T.StringType):
-            # A cast hides the stored text from the Parquet filter. ISO text sorts like time, so this
-            # wider text test can be pushed down; the typed test still decides.
-            # The bounds are the days of the typed range, written as stored text has them.
+        if date_range and padded_text and isinstance(raw.schema["timestamp"].dataType, T.StringType):
             lo, hi = (F.date_format(timestamp_literal(d), "yyyy-MM-dd") for d in date_range)
             raw = raw.where((F.col("timestamp") >= lo) & (F.col("timestamp") < F.concat(hi, F.lit("~"))))
         return filter_events(typed(raw, "events"), event_types, user_ids, date_range, limit)
