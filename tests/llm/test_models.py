@@ -45,8 +45,22 @@ def test_random_texts_encode_as_the_reference_does(codec, reference):
     assert codec.decode(codec.encode(long)) == long.encode()
 
 
-def test_a_small_memo_changes_nothing(codec, reference, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO", 3)
+def test_ranks_beyond_twenty_bits_and_other_patterns():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ac": 1 << 20 | 5, b"xa": 300, b"!\n": 256}
+    far = tiktoken.Encoding("far", pat_str=bpe.WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(ranks, bpe.WORD_PATTERN)
+    for s in ("xac", "ac", "xa ac", "acx"):
+        assert codec.encode(s) == far.encode_ordinary(s)
+    pattern = r" ?[^\s\p{L}\p{N}]+[\r\n]*|\p{L}+|\p{N}|\s+"
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(ranks, pattern)
+    for s in ("a!\nb", "!\n!\n", " !\n\n x", "12ab", "", "\n"):
+        assert codec.encode(s) == other.encode_ordinary(s), s
+    assert public_tokenizers.PATTERN == bpe.WORD_PATTERN
+
+
+def test_a_small_memo_changes_nothing(reference):
+    codec = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN, memo=3)
     text = "some words, and some, more words and words " * 20
     assert codec.encode(text) == reference.encode_ordinary(text)
 

@@ -25,7 +25,11 @@ from pyspark.sql import types as T
 from trailmark.llm.common import by_batch
 
 VOCABULARY_LIMIT = 5_000_000  # entries: a vocabulary is broadcast, a longer one is refused
-MEMO = 100_000  # pre-tokens and short chunks of each of the two generations that a worker remembers
+MEMO = 100_000  # pre-tokens and short chunks of each of the two generations that a worker remembers by default
+PAIR = 32  # bits of the right rank in the key of a pair
+
+# Fixed value: the pre-token pattern for which a text may first be cut at white characters.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class PerfectHash:
@@ -76,13 +80,13 @@ POSITION = 32  # bits of a heap entry that hold the position; the rank stands ab
 
 
 def pair_ranks(ranks: Mapping[bytes, int]) -> dict[int, int]:
-    """(left rank << 20 | right rank) -> rank of both together, for every way to cut an entry in two entries."""
+    """(left rank << PAIR | right rank) -> rank of both together, for every way to cut an entry in two entries."""
     pairs = {}
     for token, rank in ranks.items():
         for at in range(1, len(token)):
             left, right = ranks.get(token[:at]), ranks.get(token[at:])
             if left is not None and right is not None:
-                pairs[left << 20 | right] = rank
+                pairs[left << PAIR | right] = rank
     return pairs
 
 
@@ -95,7 +99,7 @@ def merge_bytes(piece: list[int], pairs: Mapping[int, int]) -> list[int]:
     parts, n = piece[:], len(piece)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     known, pop, push = pairs.get, heapq.heappop, heapq.heappush
-    joint = [known(a << 20 | b, -1) for a, b in zip(piece, piece[1:])]
+    joint = [known(a << PAIR | b, -1) for a, b in zip(piece, piece[1:])]
     heap = [rank << POSITION | i for i, rank in enumerate(joint) if rank >= 0]
     joint.append(-1)
     heapq.heapify(heap)
@@ -110,12 +114,12 @@ def merge_bytes(piece: list[int], pairs: Mapping[int, int]) -> list[int]:
         end = after[gone]
         if end < n:
             before[end] = i
-            joint[i] = new = known(rank << 20 | parts[end], -1)
+            joint[i] = new = known(rank << PAIR | parts[end], -1)
             if new >= 0:
                 push(heap, new << POSITION | i)
         left = before[i]
         if left >= 0:
-            joint[left] = new = known(parts[left] << 20 | rank, -1)
+            joint[left] = new = known(parts[left] << PAIR | rank, -1)
             if new >= 0:
                 push(heap, new << POSITION | left)
     ids, at = [], 0
@@ -126,14 +130,18 @@ def merge_bytes(piece: list[int], pairs: Mapping[int, int]) -> list[int]:
 
 
 class Codec:
-    """Encodes texts and decodes ids for one vocabulary and one pre-token pattern."""
+    """Encodes texts and decodes ids for one vocabulary and one pre-token pattern.
+
+    ``memo`` is the number of pre-tokens that each generation of a worker's memory holds; it changes the cost only.
+    """
 
-    # A pre-token holds white characters only at its start or alone, so a text may first be cut into these.
+    # By WORD_PATTERN a pre-token holds white characters only at its start or alone, and letters after at most one
+    # space are one pre-token, so a text may first be cut into these chunks. By any other pattern it is not.
     CHUNK = r" ?\S+|\s+(?!\S)|\s+"
 
-    def __init__(self, ranks: Mapping[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: Mapping[bytes, int], pattern: str, memo: int | None = None) -> None:
         self.table, self.pairs = PerfectHash(ranks), pair_ranks(ranks)
-        self.pattern = pattern
+        self.pattern, self.room = pattern, MEMO if memo is None else memo
         self.byte = [ranks.get(bytes([b]), -1) for b in range(256)]
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
@@ -141,13 +149,14 @@ class Codec:
         self._start()
 
     def _start(self) -> None:
-        self.split, self.chunks = regex.compile(self.pattern).findall, regex.compile(self.CHUNK).findall
+        compiled = regex.compile(self.pattern)
+        self.split, self.matches, self.chunks = compiled.findall, compiled.finditer, regex.compile(self.CHUNK).findall
         # What has been met before, as int32 bytes: unlike lists they cost the garbage collector nothing.
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("split", "chunks", "memo", "older")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("split", "matches", "chunks", "memo", "older")}
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
@@ -166,7 +175,7 @@ class Codec:
 
     def _keep(self, key: str, ids: bytes) -> bytes:
         if len(key) <= 64:
-            if len(self.memo) >= MEMO:
+            if len(self.memo) >= self.room:
                 self.older, self.memo = self.memo, {}
             self.memo[key] = ids
         return ids
@@ -181,7 +190,6 @@ class Codec:
     def _chunk(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
-            # Letters after at most one space are one pre-token by any such pattern.
             if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
                 return self._token(chunk)
             ids = b"".join([self._token(token) for token in self.split(chunk)])
@@ -189,6 +197,8 @@ class Codec:
 
     def packed(self, text: str | None) -> bytes:
         """The ids of a text as int32 bytes."""
+        if self.pattern != WORD_PATTERN:
+            return b"".join([self._token(m.group()) for m in self.matches(text or "")])
         known, make = self.memo.get, self._chunk
         return b"".join([known(chunk) or make(chunk) for chunk in self.chunks(text or "")])
 
@@ -208,12 +218,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-def shared_codec(spark: SparkSession, path: str, pattern: str):
+def shared_codec(spark: SparkSession, path: str, pattern: str, memo: int | None = None):
     """The codec for all tasks, built once on the driver from a vocabulary of checked size and broadcast.
 
     It travels as bytes that hold the code as well, and a worker process unpacks it once for all its tasks.
     """
-    return spark.sparkContext.broadcast({"packed": cloudpickle.dumps(Codec(read_ranks(path), pattern))})
+    return spark.sparkContext.broadcast({"packed": cloudpickle.dumps(Codec(read_ranks(path), pattern, memo))})
 
 
 def _unpacked(shared) -> Codec:

@@ -104,10 +104,9 @@ def op8_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to token ids and decoded again."""
-    codec = bpe.shared_codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    codec = bpe.shared_codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, memo=400_000)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, codec).select("doc_id", "ids")
-    return bpe.decode(ids, codec).select(
+    return bpe.round_trip(docs, codec).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
