@@ -185,3 +185,29 @@ def test_items_without_a_usable_window(docs_of, spark):
     texts += ["Who wrote it", "12 + 5 - 3 * 44 / 2 + 9 - 17 + 7", "\u4e2d\u56fd\u4eba", None, "12"]
     got = {(r.doc_id, r.item_id): (r.coverage, r.reworded) for r in decontaminate.contamination(docs_of(texts), bench).collect()}
     assert got == {(i, i): (1.0, False) for i in range(5)}
+
+
+def test_runs_hash_by_all_their_tokens(spark):
+    tokens = [5, 6, 7, 8, 5, 6, 7, 8, 5, 6, 7, 9, 5]
+    for length in (1, 2, 3, 5, 7, 8, 13, 14):
+        row = decontaminate._hash_runs(spark.createDataFrame([(tokens,)], "t array<long>"), "t", length).first()
+        usable = max(len(tokens) - length + 1, 0)
+        runs = [tuple(tokens[i : i + length]) for i in range(usable)]
+        assert len(set(zip(runs, row.t[:usable]))) == len(set(runs)) == len(set(row.t[:usable])), length
+
+
+def test_documents_hash_a_token_once_not_once_a_window(docs_of, spark):
+    bench = spark.createDataFrame([(1, "twelve red birds cross the wide river near Paris at dawn")], "item_id long, text string")
+    windows = decontaminate.benchmark_windows(bench, "item_id", "text", 8, 3)
+    found = decontaminate.matched_windows(docs_of(["x"]), windows, "doc_id", "text", 8)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(slice(template" not in plan and "xxhash64(slice(folded" not in plan
+
+
+def test_lower_case_of_a_text_is_that_of_its_tokens(docs_of, spark):
+    words = "ΟΔΟΣ ΣΑΣ İzmir ǅungla STRASSE Straße Ωμέγα Iİ ΑΣ_Σ x9Σ Kg Two 3Kg".split()
+    text = " ".join(f"{w}{mark}" for w, mark in zip(words, ".,;:!?'-()/*\""))
+    got = decontaminate._tokens(docs_of([text, None, "", " . "]), "doc_id", "text").orderBy("id").collect()
+    one = spark.createDataFrame([(w,) for w in got[0].raw], "w string").selectExpr("lower(w) AS w").collect()
+    assert got[0].raw == words and got[0].low == [r.w for r in one]
+    assert [(r.raw, r.low) for r in got[1:]] == [([], [])] * 3

@@ -28,32 +28,58 @@ NUMBERS = (
     "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million"
 ).split()
 
-#: Scripts without spaces between words; each letter is a token.
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+#: Scripts without spaces between words; each letter is a token. None lies below Thai, and a look at the range is
+#: much cheaper than at the scripts.
+UNSPACED = r"[\x{E00}-\x{10FFFF}&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]"
 LETTER = r"^\p{IsLatin}$"  # a single letter is a mark or a variable, not a word
 
 BITMAP_WORDS = 1 << 15  # 64-bit words of the bitmap that tells most windows apart from the benchmark's
 
 
-def raw_tokens(text: Column) -> Column:
-    """Runs of letters and digits, single letters in scripts without spaces; a point, comma or colon between digits
-    belongs to the number."""
+def spaced_tokens(text: Column) -> Column:
+    """Runs of letters and digits, single letters in scripts without spaces, in one string; a point, comma or colon
+    between digits belongs to the number."""
     held = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[0-9])[.,:](?=[0-9])", "_")
     held = F.when(held.rlike(UNSPACED), F.regexp_replace(held, f"({UNSPACED})", " $1 ")).otherwise(held)
-    words = F.split(F.trim(F.regexp_replace(held, r"[^\p{L}\p{N}_]+", " ")), " ", -1)
-    return F.filter(words, lambda w: w != "")
+    return F.trim(F.regexp_replace(held, r"[^\p{L}\p{N}_]+", " "))
 
 
-def folded_token(raw: Column) -> Column:
-    """The typed placeholder of a number or unit, else the word in lower case."""
-    first, low = F.substring(raw, 1, 1), F.lower(raw)
-    return F.when(first.between("0", "9") | low.isin(NUMBERS), NUMBER).when(low.isin(UNITS), UNIT).otherwise(low)
+def is_number(low: Column) -> Column:
+    return ((low >= "0") & (low < ":")) | low.isin(NUMBERS)  # ":" follows "9"
 
 
-def template_token(raw: Column, folded: Column | None = None) -> Column:
-    """The typed placeholder of a number, unit or name (a word with a capital first letter), else the word."""
-    first, low = F.substring(raw, 1, 1), folded_token(raw) if folded is None else folded
-    return F.when(low.startswith("#"), low).when(first != F.lower(first), NAME).otherwise(low)
+def folded_token(low: Column, value=lambda token: token) -> Column:
+    """``value`` of the typed placeholder of a number or unit, else of the word, which is in lower case."""
+    number, unit = value(F.lit(NUMBER)), value(F.lit(UNIT))
+    return F.when(is_number(low), number).when(low.isin(UNITS), unit).otherwise(value(low))
+
+
+def is_name(raw: Column, low: Column) -> Column:
+    """A word with a capital first letter; only tokens that differ from their lower case are looked at closely."""
+    first = F.substring(raw, 1, 1)
+    return (raw != low) & (first != F.lower(first)) & ~is_number(low) & ~low.isin(UNITS)
+
+
+def template_token(raw: Column) -> Column:
+    """The typed placeholder of a number, unit or name, else the word."""
+    low = F.lower(raw)
+    return F.when(is_name(raw, low), NAME).otherwise(folded_token(low))
+
+
+def _hash_runs(rows: DataFrame, column: str, length: int) -> DataFrame:
+    """``rows`` with the token hashes in ``column`` replaced by the hash of the ``length`` tokens from each place on.
+
+    Runs of twice the length are two runs side by side, a length between has two that overlap. The last
+    ``length - 1`` places have no such run; what stands there means nothing.
+    """
+    others = [c for c in rows.columns if c != column]
+    done = 1
+    while done < length:
+        ahead = min(done, length - done)
+        rest = F.slice(column, F.lit(ahead + 1), F.size(column))
+        rows = rows.select(*others, F.zip_with(column, rest, lambda a, b: F.xxhash64(a, b)).alias(column))
+        done += ahead
+    return rows
 
 
 def _places(tokens: str, window: int | Column) -> Column:
@@ -63,9 +89,11 @@ def _places(tokens: str, window: int | Column) -> Column:
 
 
 def _tokens(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    rows = df.select(F.col(f"`{id_column}`").alias("id"), raw_tokens(F.col(f"`{text_column}`")).alias("raw"))
-    rows = rows.withColumn("folded", F.transform("raw", folded_token))
-    return rows.withColumn("template", F.zip_with("raw", "folded", template_token))
+    """(id, raw, low): the tokens of each text as they stand and in lower case."""
+    rows = df.select(F.col(f"`{id_column}`").alias("id"), spaced_tokens(F.col(f"`{text_column}`")).alias("spaced"))
+    return rows.select(
+        "id", *(F.filter(F.split(c, " ", -1), lambda w: w != "").alias(n) for n, c in (("raw", F.col("spaced")), ("low", F.lower("spaced"))))
+    )
 
 
 def _piece(tokens: str, at: Column, window: int | Column) -> Column:
@@ -82,7 +110,8 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, wi
     lower-cased tokens, a shorter item being one window. Only items of single letters have none. Repeated items
     count once.
     """
-    rows = _tokens(benchmark, id_column, text_column).withColumn("low", F.transform("raw", F.lower))
+    rows = _tokens(benchmark, id_column, text_column)
+    rows = rows.withColumn("folded", F.transform("low", lambda t: folded_token(t))).withColumn("template", F.transform("raw", template_token))
 
     def usable(tokens: str, word) -> Column:
         return F.filter(_places("template", window), lambda at: F.size(F.filter(_piece(tokens, at, window), word)) >= literals)
@@ -117,11 +146,17 @@ def benchmark_windows(benchmark: DataFrame, id_column: str, text_column: str, wi
     return hashed.dropDuplicates(["item_id", "item_at", "hash"])
 
 
-def _bitmap(windows: DataFrame) -> DataFrame:
-    """One row: an array of ``BITMAP_WORDS`` longs in which every window hash has set its bit."""
-    slot = F.pmod("hash", F.lit(BITMAP_WORDS * 64))
-    words = windows.groupBy(F.floor(slot / 64).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(hash, {BITMAP_WORDS * 64}) % 64 as int))")).alias("bits")
+def _bitmap(windows: DataFrame, window: int) -> DataFrame:
+    """One row: an array of ``BITMAP_WORDS`` longs in which every window has set the bit of its tokens' hashes.
+
+    An exact window has any length; its hash is that of the list of token hashes, the others' that of their run.
+    """
+    forms = windows.select("exact", F.transform("item_form", lambda t: F.xxhash64(t)).alias("tokens"))
+    whole = forms.where("exact").select(F.xxhash64("tokens").alias("hash"))
+    runs = _hash_runs(forms.where(~F.col("exact")), "tokens", window).select(F.get("tokens", F.lit(0)).alias("hash"))
+    slots = whole.unionByName(runs).select(F.pmod("hash", F.lit(BITMAP_WORDS * 64)).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")
     )
     zeros = windows.sparkSession.range(BITMAP_WORDS).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
     whole = words.unionByName(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
@@ -131,39 +166,44 @@ def _bitmap(windows: DataFrame) -> DataFrame:
 def matched_windows(docs: DataFrame, windows: DataFrame, id_column: str, text_column: str, window: int) -> DataFrame:
     """(doc_id, at, raw, item_id, item_at, item_raw): windows of the documents whose template or folded form is an item's.
 
-    Each document's windows are hashed and looked up in the bitmap inside the row, before anything is exploded;
-    what is left, the true matches and one in some hundred others, is joined by hash and compared word by word.
-    The two forms of a window without names are the same and looked up once.
+    Each token is hashed once, in its template and its folded form, and the hashes of runs are built from those of
+    shorter runs. They are looked up in the bitmap inside the row, before anything is exploded. What is left, the true
+    matches and one in some hundred others, gets its forms as words, is joined by hash and compared word by word.
     """
-    bitmap = _bitmap(windows).scalar()
-    # The lengths of exact windows; most benchmarks have none, and then no document is lower-cased for them.
+    rows = _tokens(docs, id_column, text_column)
+    rows = rows.select("*", F.transform("low", lambda t: folded_token(t, F.xxhash64)).alias("folded"))
+    named = F.zip_with("raw", "low", is_name)
+    rows = rows.select("*", F.zip_with(named, "folded", lambda n, h: F.when(n, F.xxhash64(F.lit(NAME))).otherwise(h)).alias("template"))
+    rows = _hash_runs(_hash_runs(rows, "folded", window), "template", window)
+    # The lengths of exact windows; most benchmarks have none, and then no token is hashed for them.
     lengths = windows.where("exact").agg(F.collect_set(F.size("item_form")).alias("lengths")).scalar()
-    rows = _tokens(docs, id_column, text_column).select(
-        "id", "raw", "folded", "template", bitmap.alias("bitmap"), lengths.alias("lengths")
-    )
-    nothing = F.array().cast("array<string>")
-    rows = rows.withColumn("low", F.when(F.size("lengths") > 0, F.transform("raw", F.lower)).otherwise(nothing))
+    rows = rows.select("*", _bitmap(windows, window).scalar().alias("bitmap"), lengths.alias("lengths"))
+    nothing = F.array().cast("array<bigint>")
+    rows = rows.withColumn("words", F.when(F.size("lengths") > 0, F.transform("low", lambda t: F.xxhash64(t))).otherwise(nothing))
 
     def is_set(h: Column) -> Column:
-        slot = F.pmod(h, F.lit(BITMAP_WORDS * 64))
-        word = F.get("bitmap", F.floor(slot / 64).cast("int"))
-        return F.call_function("getbit", word, F.pmod(slot, F.lit(64)).cast("int")) == 1
-
-    def hits(tokens: str, places: Column, window: int | Column) -> Column:
-        hashes = F.transform(places, lambda at: F.struct(at.alias("at"), F.xxhash64(_piece(tokens, at, window)).alias("hash")))
-        return F.transform(
-            F.filter(hashes, lambda x: is_set(x["hash"])),
-            lambda x: F.struct(
-                x["at"].alias("at"), x["hash"].alias("hash"),
-                _piece(tokens, x["at"], window).alias("form"), _piece("raw", x["at"], window).alias("raw"),
-            ),
-        )
-
-    places = _places("template", window)
-    named = F.filter(places, lambda at: F.array_contains(_piece("template", at, window), NAME))
-    exact = F.flatten(F.transform("lengths", lambda n: hits("low", _places("low", n), n)))
-    every = F.concat(hits("template", places, window), hits("folded", named, window), exact)
-    found = rows.select(F.col("id").alias("doc_id"), F.explode(every).alias("w")).select("doc_id", "w.*")
+        word = F.get("bitmap", F.shiftright(h, 6).bitwiseAND(F.lit(BITMAP_WORDS - 1)).cast("int"))
+        return F.call_function("getbit", word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def hit(at: Column, form: Column, n: int | Column) -> Column:
+        return F.struct(at.alias("at"), form.alias("form"), _piece("raw", at, n).alias("raw"))
+
+    def places(marks: Column, n: int | Column) -> Column:
+        last = F.size("raw") - n
+        return F.filter(F.transform(marks, lambda m, at: F.when(m & (at <= last), at)), lambda at: at.isNotNull())
+
+    # The two forms of a run without names are the same and looked up once.
+    marks = F.zip_with("template", "folded", lambda t, f: is_set(t) | ((t != f) & is_set(f)))
+    both = F.flatten(F.transform(places(marks, window), lambda at: F.array_distinct(F.array(
+        hit(at, F.transform(_piece("raw", at, window), template_token), window),
+        hit(at, F.transform(_piece("low", at, window), lambda t: folded_token(t)), window),
+    ))))
+    listed = lambda n: F.transform(_places("words", n), lambda at: F.xxhash64(_piece("words", at, n)))
+    exact = F.flatten(F.transform("lengths", lambda n: F.transform(
+        places(F.transform(listed(n), is_set), n), lambda at: hit(at, _piece("low", at, n), n)
+    )))
+    every = F.concat(both, exact)
+    found = rows.select(F.col("id").alias("doc_id"), F.explode(every).alias("w")).select("doc_id", "w.*", F.xxhash64("w.form").alias("hash"))
     same = (found["hash"] == windows["hash"]) & (found["form"] == windows["item_form"])
     return found.join(windows, same).select("doc_id", "at", "raw", "item_id", "item_at", "item_raw").distinct()
 
