@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
@@ -211,3 +212,31 @@ def test_lower_case_of_a_text_is_that_of_its_tokens(docs_of, spark):
     one = spark.createDataFrame([(w,) for w in got[0].raw], "w string").selectExpr("lower(w) AS w").collect()
     assert got[0].raw == words and got[0].low == [r.w for r in one]
     assert [(r.raw, r.low) for r in got[1:]] == [([], [])] * 3
+
+
+def test_lines_hashed_together_have_the_signatures_of_each_line():
+    rng = random.Random(9)
+    texts = [prose(rng, 3) + "\n" + prose(rng, 5) + "\n\n" + prose(rng, 31).upper(), None, "", prose(rng, 4), "\n" + prose(rng, 12) + " ", "a b c d e"]
+    for least in (1, 5, 6):
+        hasher = paragraphs.Hasher()
+        got = paragraphs._lines(hasher, list(range(len(texts))), texts, least, True).to_pylist()
+        want = []
+        for i, text in enumerate(texts):
+            at = 0
+            for words in paragraphs.split_paragraphs(text):
+                if len(words) >= least:
+                    hashes = hasher.words(words)
+                    shingles = hasher.runs(hashes, 5)
+                    keys = np.arange(1, paragraphs.BANDS + 1, dtype=np.uint64)
+                    for r in range(paragraphs.ROWS if len(shingles) else 0):
+                        low = (shingles[:, None] * hasher.mul + hasher.add).min(axis=0).reshape(-1, paragraphs.ROWS)[:, r]
+                        keys = paragraphs.mixed(keys * paragraphs.BASE + low)
+                    bands = keys.view(np.int64).tolist() if len(shingles) else None
+                    want.append({"id": i, "start": at, "words": len(words), "key": paragraphs.span_key(hashes), "bands": bands})
+                at += len(words)
+        assert got == want
+
+
+def test_long_texts_are_hashed_apart():
+    long = "x" * paragraphs.CHUNK
+    assert [c[0] for c in paragraphs._chunks([1, 2, 3, 4, 5], ["a", long, None, "b", ""])] == [[1, 2], [3, 4, 5]]

@@ -12,6 +12,9 @@ passages meet by the hash of all their words. Passages that follow each other be
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,31 +29,34 @@ SHINGLE = 5
 BANDS, ROWS = 8, 3  # at similarity 0.8 a pair misses every band with probability (1 - 0.8^3)^8 = 0.3 %
 REACH = 5  # an anchor's hash is less than those of so many shingles on both sides
 MEMO = 300_000
+CHUNK = 1 << 18  # characters of the texts whose lines are hashed together
 BLOCK = 256  # paragraphs of a block of a full bucket
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)  # odd multiplier of the rolling word hash
 
 
+class Memo(dict):
+    """Word hashes, forgotten when there are too many."""
+
+    def __missing__(self, word: str) -> int:
+        h = xxhash.xxh64_intdigest(word)
+        if len(self) >= MEMO:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+
 class Hasher:
     """64-bit hashes of words, shingles and spans; the same in every task."""
 
     def __init__(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.memo = Memo()
         rng = np.random.default_rng(7)
         self.mul = (rng.integers(1, 1 << 62, BANDS * ROWS, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
         self.add = rng.integers(0, 1 << 62, BANDS * ROWS, dtype=np.int64).astype(np.uint64)
 
     def words(self, words: list[str]) -> np.ndarray:
-        memo, out = self.memo, []
-        for w in words:
-            h = memo.get(w)
-            if h is None:
-                h = xxhash.xxh64_intdigest(w)
-                if len(memo) >= MEMO:
-                    memo.clear()
-                if len(w) <= 64:
-                    memo[w] = h
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+        return np.fromiter(map(self.memo.__getitem__, words), dtype=np.uint64, count=len(words))
 
     @staticmethod
     def runs(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -63,13 +69,24 @@ class Hasher:
             total = total * BASE + hashes[k : k + n]
         return mixed(total)
 
-    def bands(self, shingles: np.ndarray) -> list[int]:
-        """One signed long a band for a set of shingle hashes."""
-        least = (shingles[:, None] * self.mul + self.add).min(axis=0).reshape(BANDS, ROWS)
-        keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-        for r in range(ROWS):
-            keys = mixed(keys * BASE + least[:, r])
-        return keys.view(np.int64).tolist()
+    def bands(self, hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """A row of signed longs, one a band, for each run of ``sizes`` words that follows the one before in ``hashes``.
+
+        No run may be shorter than a shingle; a shingle that reaches into the next run is left out.
+        """
+        if not len(sizes):
+            return np.zeros((0, BANDS), dtype=np.int64)
+        ends = np.cumsum(sizes)
+        inside = np.arange(len(hashes) - SHINGLE + 1) + SHINGLE <= np.repeat(ends, sizes)[: 1 - SHINGLE]
+        shingles = self.runs(hashes, SHINGLE)[inside]
+        counts = sizes - (SHINGLE - 1)
+        starts = np.cumsum(counts) - counts
+        keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sizes), 1))
+        for band in range(BANDS):
+            for r in range(band * ROWS, (band + 1) * ROWS):
+                least = np.minimum.reduceat(shingles * self.mul[r] + self.add[r], starts)
+                keys[:, band] = mixed(keys[:, band] * BASE + least)
+        return keys.view(np.int64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -103,6 +120,48 @@ def anchors(shingles: np.ndarray) -> np.ndarray:
     return np.flatnonzero(least) + REACH
 
 
+def _chunks(ids: list, texts: list) -> Iterator[tuple[list, list]]:
+    """The rows in runs of about ``CHUNK`` characters, so that what is built from them stays small."""
+    begun = total = 0
+    for at, text in enumerate(texts):
+        total += len(text or "")
+        if total >= CHUNK or at + 1 == len(texts):
+            yield ids[begun : at + 1], texts[begun : at + 1]
+            begun, total = at + 1, 0
+
+
+def _lines(hasher: Hasher, ids: list, texts: list, least: int, banded: bool) -> pa.RecordBatch:
+    """The columns of ``_paragraphs``: all words of the texts are hashed in one go, all bands as well."""
+    split = [split_paragraphs(text) for text in texts]
+    lines = list(chain.from_iterable(split))
+    of = np.repeat(np.arange(len(ids)), [len(x) for x in split])
+    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    begins = np.cumsum(sizes) - sizes
+    first = np.cumsum([0, *(len(x) for x in split[:-1])])  # every text has a line
+    starts = begins - begins[first][of]
+    hashes = hasher.words(list(chain.from_iterable(lines)))
+
+    kept = np.flatnonzero(sizes >= least)
+    view = memoryview(hashes.tobytes())
+    spans = zip((8 * begins[kept]).tolist(), (8 * (begins + sizes)[kept]).tolist())
+    keys = np.fromiter((xxhash.xxh64_intdigest(view[a:b], 3) for a, b in spans), dtype=np.uint64, count=len(kept))
+    signed = (keys ^ np.uint64(1 << 63)).view(np.int64)
+
+    if banded:
+        long = sizes[kept] >= SHINGLE
+        usable = (sizes >= least) & (sizes >= SHINGLE)
+        flat = hasher.bands(hashes[np.repeat(usable, sizes)], sizes[usable]).reshape(-1)
+        offsets = np.concatenate([[0], np.cumsum(np.where(long, BANDS, 0))]).astype(np.int32)
+        bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()), mask=pa.array(~long))
+    else:
+        bands = pa.nulls(len(kept), pa.list_(pa.int64()))
+    columns = [
+        pa.array(ids, pa.int64()).take(pa.array(of[kept])), pa.array(starts[kept].astype(np.int32)),
+        pa.array(sizes[kept].astype(np.int32)), pa.array(signed), bands,
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["id", "start", "words", "key", "bands"])
+
+
 def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text_column}`").alias("text"))
 
@@ -162,19 +221,9 @@ def _paragraphs(docs: DataFrame, id_column: str, text_column: str, least: int, b
         hasher = Hasher()
 
         def on(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at = 0
-                for words in split_paragraphs(text):
-                    if len(words) >= least:
-                        hashes = hasher.words(words)
-                        bands = hasher.bands(hasher.runs(hashes, SHINGLE)) if banded and len(words) >= SHINGLE else None
-                        row = (id_, at, len(words), span_key(hashes), bands)
-                        for column, value in zip(out, row):
-                            column.append(value)
-                    at += len(words)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["id", "start", "words", "key", "bands"])
+            chunks = _chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            parts = [_lines(hasher, ids, texts, least, banded) for ids, texts in chunks]
+            return pa.concat_batches(parts)
 
         return on
 
